@@ -1,8 +1,9 @@
 """Spreading hot groups over many tasks.
 
-A hot group is one whose row count exceeds ``max(min_rows, total / MAX_HOT)``.
-At most ``MAX_HOT`` groups can do that, so the table of hot groups is bounded
-whatever the data and may be broadcast.
+The hot groups of a table are its ``MAX_HOT`` largest ones among those above
+``min_rows`` rows. The list is bounded whatever the data, so it may be read and
+sent to every task. A group that is left out holds at most ``min_rows`` rows or
+1 / ``MAX_HOT`` of the table, which one task can take.
 """
 
 import tempfile
@@ -13,13 +14,21 @@ from pyspark.sql import functions as F
 
 MAX_HOT = 20_000
 MIN_ROWS = 1_000_000
+MAX_SLICES = 2_000
 
 
-def hot_groups(df: DataFrame, keys, name, min_rows=MIN_ROWS) -> DataFrame:
-    """Hot groups with the number of slices each is to be cut into."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.sum("_n") / MAX_HOT).scalar())
-    return counts.where(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias(name))
+def hot_groups(df: DataFrame, keys, name, min_rows=MIN_ROWS) -> DataFrame | None:
+    """Hot groups with the number of slices each is to be cut into; None when there are none.
+
+    One counting pass over the keys, combined before its shuffle, ahead of the
+    real work: without hot groups the plan stays as simple as it was.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
+    top = counts.orderBy(F.desc("_n")).limit(MAX_HOT)
+    slices = F.least(F.ceil(F.col("_n") / min_rows), F.lit(MAX_SLICES)).cast("int")
+    found = top.select(*keys, slices.alias(name))
+    rows = found.collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema)) if rows else None
 
 
 def slice_of(n: Column, *ids) -> Column:
@@ -36,11 +45,21 @@ def _null_safe_join(df, other, keys, how):
     return df.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _own_slice(df, hot, keys, n, ids, name):
+    return _null_safe_join(df, hot, keys, "left").withColumn(name, F.coalesce(slice_of(F.col(n), *ids), F.lit(0))).drop(n)
+
+
+def _every_slice(df, hot, keys, n, name):
+    last = F.coalesce(F.col(n), F.lit(1)) - 1
+    return _null_safe_join(df, hot, keys, "left").withColumn(name, F.explode(F.sequence(F.lit(0), last))).drop(n)
+
+
 def with_slice(df: DataFrame, keys, ids, slice_col="_slice", min_rows=MIN_ROWS) -> DataFrame:
     """Number the slices of hot groups; rows of other groups get slice 0."""
-    hot = F.broadcast(hot_groups(df, keys, "_slices", min_rows))
-    out = _null_safe_join(df, hot, keys, "left")
-    return out.withColumn(slice_col, F.coalesce(slice_of(F.col("_slices"), *ids), F.lit(0))).drop("_slices")
+    hot = hot_groups(df, keys, "_slices", min_rows)
+    if hot is None:
+        return df.withColumn(slice_col, F.lit(0))
+    return _own_slice(df, hot, keys, "_slices", ids, slice_col)
 
 
 def sliced_join(left: DataFrame, right: DataFrame, on, left_ids, right_ids=None, how="inner", min_rows=MIN_ROWS) -> DataFrame:
@@ -54,20 +73,14 @@ def sliced_join(left: DataFrame, right: DataFrame, on, left_ids, right_ids=None,
     on = list(on)
     if how != "inner" and right_ids is not None:
         raise ValueError("outer joins need a right side with one row per key")
-    hot_left = F.broadcast(hot_groups(left, on, "_nl", min_rows))
-    left = _null_safe_join(left, hot_left, on, "left").withColumn("_sl", F.coalesce(slice_of(F.col("_nl"), *left_ids), F.lit(0)))
-    right = _null_safe_join(right, hot_left, on, "left").withColumn(
-        "_sl", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nl"), F.lit(1)) - 1))
-    )
-    left, right = left.drop("_nl"), right.drop("_nl")
-    keys = on + ["_sl"]
-    if right_ids is not None:
-        hot_right = F.broadcast(hot_groups(right.drop("_sl"), on, "_nr", min_rows))
-        right = _null_safe_join(right, hot_right, on, "left").withColumn("_sr", F.coalesce(slice_of(F.col("_nr"), *right_ids), F.lit(0)))
-        left = _null_safe_join(left, hot_right, on, "left").withColumn(
-            "_sr", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nr"), F.lit(1)) - 1))
-        )
-        left, right = left.drop("_nr"), right.drop("_nr")
+    hot_left = hot_groups(left, on, "_nl", min_rows)
+    hot_right = hot_groups(right, on, "_nr", min_rows) if right_ids is not None else None
+    keys = list(on)
+    if hot_left is not None:
+        left, right = _own_slice(left, hot_left, on, "_nl", left_ids, "_sl"), _every_slice(right, hot_left, on, "_nl", "_sl")
+        keys.append("_sl")
+    if hot_right is not None:
+        left, right = _every_slice(left, hot_right, on, "_nr", "_sr"), _own_slice(right, hot_right, on, "_nr", right_ids, "_sr")
         keys.append("_sr")
     return left.join(right, keys, how).drop(*keys[len(on):])
 

@@ -189,7 +189,7 @@ def composite_overzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1
     last = (factor - 1).cast("bigint")
 
     def children(lo, hi):
-        first, final = F.floor(F.col(lo) / size * F.col("_k") - pad), F.floor(F.col(hi) / size * F.col("_k") + pad)
+        first, final = F.ceil(F.col(lo) / size * F.col("_k") - pad - 1), F.floor(F.col(hi) / size * F.col("_k") + pad)
         lo_c, hi_c = F.greatest(first, F.lit(0)), F.least(final, F.col("_last"))
         return F.when(lo_c <= hi_c, F.sequence(lo_c, hi_c))
 

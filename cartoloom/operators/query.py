@@ -66,13 +66,9 @@ def query_prefilter_box(points, tolerance, lon="lon", lat="lat"):
 
 
 def _within_points_box(features, points, tolerance):
-    """Push the points' box to the feature side; the box is one row, read as a scalar subquery."""
-    box = query_prefilter_box(points, tolerance)
-    packed = box.select(F.struct(*g.BOX)).scalar()
-    return features.where(
-        (F.col("minx") <= packed["maxx"]) & (F.col("maxx") >= packed["minx"])
-        & (F.col("miny") <= packed["maxy"]) & (F.col("maxy") >= packed["miny"])
-    )
+    """Push the points' box to the feature scan; the box is one row of four numbers."""
+    box = query_prefilter_box(points, tolerance).first()
+    return features if box["minx"] is None else ft.extent_filter(features, box)
 
 
 def _feature_cells(features, tolerance):
@@ -106,7 +102,11 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None, min_row
     fields = list(fields) if fields is not None else ft.attribute_names(features)
     keep = features.select("layer", "fid", *fields, "geom", *g.BOX)
     cells = _feature_cells(_within_points_box(keep, points, tolerance), tolerance)
-    levels = cells.agg(F.collect_set("_level")).scalar()
+    # at most 25 numbers
+    in_use = [r["_level"] for r in cells.select("_level").distinct().collect()]
+    levels = F.array(*[F.lit(n) for n in in_use])
+    if not in_use:
+        levels = F.expr("cast(array() as array<int>)")
     n = F.pow(F.lit(2.0), F.col("_level"))
     pts = (
         points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py"))

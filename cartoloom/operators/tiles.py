@@ -72,8 +72,8 @@ def assign_tiles(df, z, buffer=BUFFER, size=SIZE):
     last = (n - 1).cast("bigint")
     u0, u1 = m.world_u("minx") * n - pad, m.world_u("maxx") * n + pad
     v0, v1 = m.world_v("maxy") * n - pad, m.world_v("miny") * n + pad
-    inside = (u1 >= 0) & (u0 < n) & (v1 >= 0) & (v0 < n)
-    span = lambda lo, hi: F.sequence(F.greatest(F.floor(lo), F.lit(0)).cast("int"), F.least(F.floor(hi), last).cast("int"))
+    inside = (u1 >= 0) & (u0 <= n) & (v1 >= 0) & (v0 <= n)
+    span = lambda lo, hi: F.sequence(F.greatest(F.least(F.ceil(lo - 1), last), F.lit(0)).cast("int"), F.least(F.floor(hi), last).cast("int"))
     return (
         df.where(inside)
         .withColumn("z", zc.cast("int"))

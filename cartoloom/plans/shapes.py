@@ -11,9 +11,9 @@ from .registry import query
 TOLERANCE = 100_000.0
 
 # distance from a point to segment a-b, as SQL
-SEG = """sqrt(pow({x} - (ax + t*(bx-ax)), 2) + pow({y} - (ay + t*(by-ay)), 2))"""
-CLAMPED = """least(greatest(case when (bx-ax)*(bx-ax) + (by-ay)*(by-ay) = 0 then 0e0
-  else (({x}-ax)*(bx-ax) + ({y}-ay)*(by-ay)) / ((bx-ax)*(bx-ax) + (by-ay)*(by-ay)) end, 0e0), 1e0)"""
+SEG = """sqrt(pow({x} - (ax + t*(ex-ax)), 2) + pow({y} - (ay + t*(ey-ay)), 2))"""
+CLAMPED = """least(greatest(case when (ex-ax)*(ex-ax) + (ey-ay)*(ey-ay) = 0 then 0e0
+  else (({x}-ax)*(ex-ax) + ({y}-ay)*(ey-ay)) / ((ex-ax)*(ex-ax) + (ey-ay)*(ey-ay)) end, 0e0), 1e0)"""
 
 
 def line_distance(x, y, source="sg"):
@@ -22,8 +22,8 @@ def line_distance(x, y, source="sg"):
 
 
 def crossings(x, y, source="rg"):
-    return f"""(select fid, count(*) as n from {source} where n >= 3 and (ay > {y}) <> (by > {y})
-  and {x} < (bx-ax)*({y}-ay)/(case when by = ay then 1 else by-ay end) + ax group by fid)"""
+    return f"""(select fid, count(*) as n from {source} where n >= 3 and (ay > {y}) <> (ey > {y})
+  and {x} < (ex-ax)*({y}-ay)/(case when ey = ay then 1 else ey-ay end) + ax group by fid)"""
 
 
 def rounded(*names):
@@ -76,7 +76,7 @@ def _(v):
 
 @query("q06_tile_query", """
 with p as (select -67.3e0 * (20037508.342789244e0/180) as x, ln(tan((22.7e0 + 90) * (pi()/360))) * 6378137e0 as y)
-select event_type as layer, fid, round(d, 2) as distance, lon as x_hit, round(lat, 6) as y_hit
+select event_type as layer, fid, round(d, 2) as distance, round(lon, 6) as x_hit, round(lat, 6) as y_hit
 from (select evm.*, sqrt(pow(x - mx, 2) + pow(y - my, 2)) as d from evm, p) where d <= 1500000
 union all select 'nation', fid, 0e0, 0e0, 0e0 from npm, p where x between minx and maxx and y between miny and maxy""")
 def _(v):
@@ -103,10 +103,10 @@ def _(v):
 
 
 @query("q07_query_many_lines", f"""
-with d as (select pid, fid, min(sqrt(pow(mx - (ax + t*(bx-ax)), 2) + pow(my - (ay + t*(by-ay)), 2))) as distance from (
-  select pid, fid, mx, my, ax, ay, bx, by, {CLAMPED.format(x='mx', y='my')} as t
-  from (select fid, mx as ax, my as ay, lead(mx) over w as bx, lead(my) over w as by from lnm window w as (partition by fid order by seq)) s, qpm
-  where bx is not null) group by pid, fid)
+with d as (select pid, fid, min(sqrt(pow(mx - (ax + t*(ex-ax)), 2) + pow(my - (ay + t*(ey-ay)), 2))) as distance from (
+  select pid, fid, mx, my, ax, ay, ex, ey, {CLAMPED.format(x='mx', y='my')} as t
+  from (select fid, mx as ax, my as ay, lead(mx) over w as ex, lead(my) over w as ey from lnm window w as (partition by fid order by seq)) s, qpm
+  where ex is not null) group by pid, fid)
 select pid, count(*) as lines, round(min(distance), 2) as nearest from d where distance <= 20000 group by pid""")
 def _(v):
     hits = q.query_many(v.query_points, v.ln_merc, 20_000.0, layer="lines")

@@ -36,10 +36,10 @@ from (select l_orderkey as fid, l_linenumber, cast((l_partkey*7919) % 36000 as d
 select *, lon * (20037508.342789244e0/180) as mx, ln(tan((lat + 90) * (pi()/360))) * 6378137e0 as my from ln""",
     # segments of the lines, and of the rings that close each order's line
     "sg": """
-select * from (select fid, seq, n, lon as ax, lat as ay, lead(lon) over w as bx, lead(lat) over w as by from ln
-  window w as (partition by fid order by seq)) where bx is not null""",
+select * from (select fid, seq, n, lon as ax, lat as ay, lead(lon) over w as ex, lead(lat) over w as ey from ln
+  window w as (partition by fid order by seq)) where ex is not null""",
     "rg": """
-select fid, seq, n, ax, ay, bx, by from sg union all
+select fid, seq, n, ax, ay, ex, ey from sg union all
 select a.fid, a.seq, a.n, a.lon, a.lat, b.lon, b.lat from ln a join ln b on a.fid = b.fid where a.seq = a.n - 1 and b.seq = 0""",
     "qp": """
 select c_custkey as pid, cast((c_custkey*104729) % 36000 as double)/100 - 179.995e0 as lon,
