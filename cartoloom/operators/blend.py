@@ -131,6 +131,8 @@ def composite(dst, src, op="src_over", opacity=1.0, dx=0, dy=0):
     if op not in PORTER_DUFF and op not in BLEND and op not in ARITH and op not in HSL_OPS:
         raise ValueError(f"comp_op value is invalid: {op!r}")
     joined = _overlay_join(dst, src, dx, dy)
+    if op in HSL_OPS:
+        joined = _with_hsl_mix(joined, op, opacity)
     sv = {c: F.col(f"_s{c}") / 255.0 * opacity for c in RGBA}
     dv = {c: F.col(c) / 255.0 for c in RGBA}
     sa, da = sv["a"], dv["a"]
@@ -139,7 +141,7 @@ def composite(dst, src, op="src_over", opacity=1.0, dx=0, dy=0):
         out = {c: sv[c] * fs(sa, da) + dv[c] * fd(sa, da) for c in RGBA}
     else:
         if op in HSL_OPS:
-            out = _hsl_composite(op, sv, dv)
+            out = {c: sa * da * (F.col(f"_m{c}") / 255.0) + _rest(sv[c], dv[c], sa, da) for c in RGBA[:3]}
         else:
             fn = BLEND.get(op) or ARITH[op]
             out = {c: fn(sv[c], dv[c], sa, da) for c in RGBA[:3]}
@@ -156,61 +158,70 @@ def composite(dst, src, op="src_over", opacity=1.0, dx=0, dy=0):
 THIRD, TWO_THIRDS = 0.33333, 0.66666
 
 
-def hsl_of(r, g, b):
-    """Hue, saturation and lightness of channels in 0..255."""
-    r, g, b = r / 255.0, g / 255.0, b / 255.0
-    hi, lo = F.greatest(r, g, b), F.least(r, g, b)
-    delta, total = hi - lo, hi + lo
-    light = total / 2.0
-    safe = F.when(delta > 0, delta).otherwise(F.lit(1.0))
-    s = F.when(light > 0.5, delta / F.when(delta > 0, F.lit(2.0) - total).otherwise(F.lit(1.0))).otherwise(
-        delta / F.when(total > 0, total).otherwise(F.lit(1.0)))
+def with_hsl(df, rgb, hsl):
+    """Add hue, saturation and lightness of three channels in 0..255.
+
+    Intermediate values are columns of their own: each is computed once.
+    """
+    r, g, b = (F.col(f"_u{i}") for i in range(3))
+    out = df.withColumns({f"_u{i}": F.col(c) / 255.0 for i, c in enumerate(rgb)})
+    out = out.withColumns({"_hi": F.greatest(r, g, b), "_lo": F.least(r, g, b)})
+    delta, total = F.col("_hi") - F.col("_lo"), F.col("_hi") + F.col("_lo")
+    out = out.withColumns({"_delta": delta, "_total": total, "_light": total / 2.0})
+    delta, total, light = F.col("_delta"), F.col("_total"), F.col("_light")
+    flat = delta == 0
+    s = F.when(flat, 0.0).when(light > 0.5, delta / (F.lit(2.0) - total)).otherwise(delta / total)
     h = (
-        F.when((b >= g) & (b > r), (r - g) / safe + 4.0).when((g >= r) & (g > b), (b - r) / safe + 2.0)
-        .when((r >= b) & (r > g), (g - b) / safe + F.when(g < b, F.lit(6.0)).otherwise(F.lit(0.0))).otherwise(F.lit(0.0)) / 6.0
+        F.when((b >= g) & (b > r), (r - g) / delta + 4.0).when((g >= r) & (g > b), (b - r) / delta + 2.0)
+        .when((r >= b) & (r > g), (g - b) / delta + F.when(g < b, F.lit(6.0)).otherwise(F.lit(0.0))).otherwise(F.lit(0.0)) / 6.0
     )
-    none = F.lit(0.0)
-    return F.when(delta > 0, h).otherwise(none), F.when(delta > 0, s).otherwise(none), light
+    out = out.withColumns(dict(zip(hsl, (F.when(flat, 0.0).otherwise(h), s, light))))
+    return out.drop("_u0", "_u1", "_u2", "_hi", "_lo", "_delta", "_total", "_light")
 
 
-def _hue_channel(m1, m2, h):
-    h = F.when(h < 0, h + 1).otherwise(h)
-    h = F.when(h > 1, h - 1).otherwise(h)
-    return (
-        F.when(h * 6 < 1, m1 + (m2 - m1) * h * 6).when(h * 2 < 1, m2)
-        .when(h * 3 < 2, m1 + (m2 - m1) * (F.lit(TWO_THIRDS) - h) * 6).otherwise(m1)
-    )
+def with_rgb(df, hsl, rgb):
+    """Add channels in 0..255 from hue, saturation and lightness.
 
-
-def rgb_of(h, s, light):
-    """Channels in 0..255. Grays round to the nearest value, colours are cut to whole numbers,
-    as the reference does."""
-    m2 = F.when(light <= 0.5, light * (s + 1)).otherwise(light + s - light * s)
-    m1 = light * 2.0 - m2
+    Grays round to the nearest value, colours are cut to whole numbers, as the
+    reference does.
+    """
+    h, s, light = (F.col(c) for c in hsl)
+    out = df.withColumn("_m2", F.when(light <= 0.5, light * (s + 1)).otherwise(light + s - light * s))
+    out = out.withColumn("_m1", light * 2.0 - F.col("_m2"))
+    m1, m2 = F.col("_m1"), F.col("_m2")
+    turned = {f"_t{i}": h + shift for i, shift in enumerate((THIRD, 0.0, -THIRD))}
+    out = out.withColumns(turned)
+    out = out.withColumns({t: F.when(F.col(t) < 0, F.col(t) + 1).when(F.col(t) > 1, F.col(t) - 1).otherwise(F.col(t)) for t in turned})
     gray = F.floor(light * 255.0 + 0.5).cast("int")
-    pick = lambda shift: F.when(s == 0, gray).otherwise(F.greatest(F.floor(_hue_channel(m1, m2, h + shift) * 255.0), F.lit(0)).cast("int"))
-    return pick(THIRD), pick(0.0), pick(-THIRD)
+
+    def channel(t):
+        v = (
+            F.when(t * 6 < 1, m1 + (m2 - m1) * t * 6).when(t * 2 < 1, m2)
+            .when(t * 3 < 2, m1 + (m2 - m1) * (F.lit(TWO_THIRDS) - t) * 6).otherwise(m1)
+        )
+        return F.when(s == 0, gray).otherwise(F.greatest(F.floor(v * 255.0), F.lit(0)).cast("int"))
+
+    out = out.withColumns({c: channel(F.col(t)) for c, t in zip(rgb, turned)})
+    return out.drop("_m1", "_m2", *turned)
 
 
 def rgb2hsl(df):
-    h, s, light = hsl_of(F.col("r"), F.col("g"), F.col("b"))
-    return df.withColumns({"h": h, "s": s, "l": light})
+    return with_hsl(df, RGBA[:3], ("h", "s", "l"))
 
 
 def hsl2rgb(df):
-    r, g, b = rgb_of(F.col("h"), F.col("s"), F.col("l"))
-    return df.withColumns({"r": r, "g": g, "b": b})
+    return with_rgb(df, ("h", "s", "l"), RGBA[:3])
 
 
-def _hsl_composite(op, sv, dv):
-    """Mix hue, saturation and lightness of the plain colours, then blend by alpha."""
-    sa, da = sv["a"], dv["a"]
-    src = hsl_of(*[F.least(sv[c] / _or1(sa), F.lit(1.0)) * 255 for c in RGBA[:3]])
-    dst = hsl_of(*[F.least(dv[c] / _or1(da), F.lit(1.0)) * 255 for c in RGBA[:3]])
-    take_h = src[0] if op in ("hue", "color") else dst[0]
-    take_s = src[1] if op in ("saturation", "color") else dst[1]
-    mixed = rgb_of(take_h, take_s, dst[2])
-    return {c: sa * da * (mix / 255.0) + _rest(sv[c], dv[c], sa, da) for c, mix in zip(RGBA[:3], mixed)}
+def _with_hsl_mix(joined, op, opacity):
+    """Mix hue, saturation and lightness of the plain colours into ``_mr, _mg, _mb``."""
+    unit = lambda c, a: F.least(c / _or1(a), F.lit(1.0)) * 255
+    sa, da = F.col("_sa") / 255.0 * opacity, F.col("a") / 255.0
+    out = joined.withColumns({f"_p{c}": unit(F.col(f"_s{c}") / 255.0 * opacity, sa) for c in RGBA[:3]})
+    out = out.withColumns({f"_q{c}": unit(F.col(c) / 255.0, da) for c in RGBA[:3]})
+    out = with_hsl(with_hsl(out, ("_pr", "_pg", "_pb"), ("_sh", "_ss", "_sl")), ("_qr", "_qg", "_qb"), ("_dh", "_ds", "_dl"))
+    take = ("_sh" if op in ("hue", "color") else "_dh", "_ss" if op in ("saturation", "color") else "_ds", "_dl")
+    return with_rgb(out, take, ("_mr", "_mg", "_mb"))
 
 
 def tint(df, h=(0, 1), s=(0, 1), l=(0, 1), a=(0, 1)):  # noqa: E741
@@ -224,12 +235,15 @@ def tint(df, h=(0, 1), s=(0, 1), l=(0, 1), a=(0, 1)):  # noqa: E741
         out = out.withColumn("a", byte(alpha * 255.0))
     if (tuple(h), tuple(s), tuple(l)) == ((0, 1), (0, 1), (0, 1)):
         return out
+
     def move(v, c):
         return F.least(F.greatest(F.lit(float(c[0])) + v * float(c[1] - c[0]), F.lit(0.0)), F.lit(1.0))
 
-    hsl = hsl_of(F.col("r"), F.col("g"), F.col("b"))
-    rgb = rgb_of(*[move(v, c) for v, c in zip(hsl, (h, s, l))])
-    return out.withColumns({c: F.when(F.col("a") > 1, v).otherwise(F.col(c)).cast("int") for c, v in zip(RGBA[:3], rgb)})
+    names = ("_h", "_s", "_l")
+    out = with_hsl(out, RGBA[:3], names)
+    out = with_rgb(out.withColumns({n: move(F.col(n), c) for n, c in zip(names, (h, s, l))}), names, ("_nr", "_ng", "_nb"))
+    out = out.withColumns({c: F.when(F.col("a") > 1, F.col(f"_n{c}")).otherwise(F.col(c)).cast("int") for c in RGBA[:3]})
+    return out.drop(*names, "_nr", "_ng", "_nb")
 
 
 # --- stacks of layers -----------------------------------------------------------------------------

@@ -162,8 +162,8 @@ def _(v):
 
 
 @query("r05_compare", """
-select 'alpha' as mode, p.img_id, count_if(abs(p.r - q.r) > 16 or abs(p.g - q.g) > 16 or abs(p.b - q.b) > 16 or abs(p.a - q.a) > 16) as different from pm p join ps q using (img_id, x, y) group by 2
-union all select 'rgb', p.img_id, count_if(p.r <> q.r or p.g <> q.g or p.b <> q.b) from pm p join ps q using (img_id, x, y) group by 2""")
+select 'alpha' as mode, p.img_id, cast(count_if(abs(p.r - q.r) > 16 or abs(p.g - q.g) > 16 or abs(p.b - q.b) > 16 or abs(p.a - q.a) > 16) as bigint) as different from pm p join ps q using (img_id, x, y) group by 2
+union all select 'rgb', p.img_id, cast(count_if(p.r <> q.r or p.g <> q.g or p.b <> q.b) as bigint) from pm p join ps q using (img_id, x, y) group by 2""")
 def _(v):
     a, b = premultiplied(v), sources(v)
     return raster.compare(a, b, 16).withColumn("mode", F.lit("alpha")).unionByName(raster.compare(a, b, 0, alpha=False).withColumn("mode", F.lit("rgb")))
@@ -230,7 +230,7 @@ def _(v):
 with d as (select img_id, max(x) + 1 as w, max(y) + 1 as h from px group by 1),
 t as (select p.img_id, tx, ty, r, g, b, a, greatest(1 - abs((tx + 0.5e0) * w / 13e0 - 0.5e0 - x), 0) * greatest(1 - abs((ty + 0.5e0) * h / 6e0 - 0.5e0 - y), 0) as k
   from pm p join d on d.img_id = p.img_id, {targets(13, 6)}),
-s as (select img_id, tx, ty, {', '.join(f'least(greatest(floor(sum(k * {c}) / sum(k) + 0.5e0), 0), 255) as {c}' for c in 'rgba')} from t where k > 0 group by 1, 2, 3)
+s as (select img_id, tx, ty, {', '.join(f'least(greatest(floor(round(sum(k * {c}) / sum(k), 6) + 0.5e0), 0), 255) as {c}' for c in 'rgba')} from t where k > 0 group by 1, 2, 3)
 select img_id, cast(tx as integer) as x, cast(ty as integer) as y, {', '.join(f'cast(case when a = 0 then 0 else least(floor({c} * 255 / case when a = 0 then 1 else a end), 255) end as integer) as {c}' for c in 'rgb')}, cast(a as integer) as a from s""")
 def _(v):
     return rgba(raster.resize_bilinear(v.px, 13, 6))
@@ -422,7 +422,21 @@ def _(v):
     return rgba(blend.tint(v.px, h=(0.1, 0.6), s=(0.2, 0.9), l=(0.9, 0.1), a=(0.1, 0.9)))
 
 
-@query("r21_composite_hsl")
+KEPT = "img_id, x, y, hit, dr0, dg0, db0, da0, dr, dg, db, da, sr, sg, sb, sa"
+PLAIN = f"""(select *, {', '.join(f"least(s{c} / {ONE.format('sa')}, 1) * 255 / 255e0 as p{c}, least(d{c} / {ONE.format('da')}, 1) * 255 / 255e0 as q{c}" for c in 'rgb')} from {OVER})"""
+SRC_HSL = f"(select *, h as sh, s as ss from {hsl_sql('pr', 'pg', 'pb', PLAIN, KEPT + ', qr, qg, qb')})"
+BOTH_HSL = hsl_sql("qr", "qg", "qb", SRC_HSL, KEPT + ", sh, ss")
+
+
+def hsl_op_sql(op):
+    h, s = ("sh" if op in ("hue", "color") else "h"), ("ss" if op in ("saturation", "color") else "s")
+    source = rgb_sql(f"(select {KEPT}, {h} as h, {s} as s, l from {BOTH_HSL})", KEPT)
+    mixed = lambda c: f"sa * da * ({c} / 255e0) + s{c} * (1 - da) + d{c} * (1 - sa)"
+    byte = lambda e, c: f"cast(case when hit is null then d{c}0 else least(greatest(floor(round(({e}) * 255, 6) + 0.5e0), 0), 255) end as integer) as {c}"
+    return f"select '{op}' as op, img_id, x, y, {', '.join(byte(mixed(c), c) for c in 'rgb')}, {byte(UNION_ALPHA, 'a')} from {source}"
+
+
+@query("r21_composite_hsl", " union all ".join(hsl_op_sql(o) for o in blend.HSL_OPS))
 def _(v):
     return run_ops(v, blend.HSL_OPS)
 
