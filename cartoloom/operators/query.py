@@ -88,38 +88,74 @@ def _feature_cells(features, tolerance):
     )
 
 
+PIECES = 64
+
+
+def _line_pieces(lines, fields, tolerance):
+    """Lines as short pieces of their segments, so that long lines do not claim huge envelopes.
+
+    A segment is cut into equal pieces of at least 1 / 64 of the world; each
+    carries its own envelope and the ends of its whole segment.
+    """
+    segs = F.explode(F.flatten(F.transform(F.flatten(F.col("geom.parts")), g.segments)))
+    rows = lines.select("layer", "fid", *fields, segs.alias("s")).select(
+        "layer", "fid", *fields, *[F.col(f"s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"])
+    dx, dy = F.col("_bx") - F.col("_ax"), F.col("_by") - F.col("_ay")
+    length = max(4.0 * tolerance, 2 * m.HALF_WORLD / PIECES)
+    n = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / length), F.lit(1))
+    rows = rows.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+    ends = {c: [F.col(f"_a{c}") + d * (F.col("_i") + k) / F.col("_n") for k in (0, 1)] for c, d in (("x", dx), ("y", dy))}
+    hair = 1e-6
+    return rows.withColumns({
+        "minx": F.least(*ends["x"]) - hair, "maxx": F.greatest(*ends["x"]) + hair,
+        "miny": F.least(*ends["y"]) - hair, "maxy": F.greatest(*ends["y"]) + hair,
+    }).drop("_n", "_i")
+
+
+def _near_pairs(points, shapes, tolerance, min_rows):
+    """Points beside every shape whose padded envelope holds them."""
+    cells = _feature_cells(shapes, tolerance)
+    in_use = [r["_level"] for r in cells.select("_level").distinct().collect()]  # at most 25 numbers
+    levels = F.array(*[F.lit(n) for n in in_use]) if in_use else F.expr("cast(array() as array<int>)")
+    n = F.pow(F.lit(2.0), F.col("_level"))
+    pts = points.withColumn("_level", F.explode(levels)).withColumns({"_cx": F.floor(m.world_u("_px") * n), "_cy": F.floor(m.world_v("_py") * n)})
+    pairs = skew.sliced_join(pts, cells, ["_level", "_cx", "_cy"], ["pid"], ["layer", "fid"], min_rows=min_rows)
+    return pairs.where(
+        F.col("_px").between(F.col("minx") - tolerance, F.col("maxx") + tolerance)
+        & F.col("_py").between(F.col("miny") - tolerance, F.col("maxy") + tolerance)
+    )
+
+
 def query_many(points, features, tolerance=0.0, layer=None, fields=None, min_rows=skew.MIN_ROWS):
     """For each point all features within the tolerance (a point in a polygon is at distance 0).
 
-    An equi-join on grid cells: features sit on the grid level of their own
-    size, points on every level in use (25 at most), so each pair meets in one
-    cell and no duplicates arise. Hot cells are sliced on both sides.
+    An equi-join on grid cells: shapes sit on the grid level of their own size,
+    points on every level in use (25 at most), so a pair meets in one cell.
+    Lines join piece by piece and keep the least distance. Hot cells are sliced
+    on both sides.
     """
     if layer is not None:
         features = features.where(F.col("layer") == layer)
         if features.limit(1).isEmpty():
             raise ValueError("Could not find layer in vector tile")
     fields = list(fields) if fields is not None else ft.attribute_names(features)
-    keep = features.select("layer", "fid", *fields, "geom", *g.BOX)
-    cells = _feature_cells(_within_points_box(keep, points, tolerance), tolerance)
-    # at most 25 numbers
-    in_use = [r["_level"] for r in cells.select("_level").distinct().collect()]
-    levels = F.array(*[F.lit(n) for n in in_use])
-    if not in_use:
-        levels = F.expr("cast(array() as array<int>)")
-    n = F.pow(F.lit(2.0), F.col("_level"))
-    pts = (
-        points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py"))
-        .withColumn("_level", F.explode(levels))
-        .withColumns({"_cx": F.floor(m.world_u("_px") * n), "_cy": F.floor(m.world_v("_py") * n)})
-    )
-    pairs = skew.sliced_join(pts, cells, ["_level", "_cx", "_cy"], ["pid"], ["layer", "fid"], min_rows=min_rows)
-    near = pairs.where(
-        F.col("_px").between(F.col("minx") - tolerance, F.col("maxx") + tolerance)
-        & F.col("_py").between(F.col("miny") - tolerance, F.col("maxy") + tolerance)
-    )
-    hits = _with_hit(near, F.col("_px"), F.col("_py")).where(F.col("distance").between(0, tolerance))
-    return hits.select("pid", "layer", "fid", "distance", *fields)
+    keep = _within_points_box(features.select("layer", "fid", *fields, "geom", *g.BOX), points, tolerance)
+    pts = points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py"))
+    is_line = F.col("geom.type").isin(g.LINE, g.MULTILINE)
+    kinds = {r[0] for r in keep.select(is_line).distinct().collect()}  # at most two values
+    px, py = F.col("_px"), F.col("_py")
+    out = None
+    if kinds != {True}:
+        near = _near_pairs(pts, keep.where(~is_line), tolerance, min_rows)
+        away = F.when(F.col("geom.type") == g.POINT, g.distance(F.col("minx"), F.col("miny"), px, py)).otherwise(g.geometry_hit("geom", px, py)["distance"])
+        out = near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)).select("pid", "layer", "fid", "distance", *fields)
+    if True in kinds:
+        near = _near_pairs(pts, _line_pieces(keep.where(is_line), fields, tolerance), tolerance, min_rows)
+        away = g.segment_distance(px, py, *[F.col(c) for c in ("_ax", "_ay", "_bx", "_by")])
+        hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance).groupBy("pid", "layer", "fid").agg(
+            F.min("distance").alias("distance"), *[F.first(f).alias(f) for f in fields])
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 def hits_by_point(hits):
