@@ -367,8 +367,10 @@ def tile_from_features(df, z, srs=3857, size=SIZE, buffer=BUFFER, area_threshold
     if (scale_factor, offset_x, offset_y) != (1.0, 0.0, 0.0):
         out = scale_geometry(out, scale_factor, offset_x, offset_y)
     box = (-buffer, -buffer, size + buffer, size + buffer)
+    if process_all_rings:
+        out = drop_degenerate(out, True)  # before a bad shell could take its holes along
     out = clip_polygons(clip_points_lines(out, box), box)
     out = simplify(out, simplify_distance)
-    out = drop_degenerate(drop_small_polygons(out, area_threshold), process_all_rings)
+    out = drop_small_polygons(drop_degenerate(out, process_all_rings), area_threshold)
     out = orient_rings(out).withColumn("gtype", g.tile_type("tgeom.type"))
     return out.select(*TILE, "layer", "layer_ord", "fid", "gtype", "props", "tgeom")
