@@ -15,6 +15,7 @@ next to each other, ordered by text; other columns play no part.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -25,8 +26,14 @@ from pyspark.sql import functions as F
 from . import common
 
 END_ID = 2
-#: Entries of each of the two generations of a Python worker's word cache.
-CACHE_WORDS = 300_000
+#: Entries of each of the two generations of a Python worker's word cache, and of its cache of pieces.
+CACHE_WORDS = 200_000
+CACHE_PIECES = 500_000
+
+# The pre-tokenizer's pattern that ``PieceEncoder`` knows, and the same for ASCII and Latin letters.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-zß-öø-ÿ0-9]+")
+LATIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
 
 _CACHE: dict[str, tuple] = {}
 
@@ -65,10 +72,50 @@ class WordEncoder:
                     young[w] = old[w]
                 else:
                     new.append(w)
-        if new:
-            encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for w, e in zip(new, encoded):
-                young[w] = np.array(e.ids, dtype=self.dtype).tobytes()
+        young.update(zip(new, self._encoded(new)))
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False) if words else []
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encoded]
+
+
+class PieceEncoder(WordEncoder):
+    """Splits texts into the pre-tokenizer's pieces and encodes each distinct piece once while it is in the cache.
+
+    For tokenizers that lower-case and split by ``SPLIT_PATTERN``: a text's ids are those of its pieces. Texts with other
+    than ASCII characters and Latin letters, or with special tokens, go word by word.
+    """
+
+    def __init__(self, tokenizer_json: str, dtype: str):
+        import json
+
+        super().__init__(tokenizer_json, dtype)
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in json.loads(tokenizer_json).get("added_tokens", [])) or "(?!)")
+        self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+
+    def encode(self, text: bytes | None) -> bytes:
+        plain = (text or b"").decode()
+        if not LATIN.fullmatch(plain) or self.special.search(plain):
+            return super().encode(text)
+        pieces = PIECES.findall(plain.lower())
+        try:
+            return b"".join(map(self.pieces.__getitem__, pieces))
+        except KeyError:
+            self._learn_pieces(set(pieces))
+            return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        if len(self.pieces) > CACHE_PIECES:
+            self.old_pieces, self.pieces = self.pieces, {}
+        known, old = self.pieces, self.old_pieces
+        new = []
+        for p in pieces.difference(known):
+            if p in old:
+                known[p] = old[p]
+            else:
+                new.append(p)
+        known.update(zip(new, self._encoded([p.encode() for p in new])))
 
 
 class TextEncoder:
@@ -90,17 +137,27 @@ def fits(tokenizer_json: str) -> bool:
 
     spec = json.loads(tokenizer_json)
     before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [spec.get("pre_tokenizer")])
-    drops = any(p and p.get("type") == "Split" and p.get("behavior") == "Removed" and p.get("invert") and "[^\\s" in str(p.get("pattern")) for p in before)
+    drops = any(p and p.get("type") == "Split" and p.get("behavior") == "Removed" and p.get("invert") and "[^\\s" in (p.get("pattern") or {}).get("Regex", "") for p in before)
     prefix = any(p and p.get("add_prefix_space") for p in before)
     plain = all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word") or set(t["content"]) & set(" \t\n\r\x0b\x0c")) for t in spec.get("added_tokens", []))
     return drops and plain and not prefix and not spec.get("post_processor")
 
 
+def by_pieces(tokenizer_json: str) -> bool:
+    """Whether the tokenizer lower-cases, composes and splits the way ``PieceEncoder`` does."""
+    import json
+
+    spec = json.loads(tokenizer_json)
+    before = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    patterns = [p.get("pattern", {}).get("Regex") for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if p.get("type") == "Split"]
+    return fits(tokenizer_json) and before == ["NFC", "Replace", "Lowercase"] and patterns == [SPLIT_PATTERN]
+
+
 def _encoder(tokenizer_json: str, dtype: str):
     """One encoder for each Python worker, kept between tasks."""
     held = _CACHE.get("encoder")
     if held is None or held[0] != (tokenizer_json, dtype):
-        kind = WordEncoder if fits(tokenizer_json) else TextEncoder
+        kind = PieceEncoder if by_pieces(tokenizer_json) else WordEncoder if fits(tokenizer_json) else TextEncoder
         held = _CACHE["encoder"] = ((tokenizer_json, dtype), kind(tokenizer_json, dtype))
     return held[1]
 
