@@ -1,6 +1,6 @@
 """The operators' queries by name, and their SQL where it can express them."""
 
-from . import decontaminate, minhash, mixing, quality_rules, token_files
+from . import decontaminate, html_extract, minhash, mixing, quality_rules, surrogates, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -8,6 +8,8 @@ QUERIES = {
     "op3_token_files": token_files.query,
     "op5_minhash": minhash.query,
     "op6_mixing": mixing.query,
+    "op7_html_extract": html_extract.query,
+    "op10_surrogates": surrogates.query,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.SQL,
