@@ -1,11 +1,12 @@
 """The operators' queries by name, and their SQL where it can express them."""
 
-from . import decontaminate, html_extract, minhash, mixing, quality_rules, surrogates, token_files
+from . import decontaminate, html_extract, minhash, mixing, quality_rules, substring_dedup, surrogates, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_decontaminate": decontaminate.query,
     "op3_token_files": token_files.query,
+    "op4_substring_dedup": substring_dedup.query,
     "op5_minhash": minhash.query,
     "op6_mixing": mixing.query,
     "op7_html_extract": html_extract.query,
@@ -14,5 +15,6 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": quality_rules.SQL,
     "op2_decontaminate": decontaminate.SQL,
+    "op4_substring_dedup": substring_dedup.SQL,
     "op6_mixing": mixing.SQL,
 }

@@ -173,25 +173,15 @@ def _finish(window: int, gram: int):
 
         for batch in batches:
             spans, kept = [], []
-            for value, digest, copy, factors, found in zip(
-                common.texts_of(batch, "text"), batch.column("digest").to_pylist(), batch.column("is_copy").to_pylist(), batch.column("earlier").to_pylist(), batch.column("found").to_pylist()
-            ):
-                words = value.split() if value else []
-                if copy:
-                    own = [[0, len(words)]]
-                elif not factors and not found:
-                    own = []
-                else:
-                    parsed = Parsed(words, window, gram)
-                    starts = np.flatnonzero(_settled(parsed, set(factors or ())))
-                    own = spans_of(np.union1d(starts, np.array(found or [], np.int64)), window)
+            for value, factors, found in zip(common.texts_of(batch, "text"), batch.column("earlier").to_pylist(), batch.column("found").to_pylist()):
+                words = value.split()
+                starts = np.flatnonzero(_settled(Parsed(words, window, gram), set(factors or ())))
+                own = spans_of(np.union1d(starts, np.array(found or [], np.int64)), window)
+                rest = [w for a, b in zip([0, *(s[1] for s in own)], [*(s[0] for s in own), len(words)]) for w in words[a:b]]
                 spans.append(own)
-                if own:
-                    rest = [w for a, b in zip([0, *(s[1] for s in own)], [*(s[0] for s in own), len(words)]) for w in words[a:b]]
-                    digest = hashlib.sha256(b" ".join(rest)).digest()
-                kept.append(digest.hex())
+                kept.append(hashlib.sha256(b" ".join(rest)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("n_words"), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.string())], names=["id", "n_words", "spans", "kept_sha256"]
+                [batch.column("id"), batch.column("digest"), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.string())], names=["id", "digest", "spans", "kept_sha256"]
             )
 
     return run
@@ -223,23 +213,40 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, tex
     factors = factors.join(least(factors), "key").where("id > first").groupBy("id", "digest").agg(F.collect_set("key").alias("earlier"))
     marks = common.materialise(anchors.join(factors, ["id", "digest"], "left"), "substring-marks")
     # the texts that share an anchor, written once: the boundary windows and the last step read them
-    sha = F.sha2(F.regexp_replace(F.btrim(F.col("text"), F.lit(common.SPACE)), common.SPACE_RUN, " "), 256)
-    sharing = rows.join(marks.select("id").distinct(), "id", "left_semi").withColumn("digest", F.unhex(sha)).join(marks, ["id", "digest"])
+    sha = F.unhex(F.sha2(F.regexp_replace(F.btrim(F.col("text"), F.lit(common.SPACE)), common.SPACE_RUN, " "), 256))
+    sharing = rows.join(marks, "id").where(sha == F.col("digest"))
     sharing = common.materialise(sharing.dropDuplicates(["id", "digest"]), "substring-sharing")
     windows = common.materialise(sharing.mapInArrow(_windows(window, gram), "id long, digest binary, starts array<long>, keys array<long>"), "substring-windows")
     each = windows.select("id", "digest", F.explode(F.arrays_zip("starts", "keys")).alias("w")).select("id", "digest", F.col("w.starts").alias("start"), F.col("w.keys").alias("key"))
     found = each.join(least(each), "key").where("id > first").groupBy("id", "digest").agg(F.collect_set("start").alias("found"))  # of one document
-    ready = sharing.join(found, ["id", "digest"], "left").select("id", F.lit(0).cast("long").alias("n_words"), "digest", "text", F.lit(False).alias("is_copy"), "earlier", "found")
-    cut = ready.where("earlier IS NOT NULL OR found IS NOT NULL").withColumn("n_words", F.lit(None).cast("long"))
-    done = cut.select("id", F.col("digest").alias("key_digest"), F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"), "digest", "text", "is_copy", "earlier", "found")
-    spans = _with_digest(done, window, gram)
-    empty = hashlib.sha256(b"").hexdigest()
+    cut = sharing.join(found, ["id", "digest"], "left").where("earlier IS NOT NULL OR found IS NOT NULL").select("id", "digest", "text", "earlier", "found")
+    spans = cut.mapInArrow(_finish(window, gram), "id long, digest binary, spans array<array<long>>, kept_sha256 string")
     out = parsed.select("id", "n_words", "digest").join(spans, ["id", "digest"], "left").join(copies.withColumn("is_copy", F.lit(True)), ["id", "digest"], "left")
     whole = F.array(F.array(F.lit(0).cast("long"), F.col("n_words")))
     return out.select(
         "id",
         "n_words",
         F.when(F.col("is_copy"), whole).otherwise(F.coalesce("spans", F.array().cast("array<array<bigint>>"))).alias("spans"),
-        F.when(F.col("is_copy"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"),
-        "digest",
+        F.when(F.col("is_copy"), F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"),
     )
+
+
+def query(spark, sf_dir):
+    found = duplicate_spans(common.table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + F.get(s, F.lit(1)) - F.get(s, F.lit(0)))
+    return found.select(F.col("id").alias("doc_id"), "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(regexp_extract_all(text, '[^ \\t-\\r]+'), []) AS words FROM documents),
+place AS (
+  SELECT row_id, doc_id, i, md5(array_to_string(words[i : i + {WINDOW - 1}], ' ')) AS w
+  FROM (SELECT row_id, doc_id, words, unnest(generate_series(1, len(words) - {WINDOW - 1})) AS i FROM d WHERE len(words) >= {WINDOW} AND doc_id IS NOT NULL)
+),
+again AS (SELECT row_id, i FROM (SELECT row_id, doc_id, i, min(doc_id) OVER (PARTITION BY w) AS first FROM place) WHERE first < doc_id),
+gone AS (SELECT DISTINCT row_id, unnest(generate_series(i, i + {WINDOW - 1})) AS pos FROM again),
+word AS (SELECT row_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+kept AS (SELECT row_id, string_agg(word, ' ' ORDER BY pos) AS rest, count(*) AS n FROM word ANTI JOIN gone USING (row_id, pos) GROUP BY row_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (row_id)
+"""
