@@ -236,7 +236,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cove
     columns = docs.columns
     found = find(docs, benchmark, window, text=text, **options)
     found = found.where(n_hit(F.col("spans")) <= F.col("n_words") * F.lit(max_coverage))
-    clean = F.when(F.size("spans") == 0, F.col(text)).otherwise(_cutter()(F.col(text), F.col("spans")))
+    hit = F.when(F.size("spans") > 0, F.col(text))  # other texts don't go to Python again
+    cutter = F.udf(lambda value, spans: None if value is None else cut(value, spans), "string", useArrow=True)
+    clean = F.when(F.size("spans") == 0, F.col(text)).otherwise(cutter(hit, F.col("spans")))
     return found.withColumn(text, clean).select(*columns)
 
 
@@ -252,16 +254,6 @@ def cut(value: str, spans: list[list[int]]) -> str:
     return "".join([*out, value[at:]])
 
 
-def _cutter():
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def cut_all(values: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else cut(v, s) if len(s) else v for v, s in zip(values, spans)])
-
-    return cut_all
-
-
 def query(spark, sf_dir):
     found = find(common.table(spark, sf_dir, "documents").select("doc_id", "text"), common.table(spark, sf_dir, "benchmark"))
     return found.select(

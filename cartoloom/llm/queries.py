@@ -1,6 +1,6 @@
 """The operators' queries by name, and their SQL where it can express them."""
 
-from . import decontaminate, html_extract, licenses, minhash, mixing, quality_rules, substring_dedup, surrogates, token_files
+from . import decontaminate, html_extract, licenses, line_dedup, minhash, mixing, quality_rules, substring_dedup, surrogates, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_minhash": minhash.query,
     "op6_mixing": mixing.query,
     "op7_html_extract": html_extract.query,
+    "op8_line_dedup": line_dedup.query,
     "op9_licenses": licenses.query,
     "op10_surrogates": surrogates.query,
 }
