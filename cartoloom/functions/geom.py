@@ -257,4 +257,4 @@ def tile_type(t) -> Column:
 def number_text(v, digits=12) -> Column:
     """Plain decimal text without trailing zeros."""
     text = F.round(col(v), digits).cast(f"decimal(38,{digits})").cast("string")
-    return F.regexp_replace(text, r"\.?0+$", "")
+    return F.regexp_replace(text, r"\.0*$|(\.\d*?[1-9])0+$", "$1")

@@ -72,7 +72,9 @@ def assign_tiles(df, z, buffer=BUFFER, size=SIZE):
     last = (n - 1).cast("bigint")
     u0, u1 = m.world_u("minx") * n - pad, m.world_u("maxx") * n + pad
     v0, v1 = m.world_v("maxy") * n - pad, m.world_v("miny") * n + pad
-    inside = (u1 >= 0) & (u0 <= n) & (v1 >= 0) & (v0 <= n)
+    # a negative buffer can leave a small feature no range at all
+    meets = (F.ceil(u0 - 1) <= F.floor(u1)) & (F.ceil(v0 - 1) <= F.floor(v1))
+    inside = (u1 >= 0) & (u0 <= n) & (v1 >= 0) & (v0 <= n) & meets
     span = lambda lo, hi: F.sequence(F.greatest(F.least(F.ceil(lo - 1), last), F.lit(0)).cast("int"), F.least(F.floor(hi), last).cast("int"))
     return (
         df.where(inside)
@@ -222,7 +224,7 @@ def clip_polygons(df, box, geom="tgeom"):
 
 def clip_to_max_extent(df, box):
     """Restrict work to a maximum extent: drop features outside it, cut the others."""
-    return clip_polygons(clip_points_lines(ft.extent_filter(df, box), box, "geom"), box, "geom")
+    return g.with_bounds(clip_polygons(clip_points_lines(ft.extent_filter(df, box), box, "geom"), box, "geom"))
 
 
 # --- simplification -------------------------------------------------------------------------------
