@@ -53,7 +53,7 @@ _POOL_OF = {name.lower(): (pool, i) for pool, names in GIVEN.items() for i, name
 _EMAIL = re.compile(r"[A-Za-z0-9._%+'-]*[A-Za-z0-9]@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)")
 _CARD = re.compile(r"(?<![\d-])\d(?:[ -]?\d){11,18}(?![\d]|-\d)")
-_PHONE = re.compile(r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
+_PHONE = re.compile(r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
 _SECRET = re.compile(
     r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z]{20,}|xox[abp]-[0-9A-Za-z-]{10,})(?![0-9A-Za-z])"
@@ -223,9 +223,10 @@ def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, type) of the entities but persons, the first finder first, without overlaps."""
     found: list[tuple[int, int, str]] = []
     for kind, pattern in _FINDERS:
-        for m in pattern.finditer(text):
-            if m.end() > m.start() and not any(a < m.end() and m.start() < b for a, b, _ in found):
-                found.append((m.start(), m.end(), kind))
+        spans = [m.span() for m in pattern.finditer(text)]
+        found += [(a, b, kind) for a, b in spans]
+        for a, b in spans:  # later finders don't reach into what is taken
+            text = f"{text[:a]}{chr(0) * (b - a)}{text[b:]}"
     return sorted(found)
 
 

@@ -120,10 +120,10 @@ def test_mixing(spark):
 
 def test_html_extract(spark):
     page = "<html><head><title>t</title></head><body><nav><a>x</a></nav><div class='ad'>buy</div><article><h1>Top &amp; so</h1><p>One<br> two<p>Three</article><footer>f</footer>"
-    plain = "<body><div>shared words that every page of this host has on top</div><p>own text {}</p></body>"
+    plain = "<body><div>shared words that every page of this host has on top</div><p>{} tells its own story</p></body>"
     rows = [(1, "http://a.example/1", page), (2, "http://a.example/2", plain.format("b")), (3, "http://a.example/3", plain.format("c")), (4, None, None), (5, "u", "")]
     got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got == {1: "Top & so\n\nOne two\n\nThree", 2: "own text b", 3: "own text c", 4: "", 5: ""}
+    assert got == {1: "Top & so\n\nOne two\n\nThree", 2: "b tells its own story", 3: "c tells its own story", 4: "", 5: ""}
 
 
 def test_suffix_array_runs():
