@@ -1,145 +1,78 @@
-"""Spreading hot groups over many tasks.
+"""Work on groups of any size, and the shared folder for intermediate data.
 
-The hot groups of a table are its ``MAX_HOT`` largest ones among those above
-``min_rows`` rows. The list is bounded whatever the data, so it may be read and
-sent to every task. A group that is left out holds at most ``min_rows`` rows or
-1 / ``MAX_HOT`` of the table, which one task can take.
+Positions come from a range partitioning over keys and order together, so a hot
+group lies on as many tasks as it needs; blocks are cut by position and depend
+neither on the size of a group nor on where partitions end. Joins need no help
+from here: adaptive execution splits the partitions of hot keys, and no count
+runs ahead of the real work.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT = 20_000
-MIN_ROWS = 1_000_000
-MAX_SLICES = 2_000
 
-
-def hot_groups(df: DataFrame, keys, name, min_rows=MIN_ROWS) -> DataFrame | None:
-    """Hot groups with the number of slices each is to be cut into; None when there are none.
-
-    One counting pass over the keys, combined before its shuffle, ahead of the
-    real work: without hot groups the plan stays as simple as it was.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
-    top = counts.orderBy(F.desc("_n")).limit(MAX_HOT)
-    slices = F.least(F.ceil(F.col("_n") / min_rows), F.lit(MAX_SLICES)).cast("int")
-    found = top.select(*keys, slices.alias(name))
-    rows = found.collect()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema)) if rows else None
-
-
-def slice_of(n: Column, *ids) -> Column:
-    return F.pmod(F.xxhash64(*ids), n).cast("int")
-
-
-def _null_safe_join(df, other, keys, how):
-    cond = None
-    renamed = other
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return df.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def _own_slice(df, hot, keys, n, ids, name):
-    return _null_safe_join(df, hot, keys, "left").withColumn(name, F.coalesce(slice_of(F.col(n), *ids), F.lit(0))).drop(n)
-
-
-def _every_slice(df, hot, keys, n, name):
-    last = F.coalesce(F.col(n), F.lit(1)) - 1
-    return _null_safe_join(df, hot, keys, "left").withColumn(name, F.explode(F.sequence(F.lit(0), last))).drop(n)
-
-
-def with_slice(df: DataFrame, keys, ids, slice_col="_slice", min_rows=MIN_ROWS) -> DataFrame:
-    """Number the slices of hot groups; rows of other groups get slice 0."""
-    hot = hot_groups(df, keys, "_slices", min_rows)
-    if hot is None:
-        return df.withColumn(slice_col, F.lit(0))
-    return _own_slice(df, hot, keys, "_slices", ids, slice_col)
-
-
-def sliced_join(left: DataFrame, right: DataFrame, on, left_ids, right_ids=None, how="inner", min_rows=MIN_ROWS) -> DataFrame:
-    """Equi-join whose hot keys are cut on both sides.
-
-    Each side's rows of a hot key take one slice of their own side and are
-    copied to every slice of the other side, so each pair still meets exactly
-    once. ``right_ids=None`` says that the right side has one row per key and
-    needs no slices of its own; only then may ``how`` be a left join.
-    """
-    on = list(on)
-    if how != "inner" and right_ids is not None:
-        raise ValueError("outer joins need a right side with one row per key")
-    hot_left = hot_groups(left, on, "_nl", min_rows)
-    hot_right = hot_groups(right, on, "_nr", min_rows) if right_ids is not None else None
-    keys = list(on)
-    if hot_left is not None:
-        left, right = _own_slice(left, hot_left, on, "_nl", left_ids, "_sl"), _every_slice(right, hot_left, on, "_nl", "_sl")
-        keys.append("_sl")
-    if hot_right is not None:
-        left, right = _every_slice(left, hot_right, on, "_nr", "_sr"), _own_slice(right, hot_right, on, "_nr", right_ids, "_sr")
-        keys.append("_sr")
-    return left.join(right, keys, how).drop(*keys[len(on):])
-
-
-def chunked(df: DataFrame, keys, order, size, chunk_col="chunk", min_rows=MIN_ROWS) -> DataFrame:
-    """Number blocks of at most ``size`` rows inside every group.
-
-    The window runs per slice, so no task orders a hot group whole; a later
-    ``groupBy(*keys, chunk)`` gathers bounded arrays only.
-    """
-    keys = list(keys)
-    sliced = with_slice(df, keys, order, min_rows=min_rows)
-    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    block = F.floor((F.row_number().over(w) - 1) / size)
-    return sliced.withColumn(chunk_col, F.shiftleft(F.col("_slice").cast("bigint"), 32) + block).drop("_slice")
+def shared_folder(spark) -> str:
+    """The session's checkpoint folder; only a local session without one gets a temporary folder, removed at its end."""
+    sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="cartoloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder of the cluster."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="cartoloom-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def shared_path(spark, name) -> str:
     """A fresh path below the shared checkpoint folder."""
-    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or tempfile.mkdtemp(prefix="cartoloom-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def dense_index(df: DataFrame, order, name) -> DataFrame:
-    """0-based dense position in a total order, without ordering everything in one task.
+def group_position(df: DataFrame, keys, order, name) -> DataFrame:
+    """0-based position of every row inside its group; ``order`` should tell all rows of a group apart.
 
-    Rows are range partitioned and written once; only the per-partition counts
-    (one row per partition) are summed in one place.
+    Rows are range partitioned and written once. Only a partition's first group
+    can have begun in an earlier one, so the table of starts has at most one row
+    per partition, which bounds its broadcast.
     """
-    ranged = checkpoint(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
-    totals = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    starts = totals.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
-    )
-    pos = F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1
-    return ranged.join(F.broadcast(starts), "_pid").withColumn(name, (F.col("_start") + pos).cast("bigint")).drop("_pid", "_start")
+    keys = list(keys)
+    ranged = checkpoint(df.repartitionByRange(*keys, *order).withColumn("_pid", F.spark_partition_id()))
+    counts = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_start", F.sum("_n").over(before)).where("_start > 0").select(
+        F.col("_pid").alias("_at"), "_start", *[F.col(k).alias(f"_at_{k}") for k in keys])
+    same = F.col("_pid") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
+    rank = F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)) - 1
+    out = ranged.withColumn("_rank", rank).join(F.broadcast(starts), same, "left")
+    return out.select(*df.columns, (F.coalesce("_start", F.lit(0)) + F.col("_rank")).cast("bigint").alias(name))
 
 
+def dense_index(df: DataFrame, order, name) -> DataFrame:
+    """0-based dense position in a total order, without ordering everything in one task."""
+    return group_position(df, [], order, name)
 
-def sorted_arrays(df: DataFrame, keys, order, value, name, part="part") -> DataFrame:
-    """Sorted arrays per group, cut where a range partition ends.
 
-    Range partitioning on keys and order together spreads a hot group over as
-    many tasks as it needs; its arrays, read in ``part`` order, are one sorted
-    list. Other groups have a single part 0.
-    """
-    keys = list(keys)
-    ranged = df.repartitionByRange(*keys, *order).withColumn("_pid", F.spark_partition_id())
-    arrays = ranged.groupBy(*keys, "_pid").agg(F.sort_array(F.collect_list(value)).alias(name))
-    w = Window.partitionBy(*keys).orderBy("_pid")
-    return arrays.withColumn(part, F.row_number().over(w) - 1).drop("_pid")
+def chunked(df: DataFrame, keys, order, size, chunk_col="chunk") -> DataFrame:
+    """Number blocks of ``size`` rows inside every group, by position; the last block may be shorter."""
+    return group_position(df, keys, order, "_pos").withColumn(chunk_col, F.floor(F.col("_pos") / size)).drop("_pos")
+
+
+def sorted_arrays(df: DataFrame, keys, order, value, name, size=10_000, part="part") -> DataFrame:
+    """Sorted arrays of at most ``size`` values per group; read in ``part`` order they are one sorted list."""
+    blocks = chunked(df, keys, order, size, part)
+    return blocks.groupBy(*keys, part).agg(F.sort_array(F.collect_list(value)).alias(name))

@@ -161,48 +161,48 @@ THIRD, TWO_THIRDS = 0.33333, 0.66666
 def with_hsl(df, rgb, hsl):
     """Add hue, saturation and lightness of three channels in 0..255.
 
-    Intermediate values are columns of their own: each is computed once.
+    The hue is the place on a ring of six sextants: the largest channel gives
+    the centre, the difference of the other two, over the chroma, the way from
+    it. Intermediate values are columns of their own: each is computed once.
     """
     r, g, b = (F.col(f"_u{i}") for i in range(3))
     out = df.withColumns({f"_u{i}": F.col(c) / 255.0 for i, c in enumerate(rgb)})
-    out = out.withColumns({"_hi": F.greatest(r, g, b), "_lo": F.least(r, g, b)})
-    delta, total = F.col("_hi") - F.col("_lo"), F.col("_hi") + F.col("_lo")
-    out = out.withColumns({"_delta": delta, "_total": total, "_light": total / 2.0})
-    delta, total, light = F.col("_delta"), F.col("_total"), F.col("_light")
-    flat = delta == 0
-    s = F.when(flat, 0.0).when(light > 0.5, delta / (F.lit(2.0) - total)).otherwise(delta / total)
-    h = (
-        F.when((b >= g) & (b > r), (r - g) / delta + 4.0).when((g >= r) & (g > b), (b - r) / delta + 2.0)
-        .when((r >= b) & (r > g), (g - b) / delta + F.when(g < b, F.lit(6.0)).otherwise(F.lit(0.0))).otherwise(F.lit(0.0)) / 6.0
-    )
-    out = out.withColumns(dict(zip(hsl, (F.when(flat, 0.0).otherwise(h), s, light))))
-    return out.drop("_u0", "_u1", "_u2", "_hi", "_lo", "_delta", "_total", "_light")
+    out = out.withColumns({"_top": F.greatest(r, g, b), "_low": F.least(r, g, b)})
+    top = F.col("_top")
+    out = out.withColumns({"_chroma": top - F.col("_low"), "_both": top + F.col("_low")})
+    chroma, both = F.col("_chroma"), F.col("_both")
+    gray = chroma == 0
+    centre = F.when(top == r, 0.0).when(top == g, 2.0).otherwise(4.0)
+    way = F.when(top == r, g - b).when(top == g, b - r).otherwise(r - g)
+    hue = F.pmod(way / chroma + centre, F.lit(6.0)) / 6.0
+    room = F.least(both, F.lit(2.0) - both)  # the largest chroma at this lightness
+    out = out.withColumns(dict(zip(hsl, (F.when(gray, 0.0).otherwise(hue), F.when(gray, 0.0).otherwise(chroma / room), both / 2.0))))
+    return out.drop("_u0", "_u1", "_u2", "_top", "_low", "_chroma", "_both")
 
 
 def with_rgb(df, hsl, rgb):
     """Add channels in 0..255 from hue, saturation and lightness.
 
-    Grays round to the nearest value, colours are cut to whole numbers, as the
-    reference does.
+    Over the ring of hues a channel is a trapezoid between lightness minus and
+    plus ``saturation * min(lightness, 1 - lightness)``: it rises during one
+    sextant, stays for two, falls during one. The channels are the same shape, a
+    third of the ring apart.
     """
     h, s, light = (F.col(c) for c in hsl)
-    out = df.withColumn("_m2", F.when(light <= 0.5, light * (s + 1)).otherwise(light + s - light * s))
-    out = out.withColumn("_m1", light * 2.0 - F.col("_m2"))
-    m1, m2 = F.col("_m1"), F.col("_m2")
-    turned = {f"_t{i}": h + shift for i, shift in enumerate((THIRD, 0.0, -THIRD))}
-    out = out.withColumns(turned)
-    out = out.withColumns({t: F.when(F.col(t) < 0, F.col(t) + 1).when(F.col(t) > 1, F.col(t) - 1).otherwise(F.col(t)) for t in turned})
-    gray = F.floor(light * 255.0 + 0.5).cast("int")
+    out = df.withColumn("_swing", s * F.least(light, F.lit(1.0) - light))
+    turns = {"_t0": THIRD, "_t1": 0.0, "_t2": -THIRD}
+    out = out.withColumns({t: h + shift for t, shift in turns.items()})
+    out = out.withColumns({t: F.col(t) + F.when(F.col(t) < 0, 1.0).when(F.col(t) > 1, -1.0).otherwise(0.0) for t in turns})
+    low, high = light - F.col("_swing"), light + F.col("_swing")
 
     def channel(t):
-        v = (
-            F.when(t * 6 < 1, m1 + (m2 - m1) * t * 6).when(t * 2 < 1, m2)
-            .when(t * 3 < 2, m1 + (m2 - m1) * (F.lit(TWO_THIRDS) - t) * 6).otherwise(m1)
-        )
-        return F.when(s == 0, gray).otherwise(F.greatest(F.floor(v * 255.0), F.lit(0)).cast("int"))
+        foot = F.when(t < 0.5, t).when(t < 2 / 3, F.lit(TWO_THIRDS) - t).otherwise(F.lit(0.0))  # way from the nearer foot of the shape
+        v = F.when((t >= 1 / 6) & (t < 0.5), high).otherwise(low + (high - low) * foot * 6)
+        # Grays round to the nearest, colours are cut to whole numbers.
+        return F.when(s == 0, F.floor(light * 255.0 + 0.5)).otherwise(F.greatest(F.floor(v * 255.0), F.lit(0))).cast("int")
 
-    out = out.withColumns({c: channel(F.col(t)) for c, t in zip(rgb, turned)})
-    return out.drop("_m1", "_m2", *turned)
+    out = out.withColumns({c: channel(F.col(t)) for c, t in zip(rgb, turns)})
+    return out.drop("_swing", *turns)
 
 
 def rgb2hsl(df):
@@ -249,28 +249,29 @@ def tint(df, h=(0, 1), s=(0, 1), l=(0, 1), a=(0, 1)):  # noqa: E741
 # --- stacks of layers -----------------------------------------------------------------------------
 
 def blend_over(target, source):
-    """One packed pixel over another: exact whole-number source-over on plain colours."""
-    t, s = target, source
-    big = lambda v: F.lit(v).cast("bigint")
-    sa, ta = _channel(s, 24), _channel(t, 24)
-    alpha = F.shiftleft(sa + ta, 8) - ta * sa
+    """One packed pixel over another: source-over on plain colours in whole numbers.
+
+    The source weighs its alpha, the target its own alpha times what the source
+    lets through. Fixed values: alphas are 256ths here, so opaque is 256 in the
+    part that shines through, and every result is cut to a whole number.
+    """
+    sa, ta = _channel(source, 24), _channel(target, 24)
+    over, under = sa * 256, ta * (F.lit(256).cast("bigint") - sa)
+    total = over + under
 
-    def mix(shift):
-        under = _channel(t, shift) * ta
-        numerator = (F.shiftleft(_channel(s, shift), 8) - under) * sa + F.shiftleft(under, 8)
-        return F.floor(numerator / F.when(alpha == 0, big(1)).otherwise(alpha)).cast("bigint")
+    def mean(shift):
+        weighed = _channel(source, shift) * over + _channel(target, shift) * under
+        return F.shiftleft(F.floor(weighed / F.greatest(total, F.lit(1).cast("bigint"))).cast("bigint"), shift)
 
-    mixed = F.shiftleft(F.shiftright(alpha, 8), 24)
-    for shift in (16, 8, 0):
-        mixed = mixed.bitwiseOR(F.shiftleft(mix(shift), shift))
-    return F.when(sa == 0, t).when((sa == 255) | (ta == 0), s).otherwise(mixed)
+    mixed = F.shiftleft(F.shiftright(total, 8), 24).bitwiseOR(mean(16)).bitwiseOR(mean(8)).bitwiseOR(mean(0))
+    return F.when(sa == 0, target).when((sa == 255) | (ta == 0), source).otherwise(mixed)
 
 
 def _skip_covered(cells, width, height):
     """Leave out layers below the topmost layer that covers its canvas with opaque cells."""
     full = cells.where(_channel(F.col("p"), 24) == 255).groupBy("canvas_id", "ord").agg(F.count(F.lit(1)).alias("n"))
     top = full.where(F.col("n") == width * height).groupBy("canvas_id").agg(F.max("ord").alias("_top"))
-    joined = skew.sliced_join(cells, top, ["canvas_id"], ["ord", "x", "y"], how="left")
+    joined = cells.join(top, "canvas_id", "left")
     return joined.where(F.col("_top").isNull() | (F.col("ord") >= F.col("_top"))).drop("_top")
 
 

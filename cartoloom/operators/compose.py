@@ -53,7 +53,7 @@ def clear(tiles, ids):
     return tiles.join(ids.select(*TILE).distinct(), list(TILE), "left_anti")
 
 
-def tiles_to_geojson(tiles, mode="__all__", per_document=10_000, digits=12, size=SIZE, min_rows=skew.MIN_ROWS):
+def tiles_to_geojson(tiles, mode="__all__", per_document=10_000, digits=12, size=SIZE):
     """GeoJSON text per tile: ``__all__`` one collection, ``__array__`` one per layer with its name,
     or the layer of a name or of an index. Geometry outside the tile stays.
 
@@ -61,13 +61,13 @@ def tiles_to_geojson(tiles, mode="__all__", per_document=10_000, digits=12, size
     """
     if isinstance(mode, int) and not isinstance(mode, bool):
         picked = names(tiles).select(*TILE, F.get("names", F.lit(mode)).alias("layer")).where(F.col("layer").isNotNull())
-        tiles = skew.sliced_join(tiles, picked, LAYER, ["fid"], min_rows=min_rows)
+        tiles = tiles.join(picked, list(LAYER))
     elif mode not in ("__all__", "__array__"):
         tiles = extract_layer(tiles, mode)
     keys = list(TILE) if mode == "__all__" else list(LAYER)
     text = export.feature_json("fid", "geom", F.to_json("props"), digits)
     rows = tl.dequantize(tiles, size).select(*LAYER, "layer_ord", "fid", text.alias("text"))
-    docs = skew.chunked(rows, keys, ["layer_ord", "fid", "text"], per_document, "part", min_rows).groupBy(*keys, "part").agg(
+    docs = skew.chunked(rows, keys, ["layer_ord", "fid", "text"], per_document, "part").groupBy(*keys, "part").agg(
         F.array_sort(F.collect_list(F.struct("layer_ord", "fid", "text"))).alias("f"), F.count(F.lit(1)).alias("features")
     )
     body = F.array_join(F.transform("f", lambda s: s["text"]), ",")
@@ -149,20 +149,20 @@ def replace_tiles(a, b):
     return clear(a, b).unionByName(b)
 
 
-def _first_source_wins(rows, min_rows=skew.MIN_ROWS):
+def _first_source_wins(rows):
     """Keep a layer's rows from its first source only (column ``_src``)."""
     winner = rows.groupBy(*LAYER).agg(F.min("_src").alias("_win"))
-    joined = skew.sliced_join(rows, winner, LAYER, ["_src", "fid"], min_rows=min_rows)
+    joined = rows.join(winner, list(LAYER))
     return joined.where(F.col("_src") == F.col("_win")).drop("_src", "_win")
 
 
-def composite_same(target, sources, min_rows=skew.MIN_ROWS):
+def composite_same(target, sources):
     """Same z/x/y: concatenate layers; the first layer of a name wins."""
     out = None
     for i, df in enumerate([target, *sources]):
         df = df.withColumn("_src", F.lit(i))
         out = df if out is None else out.unionByName(df)
-    return _first_source_wins(out, min_rows)
+    return _first_source_wins(out)
 
 
 def _move(df, factor, dx, dy, geom="tgeom"):
@@ -203,7 +203,7 @@ def composite_overzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1
     return _finish(moved.select(*tiles.columns), size, buffer, area_threshold)
 
 
-def composite_underzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1, min_rows=skew.MIN_ROWS):
+def composite_underzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1):
     """Mosaic of tiles into their ancestors; a layer name is taken from its first source tile."""
     k = F.pow(F.lit(2.0), F.col("z") - zoom).cast("bigint")
     rows = tiles.where(F.col("z") >= zoom).withColumn("_k", k)
@@ -215,7 +215,7 @@ def composite_underzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.
     moved = moved.withColumn("_src", F.struct("z", "x", "y")).withColumns({
         "x": F.col("_ax").cast("int"), "y": F.col("_ay").cast("int"), "z": F.lit(zoom),
     })
-    out = _first_source_wins(moved.select(*tiles.columns, "_src"), min_rows)
+    out = _first_source_wins(moved.select(*tiles.columns, "_src"))
     return _finish(out, size, buffer, area_threshold)
 
 

@@ -4,7 +4,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
-from ..functions import skew
 from . import burn
 
 
@@ -84,11 +83,11 @@ def encode_keys(cells, width, height, resolution=4):
     return first.select("grid_id", "key", i.alias("key_ord"), _code_point(i).alias("code"))
 
 
-def encode_utf(cells, width, height, resolution=4, min_rows=skew.MIN_ROWS):
+def encode_utf(cells, width, height, resolution=4):
     """One string per sampled row, one character per sampled cell."""
     keys = encode_keys(cells, width, height, resolution)
     sampled = dense_grid(cells, width, height, resolution)
-    coded = skew.sliced_join(sampled, keys, ["grid_id", "key"], ["x", "y"], min_rows=min_rows)
+    coded = sampled.join(keys, ["grid_id", "key"])
     char = F.decode(F.unhex(F.lpad(F.hex("code"), 8, "0")), "UTF-32")
     line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x", char.alias("c")))), lambda s: s["c"]), "")
     return coded.groupBy("grid_id", "y").agg(line.alias("line"))

@@ -122,7 +122,7 @@ def decode_commands(cmds, gtype):
     )
 
 
-def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2, min_rows=skew.MIN_ROWS):
+def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2):
     """One row per tile layer: key and value dictionaries, and features with index pairs.
 
     A layer above ``per_row`` features takes several rows (``part``), each with
@@ -134,9 +134,9 @@ def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2, m
     kinds = F.lit("string")
     for k, t in (prop_types or {}).items():
         kinds = F.when(F.col("_k") == k, t).otherwise(kinds)
-    rows = skew.chunked(tiles, [*TILE, "layer"], ["fid"], per_row, "part", min_rows)
     # a feature id may repeat inside a layer, so features are told apart by position
-    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("fid", F.col("props").cast("string"))))
+    order = ["fid", F.col("props").cast("string"), F.xxhash64("tgeom")]
+    rows = skew.group_position(tiles, [*TILE, "layer"], order, "_n").withColumn("part", F.floor(F.col("_n") / per_row))
     pairs = rows.select(*keys, "layer_ord", "_n", "fid", "gtype", commands("tgeom").alias("geometry"), F.explode_outer("props").alias("_k", "_v"))
     value = F.when(F.col("_k").isNotNull(), F.struct(kinds.alias("kind"), F.col("_v").alias("text")))
     pairs = pairs.withColumn("_val", value)

@@ -112,27 +112,27 @@ def _line_pieces(lines, fields, tolerance):
     }).drop("_n", "_i")
 
 
-def _near_pairs(points, shapes, tolerance, min_rows):
+def _near_pairs(points, shapes, tolerance):
     """Points beside every shape whose padded envelope holds them."""
     cells = _feature_cells(shapes, tolerance)
     in_use = [r["_level"] for r in cells.select("_level").distinct().collect()]  # at most 25 numbers
     levels = F.array(*[F.lit(n) for n in in_use]) if in_use else F.expr("cast(array() as array<int>)")
     n = F.pow(F.lit(2.0), F.col("_level"))
     pts = points.withColumn("_level", F.explode(levels)).withColumns({"_cx": F.floor(m.world_u("_px") * n), "_cy": F.floor(m.world_v("_py") * n)})
-    pairs = skew.sliced_join(pts, cells, ["_level", "_cx", "_cy"], ["pid"], ["layer", "fid"], min_rows=min_rows)
+    pairs = pts.join(cells, ["_level", "_cx", "_cy"])
     return pairs.where(
         F.col("_px").between(F.col("minx") - tolerance, F.col("maxx") + tolerance)
         & F.col("_py").between(F.col("miny") - tolerance, F.col("maxy") + tolerance)
     )
 
 
-def query_many(points, features, tolerance=0.0, layer=None, fields=None, min_rows=skew.MIN_ROWS):
+def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     """For each point all features within the tolerance (a point in a polygon is at distance 0).
 
     An equi-join on grid cells: shapes sit on the grid level of their own size,
     points on every level in use (25 at most), so a pair meets in one cell.
-    Lines join piece by piece and keep the least distance. Hot cells are sliced
-    on both sides.
+    Lines join piece by piece and keep the least distance. Adaptive execution
+    splits hot cells.
     """
     if layer is not None:
         features = features.where(F.col("layer") == layer)
@@ -146,11 +146,11 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None, min_row
     px, py = F.col("_px"), F.col("_py")
     out = None
     if kinds != {True}:
-        near = _near_pairs(pts, keep.where(~is_line), tolerance, min_rows)
+        near = _near_pairs(pts, keep.where(~is_line), tolerance)
         away = F.when(F.col("geom.type") == g.POINT, g.distance(F.col("minx"), F.col("miny"), px, py)).otherwise(g.geometry_hit("geom", px, py)["distance"])
         out = near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)).select("pid", "layer", "fid", "distance", *fields)
     if True in kinds:
-        near = _near_pairs(pts, _line_pieces(keep.where(is_line), fields, tolerance), tolerance, min_rows)
+        near = _near_pairs(pts, _line_pieces(keep.where(is_line), fields, tolerance), tolerance)
         away = g.segment_distance(px, py, *[F.col(c) for c in ("_ax", "_ay", "_bx", "_by")])
         hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance).groupBy("pid", "layer", "fid").agg(
             F.min("distance").alias("distance"), *[F.first(f).alias(f) for f in fields])
@@ -158,9 +158,9 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None, min_row
     return out
 
 
-def hits_by_point(hits):
-    """Hits grouped per point, nearest first; only points with very many hits have several parts."""
-    return skew.sorted_arrays(hits, ["pid"], ["distance", "fid"], F.struct("distance", "fid"), "hits")
+def hits_by_point(hits, per_part=10_000):
+    """Hits grouped per point, nearest first; a point with more than ``per_part`` hits has several parts."""
+    return skew.sorted_arrays(hits, ["pid"], ["distance", "fid"], F.struct("distance", "fid"), "hits", per_part)
 
 
 def hit_features(features, hits):

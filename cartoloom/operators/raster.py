@@ -8,7 +8,6 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import skew
 from . import burn
 
 RGBA = ("r", "g", "b", "a")
@@ -125,10 +124,10 @@ def cast_copy(df, pixel_type, offset=0.0, scaling=1.0):
 
 # --- resampling -----------------------------------------------------------------------------------
 
-def _with_size(df, min_rows=skew.MIN_ROWS):
+def _with_size(df):
     """Image size on every cell; a very large image is sliced over tasks."""
     size = df.groupBy("img_id").agg((F.max("x") + 1).alias("_w"), (F.max("y") + 1).alias("_h"))
-    return skew.sliced_join(df, size, ["img_id"], ["x", "y"], min_rows=min_rows)
+    return df.join(size, "img_id")
 
 
 def _check_size(width, height):

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
-from ..functions import skew
 from . import export, tiles as tl
 
 # Our own wording: the reference's messages come from an outside library.
@@ -44,12 +43,12 @@ def _meet(a, b):
     )
 
 
-def crossing_pairs(segments, keys=("layer", "fid"), min_rows=skew.MIN_ROWS):
+def crossing_pairs(segments, keys=("layer", "fid")):
     """Segment pairs of one geometry that meet other than as neighbours.
 
     Segments go to the cells of a grid fitted to their geometry - about as many
-    cells as segments - and only segments of one cell are compared. Cells that
-    still hold a large share of the rows are sliced on both sides.
+    cells as segments - and only segments of one cell are compared. Adaptive
+    execution splits cells that still hold a large share of the rows.
     """
     keys = list(keys)
     lo = lambda a, b: F.least(F.col(a), F.col(b))
@@ -59,7 +58,7 @@ def crossing_pairs(segments, keys=("layer", "fid"), min_rows=skew.MIN_ROWS):
         F.min(lo("ay", "by")).alias("_y0"), F.max(hi("ay", "by")).alias("_y1"),
         F.greatest(F.floor(F.sqrt(F.count(F.lit(1)))), F.lit(1)).alias("_k"),
     )
-    rows = skew.sliced_join(segments, frame, keys, ["part", "ring", "seg"], min_rows=min_rows)
+    rows = segments.join(frame, keys)
 
     def cell(v, v0, v1):
         width = F.col(v1) - F.col(v0)
@@ -70,7 +69,7 @@ def crossing_pairs(segments, keys=("layer", "fid"), min_rows=skew.MIN_ROWS):
         .withColumn("_cy", F.explode(F.sequence(cell(lo("ay", "by"), "_y0", "_y1"), cell(hi("ay", "by"), "_y0", "_y1"))))
     rows = rows.withColumn("s", F.struct("part", "ring", "n", "seg", "type", "ax", "ay", "bx", "by")).select(*keys, "_cx", "_cy", "s")
     left, right = rows.withColumnRenamed("s", "a"), rows.withColumnRenamed("s", "b")
-    pairs = skew.sliced_join(left, right, [*keys, "_cx", "_cy"], ["a"], ["b"], min_rows=min_rows)
+    pairs = left.join(right, [*keys, "_cx", "_cy"])
     a, b = F.col("a"), F.col("b")
     order = F.struct(a["part"], a["ring"], a["seg"]) < F.struct(b["part"], b["ring"], b["seg"])
     same_ring = (a["part"] == b["part"]) & (a["ring"] == b["ring"])
@@ -86,17 +85,17 @@ def crossing_pairs(segments, keys=("layer", "fid"), min_rows=skew.MIN_ROWS):
     return pairs.where(order & bad)
 
 
-def simplicity_report(df, geom="tgeom", keys=("layer", "fid"), min_rows=skew.MIN_ROWS):
+def simplicity_report(df, geom="tgeom", keys=("layer", "fid")):
     """Keys of geometries that are not simple: repeated points in a multipoint, crossings in lines and rings."""
     keys = list(keys)
     vs = g.vertices(geom)
     repeated = df.where((F.col(geom)["type"] == g.MULTIPOINT) & (F.size(F.array_distinct(vs)) < F.size(vs))).select(*keys)
     lines = df.where(~F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
-    pairs = crossing_pairs(segment_table(lines, geom, keys), keys, min_rows)
+    pairs = crossing_pairs(segment_table(lines, geom, keys), keys)
     return repeated.unionByName(pairs.select(*keys)).distinct()
 
 
-def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False, lat_lon=False, web_merc=False, size=tl.SIZE, digits=6, min_rows=skew.MIN_ROWS):
+def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False, lat_lon=False, web_merc=False, size=tl.SIZE, digits=6):
     """Rows ``(keys, message, geojson)`` of invalid geometries.
 
     With ``split_multi`` each part is checked and reported by itself. The text
@@ -129,7 +128,7 @@ def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False,
     simple_rules = src.withColumn("message", F.explode(F.array_compact(F.array(
         F.when(few, TOO_FEW), F.when(open_ring, UNCLOSED), F.when(turned, ORIENTATION),
     ))))
-    crossing = crossing_pairs(segment_table(src.where(areal), geom, ids), ids, min_rows).select(*ids).distinct()
+    crossing = crossing_pairs(segment_table(src.where(areal), geom, ids), ids).select(*ids).distinct()
     crossed = src.join(crossing, ids).withColumn("message", F.lit(SELF_CROSSING))
     out = simple_rules.select(*ids, "message", "_out").unionByName(crossed.select(*ids, "message", "_out"))
     return out.select(*ids, "message", export.geojson("_out", None, digits).alias("geojson"))

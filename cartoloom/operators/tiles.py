@@ -239,14 +239,14 @@ def vertex_table(df, geom="tgeom", keys=("fid",)):
     )
 
 
-def simplify_vertices(vertices, distance, keys=("fid",), min_rows=skew.MIN_ROWS):
+def simplify_vertices(vertices, distance, keys=("fid",)):
     """Douglas-Peucker on a vertex table: the vertices that stay.
 
     Each round finds the farthest vertex of every open chain (an aggregate) and
     splits the chains where it lies beyond the distance. Chains that do not
     split are finished, so the working table shrinks; each round is written to
-    the checkpoint folder. A chain may hold any number of vertices: the join
-    that hands out the split vertex slices hot chains.
+    the checkpoint folder. A chain may hold any number of vertices: adaptive
+    execution splits hot chains in the join that hands out the split vertex.
     """
     path = [*keys, "part", "ring"]
     cols = [*path, "seq", "vx", "vy"]
@@ -255,9 +255,7 @@ def simplify_vertices(vertices, distance, keys=("fid",), min_rows=skew.MIN_ROWS)
     vs = vertices.select(*cols)
     first, last = F.struct("seq", "vx", "vy"), F.struct("seq", "vx", "vy")
     ends = vs.groupBy(*path).agg(F.min(first).alias("lo"), F.max(last).alias("hi"))
-    open_ = skew.checkpoint(
-        skew.sliced_join(vs, ends, path, ["seq"], min_rows=min_rows)
-    )
+    open_ = skew.checkpoint(vs.join(ends, path))
     kept = [open_.where((F.col("seq") == F.col("lo.seq")) | (F.col("seq") == F.col("hi.seq"))).select(*cols)]
     open_ = open_.where((F.col("seq") > F.col("lo.seq")) & (F.col("seq") < F.col("hi.seq")))
     chain = [*path, "chain"]
@@ -270,7 +268,7 @@ def simplify_vertices(vertices, distance, keys=("fid",), min_rows=skew.MIN_ROWS)
             .where(F.col("top.d") > distance)
             .select(*chain, F.struct((-F.col("top.neg")).alias("seq"), F.col("top.vx").alias("vx"), F.col("top.vy").alias("vy")).alias("mid"))
         )
-        step = skew.checkpoint(skew.sliced_join(open_, splits, chain, ["seq"], min_rows=min_rows))
+        step = skew.checkpoint(open_.join(splits, chain))
         if step.isEmpty():
             break
         kept.append(step.where(F.col("seq") == F.col("mid.seq")).select(*cols))
@@ -284,7 +282,7 @@ def simplify_vertices(vertices, distance, keys=("fid",), min_rows=skew.MIN_ROWS)
     return out
 
 
-def simplify(df, distance, geom="tgeom", keys=("z", "x", "y", "layer", "fid"), min_rows=skew.MIN_ROWS):
+def simplify(df, distance, geom="tgeom", keys=("z", "x", "y", "layer", "fid")):
     """Douglas-Peucker in tile units over all features at once; 0 switches it off.
 
     One feature is one row, so gathering its remaining vertices is bounded.
@@ -296,7 +294,7 @@ def simplify(df, distance, geom="tgeom", keys=("z", "x", "y", "layer", "fid"), m
     keys = list(keys)
     rest = df.where(F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
     shapes = df.where(~F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
-    stay = simplify_vertices(vertex_table(shapes, geom, keys), distance, keys, min_rows)
+    stay = simplify_vertices(vertex_table(shapes, geom, keys), distance, keys)
     arr = lambda *c: F.sort_array(F.collect_list(F.struct(*c)))
     rings = stay.groupBy(*keys, "part", "ring").agg(arr("seq", "vx", "vy").alias("vs"))
     rings = rings.withColumn("vs", F.transform("vs", lambda v: g.vertex(v["vx"], v["vy"])))

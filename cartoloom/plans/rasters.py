@@ -378,22 +378,22 @@ def _(v):
 
 def hsl_sql(r, g, b, source, keep):
     """Hue, saturation and lightness of channels in 0..1."""
-    return f"""(select {keep}, case when hi = lo then 0e0 else case when {b} >= {g} and {b} > {r} then ({r} - {g}) / (hi - lo) + 4 when {g} >= {r} and {g} > {b} then ({b} - {r}) / (hi - lo) + 2
-  when {r} >= {b} and {r} > {g} then ({g} - {b}) / (hi - lo) + case when {g} < {b} then 6 else 0 end else 0 end / 6e0 end as h,
-  case when hi = lo then 0e0 when (hi + lo) / 2 > 0.5e0 then (hi - lo) / (2 - (hi + lo)) else (hi - lo) / (hi + lo) end as s, (hi + lo) / 2 as l
-  from (select *, greatest({r}, {g}, {b}) as hi, least({r}, {g}, {b}) as lo from {source}))"""
+    return f"""(select {keep}, case when top = low then 0e0 else (case when turn < 0 then turn + 6 else turn end) / 6e0 end as h,
+  case when top = low then 0e0 else (top - low) / least(top + low, 2 - (top + low)) end as s, (top + low) / 2 as l
+  from (select *, case when top = {r} then ({g} - {b}) / (top - low) when top = {g} then 2 + ({b} - {r}) / (top - low) else 4 + ({r} - {g}) / (top - low) end as turn
+    from (select *, greatest({r}, {g}, {b}) as top, least({r}, {g}, {b}) as low from {source})))"""
 
 
 def rgb_sql(source, keep, h="h", s="s", light="l"):
-    wrap = lambda e: f"(case when {e} < 0 then {e} + 1 when {e} > 1 then {e} - 1 else {e} end)"
+    ring = lambda shift: f"({h} {shift} + case when {h} {shift} < 0 then 1e0 when {h} {shift} > 1 then -1e0 else 0e0 end)"
 
-    def ch(shift):
-        x = wrap(f"({h} {shift})")
-        return f"""cast(case when {s} = 0 then floor({light} * 255e0 + 0.5e0) else greatest(floor(255e0 * (case when {x} * 6 < 1 then m1 + (m2 - m1) * {x} * 6 when {x} * 2 < 1 then m2
-  when {x} * 3 < 2 then m1 + (m2 - m1) * (0.66666e0 - {x}) * 6 else m1 end)), 0) end as integer)"""
+    def ch(t):
+        foot = f"(case when {t} < 0.5e0 then {t} when {t} < 2e0 / 3e0 then {blend.TWO_THIRDS}e0 - {t} else 0e0 end)"
+        v = f"(case when {t} >= 1e0 / 6e0 and {t} < 0.5e0 then {light} + swing else {light} - swing + (({light} + swing) - ({light} - swing)) * {foot} * 6 end)"
+        return f"cast(case when {s} = 0 then floor({light} * 255e0 + 0.5e0) else greatest(floor({v} * 255e0), 0) end as integer)"
 
-    return f"""(select {keep}, {ch('+ 0.33333e0')} as r, {ch('+ 0e0')} as g, {ch('- 0.33333e0')} as b from (
-  select *, {light} * 2e0 - m2 as m1 from (select *, case when {light} <= 0.5e0 then {light} * ({s} + 1) else {light} + {s} - {light} * {s} end as m2 from {source})))"""
+    return f"""(select {keep}, {ch('t0')} as r, {ch('t1')} as g, {ch('t2')} as b from (
+  select *, {ring(f'+ {blend.THIRD}e0')} as t0, {ring('+ 0e0')} as t1, {ring(f'- {blend.THIRD}e0')} as t2, {s} * least({light}, 1e0 - {light}) as swing from {source}))"""
 
 
 UNIT = "(select img_id, x, y, a, r / 255e0 as r, g / 255e0 as g, b / 255e0 as b from px)"
@@ -448,12 +448,11 @@ def stack(v):
 
 
 def mix_sql(shift):
-    u = f"(((t >> {shift}) & 255) * ((t >> 24) & 255))"
-    return f"(((((s >> {shift}) & 255) * 256 - {u}) * ((s >> 24) & 255) + {u} * 256) // AL)"
+    return f"(((((s >> {shift}) & 255) * WS + ((t >> {shift}) & 255) * WT) // greatest(WS + WT, 1)) << {shift})"
 
 
-AL = "(((s >> 24) + ((t >> 24) & 255)) * 256 - ((t >> 24) & 255) * (s >> 24))"
-FOLD = (f"case when (s >> 24) = 0 then t when (s >> 24) = 255 or (t >> 24) = 0 then s else (({AL} // 256) << 24) | ({mix_sql(16)} << 16) | ({mix_sql(8)} << 8) | {mix_sql(0)} end").replace("AL", f"greatest({AL}, 1)")
+FOLD = f"case when (s >> 24) = 0 then t when (s >> 24) = 255 or (t >> 24) = 0 then s else (((WS + WT) // 256) << 24) | {mix_sql(16)} | {mix_sql(8)} | {mix_sql(0)} end"
+FOLD = FOLD.replace("WS", "((s >> 24) * 256)").replace("WT", "(((t >> 24) & 255) * (256 - (s >> 24)))")
 
 
 @query("r22_blend_stack", f"""

@@ -270,18 +270,19 @@ def _(v):
 
 
 @query("t22_pack_tiles", """
-with vals as (select x, y, layer, fid, unnest(['event_type', 'value']) as k, unnest([event_type, cast(value as varchar)]) as t from tf),
+with vals as (select x, y, layer, part, fid, unnest(['event_type', 'value']) as k, unnest([event_type, cast(value as varchar)]) as t
+  from (select *, (row_number() over (partition by x, y, layer order by fid) - 1) // 10000 as part from tf)),
 r as (select *, case when k = 'value' then 'double' else 'string' end as kind from vals),
-d as (select *, dense_rank() over (partition by x, y, layer order by kind, t) - 1 as vi from r),
-n as (select x, y, layer, max(vi) + 1 as n_values, count(distinct fid) as features from d group by 1, 2, 3)
-select x, y, layer, n_values, features, fid, string_agg((case when k = 'value' then 1 else 0 end) || ',' || vi, ',' order by k) as tags, 'event_type,value' as keys
-from d join n using (x, y, layer) group by 1, 2, 3, 4, 5, 6""")
+d as (select *, dense_rank() over (partition by x, y, layer, part order by kind, t) - 1 as vi from r),
+n as (select x, y, layer, part, max(vi) + 1 as n_values, count(distinct fid) as features from d group by 1, 2, 3, 4)
+select x, y, layer, part, n_values, features, fid, string_agg((case when k = 'value' then 1 else 0 end) || ',' || vi, ',' order by k) as tags, 'event_type,value' as keys
+from d join n using (x, y, layer, part) group by 1, 2, 3, 4, 5, 6, 7""")
 def _(v):
-    packed = pack.pack_tiles(v.tiles2, prop_types={"value": "double"}).where(F.col("part") == 0)
-    rows = packed.select("x", "y", "layer", F.size("values").cast("bigint").alias("n_values"), F.size("features").cast("bigint").alias("features"),
+    packed = pack.pack_tiles(v.tiles2, prop_types={"value": "double"})
+    rows = packed.select("x", "y", "layer", "part", F.size("values").cast("bigint").alias("n_values"), F.size("features").cast("bigint").alias("features"),
                          F.array_join("keys", ",").alias("keys"), F.explode("features").alias("f"))
     tags = F.array_join(F.transform("f.tags", lambda t: t.cast("string")), ",")
-    return rows.select("x", "y", "layer", "n_values", "features", F.col("f.id").alias("fid"), tags.alias("tags"), "keys")
+    return rows.select("x", "y", "layer", "part", "n_values", "features", F.col("f.id").alias("fid"), tags.alias("tags"), "keys")
 
 
 @query("t23_unpack_tiles", """
@@ -306,15 +307,17 @@ GJ = GJ.replace("LONS", NUM.format("lon")).replace("LATS", NUM.format("lat"))
 
 
 @query("t24_tiles_to_geojson_all", f"""
-select x, y, count(*) as features, '{{"type":"FeatureCollection","features":[' || string_agg(text, ',' order by layer_ord, fid) || ']}}' as geojson from ({GJ}) group by 1, 2""")
+select x, y, part, count(*) as features, '{{"type":"FeatureCollection","features":[' || string_agg(text, ',' order by layer_ord, fid) || ']}}' as geojson
+from (select *, (row_number() over (partition by x, y order by layer_ord, fid) - 1) // 10000 as part from ({GJ})) group by 1, 2, 3""")
 def _(v):
-    return compose.tiles_to_geojson(v.tiles2, "__all__", digits=5).where(F.col("part") == 0).select("x", "y", "features", "geojson")
+    return compose.tiles_to_geojson(v.tiles2, "__all__", digits=5).select("x", "y", "part", "features", "geojson")
 
 
 @query("t24_tiles_to_geojson_array", f"""
-select x, y, layer, count(*) as features, '{{"type":"FeatureCollection","name":"' || layer || '","features":[' || string_agg(text, ',' order by fid) || ']}}' as geojson from ({GJ}) group by 1, 2, 3""")
+select x, y, layer, part, count(*) as features, '{{"type":"FeatureCollection","name":"' || layer || '","features":[' || string_agg(text, ',' order by fid) || ']}}' as geojson
+from (select *, (row_number() over (partition by x, y, layer order by fid) - 1) // 10000 as part from ({GJ})) group by 1, 2, 3, 4""")
 def _(v):
-    return compose.tiles_to_geojson(v.tiles2, "__array__", digits=5).where(F.col("part") == 0).select("x", "y", "layer", "features", "geojson")
+    return compose.tiles_to_geojson(v.tiles2, "__array__", digits=5).select("x", "y", "layer", "part", "features", "geojson")
 
 
 @query("t24_tiles_to_geojson_index", f"""

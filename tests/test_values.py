@@ -130,17 +130,27 @@ def test_hot_cells_keep_every_pair(spark):
     pts = spark.range(300).select(F.col("id").alias("pid"), (F.when(F.col("id") < 200, 1.0).otherwise(F.col("id") / 10.0)).alias("lon"), F.lit(1.0).alias("lat"))
     fs = spark.range(200).select(F.col("id").alias("fid"), F.when(F.col("id") < 150, 1.0).otherwise(F.col("id") / 10.0).alias("lon"), F.lit(1.0).alias("lat"))
     feats = project.reproject(readers.read_features(fs, "lon", "lat", "fid"), 4326, 3857)
-    hot = query.query_many(pts, feats, 1000.0, min_rows=20)
-    cold = query.query_many(pts, feats, 1000.0)
-    key = lambda df: sorted((r["pid"], r["fid"]) for r in df.collect())
-    assert key(hot) == key(cold)
-    assert len(key(hot)) >= 200 * 150
+    got = sorted((r["pid"], r["fid"]) for r in query.query_many(pts, feats, 1000.0).collect())
+    lon_p = [1.0 if i < 200 else i / 10.0 for i in range(300)]
+    lon_f = [1.0 if i < 150 else i / 10.0 for i in range(200)]
+    assert got == [(p, f) for p in range(300) for f in range(200) if abs(lon_p[p] - lon_f[f]) < 0.005]
 
 
 def test_chunks_and_dense_index(spark):
     df = spark.range(1000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("fid"))
-    sizes = skew.chunked(df, ["k"], ["fid"], 10, min_rows=50).groupBy("k", "chunk").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 10 and sizes.agg(F.sum("count")).first()[0] == 1000
+    order = {k: [i for i in range(1000) if (i % 3 == 0) == k] for k in (0, 1)}
+    want = sorted((k, i, at // 10) for k in order for at, i in enumerate(order[k]))
+    hits = df.select("k", "fid", F.lit(1.0).alias("distance"), F.lit(0).alias("pid"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    for coalesce, parts in (("true", "8"), ("false", "8"), ("false", "3")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        assert sorted(tuple(r) for r in skew.chunked(df, ["k"], ["fid"], 10).select("k", "fid", "chunk").collect()) == want
+        arrays = query.hits_by_point(hits, 300).orderBy("part").collect()
+        assert [len(r["hits"]) for r in arrays] == [300, 300, 300, 100]
+        assert [h["fid"] for r in arrays for h in r["hits"]] == list(range(1000))
+    for c, v in before.items():
+        spark.conf.set(c, v)
     idx = [r["i"] for r in skew.dense_index(df, ["fid"], "i").orderBy("fid").collect()]
     assert idx == list(range(1000))
 
