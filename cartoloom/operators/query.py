@@ -131,8 +131,9 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
 
     An equi-join on grid cells: shapes sit on the grid level of their own size,
     points on every level in use (25 at most), so a pair meets in one cell.
-    Lines join piece by piece and keep the least distance. Adaptive execution
-    splits hot cells.
+    Lines join piece by piece and keep the least distance; lines that share an
+    id are told apart by a hash of their vertices. Adaptive execution splits hot
+    cells.
     """
     if layer is not None:
         features = features.where(F.col("layer") == layer)
@@ -150,10 +151,10 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
         away = F.when(F.col("geom.type") == g.POINT, g.distance(F.col("minx"), F.col("miny"), px, py)).otherwise(g.geometry_hit("geom", px, py)["distance"])
         out = near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)).select("pid", "layer", "fid", "distance", *fields)
     if True in kinds:
-        near = _near_pairs(pts, _line_pieces(keep.where(is_line), fields, tolerance), tolerance)
+        near = _near_pairs(pts, _line_pieces(keep.where(is_line).withColumn("_shape", F.xxhash64("geom")), [*fields, "_shape"], tolerance), tolerance)
         away = g.segment_distance(px, py, *[F.col(c) for c in ("_ax", "_ay", "_bx", "_by")])
-        hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance).groupBy("pid", "layer", "fid").agg(
-            F.min("distance").alias("distance"), *[F.first(f).alias(f) for f in fields])
+        hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance).groupBy("pid", "layer", "fid", "_shape").agg(
+            F.min("distance").alias("distance"), *[F.first(f).alias(f) for f in fields]).drop("_shape")
         out = hits if out is None else out.unionByName(hits)
     return out
 

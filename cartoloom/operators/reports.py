@@ -43,9 +43,24 @@ def _meet(a, b):
     )
 
 
+def _cross(a, b):
+    """Two segments cross inside both, or share a stretch."""
+    d1, d2 = _side(a["ax"], a["ay"], a["bx"], a["by"], b["ax"], b["ay"]), _side(a["ax"], a["ay"], a["bx"], a["by"], b["bx"], b["by"])
+    d3, d4 = _side(b["ax"], b["ay"], b["bx"], b["by"], a["ax"], a["ay"]), _side(b["ax"], b["ay"], b["bx"], b["by"], a["bx"], a["by"])
+
+    def overlap(p, q):
+        low = F.greatest(F.least(a[p], a[q]), F.least(b[p], b[q]))
+        return low < F.least(F.greatest(a[p], a[q]), F.greatest(b[p], b[q]))
+
+    return ((d1 * d2 < 0) & (d3 * d4 < 0)) | ((d1 == 0) & (d2 == 0) & (overlap("ax", "bx") | overlap("ay", "by")))
+
+
 def crossing_pairs(segments, keys=("layer", "fid")):
     """Segment pairs of one geometry that meet other than as neighbours.
 
+    Different rings of a polygon may touch in a point: of them only pairs count
+    that cross inside both segments or share a stretch.
+
     Segments go to the cells of a grid fitted to their geometry - about as many
     cells as segments - and only segments of one cell are compared. Adaptive
     execution splits cells that still hold a large share of the rows.
@@ -81,7 +96,8 @@ def crossing_pairs(segments, keys=("layer", "fid")):
         ((a["ax"] - a["bx"]) * (b["bx"] - a["bx"]) + (a["ay"] - a["by"]) * (b["by"] - a["by"])) > 0)
     fold_ends = (_side(b["ax"], b["ay"], b["bx"], b["by"], a["bx"], a["by"]) == 0) & (
         ((b["ax"] - a["ax"]) * (a["bx"] - a["ax"]) + (b["ay"] - a["ay"]) * (a["by"] - a["ay"])) > 0)
-    bad = F.when(neighbours, F.when(shared_next, fold_next).otherwise(fold_ends)).otherwise(_meet(a, b))
+    bad = F.when(neighbours, F.when(shared_next, fold_next).otherwise(fold_ends)).when(
+        a["type"].isin(g.POLYGON, g.MULTIPOLYGON) & ~same_ring, _cross(a, b)).otherwise(_meet(a, b))
     return pairs.where(order & bad)
 
 

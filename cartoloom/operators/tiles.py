@@ -282,18 +282,19 @@ def simplify_vertices(vertices, distance, keys=("fid",)):
     return out
 
 
-def simplify(df, distance, geom="tgeom", keys=("z", "x", "y", "layer", "fid")):
+def simplify(df, distance, geom="tgeom"):
     """Douglas-Peucker in tile units over all features at once; 0 switches it off.
 
     One feature is one row, so gathering its remaining vertices is bounded.
+    Rows get a number of their own, since ids may repeat.
     """
     if distance < 0:
         raise ValueError("simplify distance must be positive or zero")
     if distance == 0:
         return df
-    keys = list(keys)
+    keys = ["_row"]
     rest = df.where(F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
-    shapes = df.where(~F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
+    shapes = skew.checkpoint(df.where(~F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT)).withColumn("_row", F.monotonically_increasing_id()))
     stay = simplify_vertices(vertex_table(shapes, geom, keys), distance, keys)
     arr = lambda *c: F.sort_array(F.collect_list(F.struct(*c)))
     rings = stay.groupBy(*keys, "part", "ring").agg(arr("seq", "vx", "vy").alias("vs"))

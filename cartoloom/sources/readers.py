@@ -36,7 +36,10 @@ COLLECTION_SCHEMA = (
 
 
 def read_geojson(spark, path, layer="geojson", multiline=False):
-    """FeatureCollection or Feature documents to feature rows; bad JSON is an error.
+    """FeatureCollection or Feature documents to feature rows.
+
+    Bad JSON, any other kind of document and a feature without a geometry are
+    errors, inside a collection or not.
 
     One document per line splits over tasks; ``multiline`` reads each file as
     one document, so large inputs should come as many files or as lines.
@@ -45,9 +48,11 @@ def read_geojson(spark, path, layer="geojson", multiline=False):
     docs = reader.json(path)
     texts = docs.where(F.col("type") == "FeatureCollection").select(F.explode("features").alias("text"))
     rows = export.from_geojson_table(texts, "text")
-    single = docs.where(F.col("type") == "Feature").select(
+    geom = export.parse_geometry(F.col("geometry.type"), F.col("geometry.coordinates"))
+    bad = F.raise_error(F.concat(F.lit("Failed to read GeoJSON document of type "), F.coalesce("type", F.lit("null"))))
+    single = docs.where(~F.col("type").eqNullSafe("FeatureCollection")).select(
         F.col("id").alias("fid"), F.col("properties").alias("props"),
-        export.parse_geometry(F.col("geometry.type"), F.col("geometry.coordinates")).alias("geom"),
+        F.when((F.col("type") == "Feature") & F.isnotnull(geom), geom).otherwise(bad.cast(g.GEOM_TYPE)).alias("geom"),
     )
     rows = rows.unionByName(g.with_bounds(single))
     return rows.select(F.lit(layer).alias("layer"), F.lit(0).alias("layer_ord"), *rows.columns)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartoloom.functions import geom as g
 from cartoloom.functions import skew
-from cartoloom.operators import blend, burn, compose, export, features, grid, pack, project, query, raster, tiles
+from cartoloom.operators import blend, burn, compose, export, features, grid, pack, project, query, raster, reports, tiles
 from cartoloom.sources import readers
 
 
@@ -162,3 +162,38 @@ def test_blend_blocks_agree(spark):
         *[(F.col("id") * k % 256).cast("int").alias(c) for k, c in zip((7, 31, 113, 67), "rgba")])
     key = lambda df: sorted(tuple(r) for r in df.collect())
     assert key(blend.blend_stack(layers, 2, 2, block=3)) == key(blend.blend_stack(layers, 2, 2)) == key(blend.blend_stack(layers, 2, 2, skip_covered=True))
+
+
+HOLED = [(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)]
+
+
+@pytest.mark.parametrize("hole, wrong", [
+    ([(0, 5), (4, 7), (4, 3), (0, 5)], False),  # touches the shell in one point
+    ([(-2, 5), (4, 7), (4, 3), (-2, 5)], True),  # crosses it
+    ([(0, 2), (0, 8), (4, 5), (0, 2)], True),  # shares a stretch with it
+])
+def test_rings_may_touch(spark, hole, wrong):
+    found = reports.validity_report(polygon(spark, [[HOLED, hole]]), "geom").where(F.col("message") == reports.SELF_CROSSING)
+    assert (not found.isEmpty()) == wrong
+
+
+def lines(spark, rows):
+    """Lines of (x, y), all with the id 1."""
+    data = [(1, (g.LINE, [[[{"x": float(x), "y": float(y)} for x, y in line]]])) for line in rows]
+    df = spark.createDataFrame(data, f"fid bigint, geom {g.GEOM_TYPE}")
+    return g.with_bounds(df.select(F.lit("p").alias("layer"), F.lit(0).alias("layer_ord"), "fid", "geom"))
+
+
+def test_repeated_ids_stay_apart(spark):
+    df = lines(spark, [[(0, 0), (5, 0.1), (10, 0)], [(0, 50), (5, 90), (10, 50)]])
+    got = tiles.simplify(df, 1.0, "geom").collect()
+    assert sorted([(v["x"], v["y"]) for v in r["geom"]["parts"][0][0]] for r in got) == [[(0, 0), (10, 0)], [(0, 50), (5, 90), (10, 50)]]
+    hits = query.query_many(spark.createDataFrame([(7, 0.0, 0.0)], "pid bigint, lon double, lat double"), df, 1000.0)
+    assert sorted(round(r["distance"], 3) for r in hits.collect()) == [0.0, 50.0]
+
+
+@pytest.mark.parametrize("text", ['{"type":"Point","coordinates":[1,2]}', '{"type":"Feature","id":1,"geometry":null,"properties":{}}'])
+def test_geojson_documents_that_are_no_features(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="GeoJSON"):
+        readers.read_geojson(spark, str(tmp_path)).collect()
