@@ -125,10 +125,14 @@ def query(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Rejected documents go; those that stay lose the failed lines."""
+    """Rejected documents go; those that stay lose the failed lines.
+
+    The verdict passes through a generator of one row: a filter directly on ``kept`` would be moved below the steps of
+    ``judge``, where its copy of all their expressions splits the text anew for each window.
+    """
     columns = docs.columns
-    good = judge(docs).where("kept")
-    return good.withColumns({"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}).select(*columns)
+    good = judge(docs).withColumn("_judged", F.explode_outer(F.array(F.struct("kept", "clean_text")))).where("_judged.kept")
+    return good.withColumns({"text": F.col("_judged.clean_text"), "n_chars": F.length("_judged.clean_text").cast("long")}).select(*columns)
 
 
 def _sql_text(pattern: str) -> str:
