@@ -166,10 +166,19 @@ def test_line_dedup_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").collect()]
     line = "The quick brown fox jumps over the lazy dog near the old river bank today."
     rows += [(100, line), (101, line.replace("lazy", "lady") + "\n\n" + line), (102, None), (103, "")]
+    long_line = words(0, 3_000)  # longer than a block of shingles
+    rows += [(104, long_line), (105, long_line.replace("w77 ", "v77 ")), (106, "𝔘𝔫𝔦 " * 12 + "\n" + "é" * 41), (107, "𝔘𝔫𝔦 " * 12 + "!"), (107, "x" * 39 + "\n" + "x" * 39)]
     got = line_dedup.removed_lines(frame(spark, rows)).groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("p")).collect()
     assert {r["doc_id"]: r["p"] for r in got} == line_dedup.brute_force(rows)
 
 
+def test_line_signatures():
+    rng = np.random.default_rng(3)
+    lines = ["".join(rng.choice(list("abcdef "), n)) for n in (5, 40, 2_047, 2_060, 70_000, 41)]
+    assert (line_dedup.signatures(lines) == np.concatenate([line_dedup.signatures([x]) for x in lines])).all()
+    assert line_dedup.signatures([]).shape == (0, 96) and line_dedup.most_differing(80) == 33
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
