@@ -172,6 +172,12 @@ def test_line_dedup_brute_force(spark):
     assert {r["doc_id"]: r["p"] for r in got} == line_dedup.brute_force(rows)
 
 
+def test_line_dedup_short_lines(spark):
+    rows = [(1, "abc\nabcd\nabcde"), (2, "abcdef\nabc"), (3, "La leretion elle èan aioi."), (4, "En leretion elle èan aioi.\n" + "x y " * 9 + "end"), (5, "x y " * 9 + "end!\nhello word one"), (6, "hello word one.\nhello")]
+    got = line_dedup.removed_lines(frame(spark, rows)).groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("p")).collect()
+    assert {r["doc_id"]: r["p"] for r in got} == line_dedup.brute_force(rows) == {2: [1], 4: [0], 5: [0], 6: [0]}
+
+
 def test_line_signatures():
     rng = np.random.default_rng(3)
     lines = ["".join(rng.choice(list("abcdef "), n)) for n in (5, 40, 2_047, 2_060, 70_000, 41)]
