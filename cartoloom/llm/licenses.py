@@ -5,6 +5,9 @@ letters and digits a single space. The digest of the whole canonical text is loo
 by a hash join; single lines are looked up among known notices in the same way. Both lists are fixed and short, so the
 join sends them to the tasks; a user's own list may be given as a frame and is joined by Spark's choice.
 
+A line is a copyright statement if "copyright" or "(c)" is followed by a sign, a year or a word that no sentence goes on
+with, a holder's name; a holder named by such a word needs the sign or the year. Other lines stay however they are wrapped.
+
 Cases: a null or blank text matches nothing and has a null digest; repeated notices count each time; repeated rows give
 repeated rows; other columns play no part.
 """
@@ -20,7 +23,35 @@ from pyspark.sql import functions as F
 from . import common
 
 # Patterns of the canonical form, in an order that matters, for both Java's and RE2's syntax.
-COPYRIGHT_LINE = "(?m)^[^0-9a-z\\n]*(copyright|\\(c\\)|©)[^\\n]*$"
+# Words that a sentence goes on with after "copyright", and after "(c)" as the number of an item.
+_BODY_WORDS = (
+    "notice notices holder holders owner owners owned ownership law laws license licenses licence licences licensed licensing statement statements interest interests "
+    "permission permissions protection protections protected act acts treaty treaties right rights status disclaimer disclaimers information claim claims claimed "
+    "attribution infringement infringements term terms line lines header headers file files policy condition conditions restriction restrictions exception exceptions "
+    "limitation limitations material materials work works assignment assignments patent patents trademark trademarks on in of and or nor is are was were be been as to for "
+    "from under over that this these those which who whose with within without may shall will can must should would could does do has have had not no any all if when where "
+    "unless it its an at into such applicable other subject also whether either only than then but upon herein hereby thereof therein thereto like similar"
+).split()
+_ITEM_WORDS = "a the you your we our each every some one both he she they their them there by use using making including provided".split()
+
+
+def _other_word(words: list[str]) -> str:
+    """A pattern of the start of any word but these, without lookahead, which RE2 lacks."""
+
+    def after(prefix: str) -> str:
+        ends = sorted({w[len(prefix)] for w in words if w.startswith(prefix) and len(w) > len(prefix)})
+        ways = [f"[^\\x00-\\x60{{-\\x7f{''.join(ends)}]", *(c + after(prefix + c) for c in ends)]
+        if prefix and prefix not in words:
+            ways += ["[\\x00-\\x09\\x0b-\\x60{-\\x7f]", "$"]
+        return f"(?:{'|'.join(ways)})"
+
+    return after("")
+
+
+COPYRIGHT_LINE = (
+    "(?m)^[^0-9a-z\\n]*(?:©|\\(c\\)[^0-9a-z\\n]*[12][0-9]{3}|copyrights?[^0-9a-z\\n]*(?:\\(c\\)|©|[12][0-9]{3})"
+    f"|copyright[ \\t:*<\\[{{(-]+{_other_word(_BODY_WORDS)}|\\(c\\)[ \\t]+{_other_word(_BODY_WORDS + _ITEM_WORDS)})[^\\n]*$"
+)
 RESERVED_LINE = "(?m)^[^0-9a-z\\n]*all rights reserved[^0-9a-z\\n]*$"
 NOT_TEXT = "[^0-9a-z\\x{80}-\\x{10FFFF}]+"
 SPELLINGS = [

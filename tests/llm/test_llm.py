@@ -162,6 +162,22 @@ def test_licenses(spark):
     assert got[1]["license"] == "MIT" and got[2]["notice_licenses"] == "MIT" and got[2]["license"] is None and got[3]["digest"] is None and got[4]["n_notices"] == 0
 
 
+def test_licenses_in_any_wrapping(spark):
+    import textwrap
+
+    texts = [
+        (f"{name}/{width}", "Copyright (c) 2020 Some One\n(c) Anna Two\nCopyright node contributors\n\n" + textwrap.fill(text, width, break_on_hyphens=False, break_long_words=False))
+        for name, text in licenses.LICENSES
+        if not text.startswith("sha256:")
+        for width in (30, 66, 72, 77, 80)
+    ]
+    texts.append(("ISC/usual", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n" + "copyright notice and this permission notice appear in all copies.\n\n" + licenses._ISC_AS_IS))
+    got = licenses.scan(frame(spark, list(enumerate(t for _, t in texts)))).select("doc_id", "license").collect()
+    assert {r["doc_id"]: r["license"] for r in got} == {i: n.split("/")[0] for i, (n, _) in enumerate(texts)}
+    for line, goes in [("copyright", False), ("(c) you must keep", False), ("copyright law", False), ("copyright [yyyy] [name]", True), ("© x", True), ("# copyright: lawson", True)]:
+        assert (licenses.canonical_text(line) == "") == goes
+
+
 def test_line_dedup_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").collect()]
     line = "The quick brown fox jumps over the lazy dog near the old river bank today."
