@@ -3,7 +3,8 @@
 A text is brought to a canonical form: lower case, copyright lines out, equivalent spellings made one, everything but
 letters and digits a single space. The digest of the whole canonical text is looked up among the digests of known licences
 by a hash join; single lines are looked up among known notices in the same way. Both lists are fixed and short, so the
-join sends them to the tasks; a user's own list may be given as a frame and is joined by Spark's choice.
+join sends them to the tasks; a user's own list may be given as a frame and is joined by Spark's choice. Short licences are
+known by their texts, long ones by the digests in ``license_digests``.
 
 A line is a copyright statement if "copyright" or "(c)" is followed by a sign, a year or a word that no sentence goes on
 with, a holder's name; a holder named by such a word needs the sign or the year. Other lines stay however they are wrapped.
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .license_digests import DIGESTS
 
 # Patterns of the canonical form, in an order that matters, for both Java's and RE2's syntax.
 # Words that a sentence goes on with after "copyright", and after "(c)" as the number of an item.
@@ -144,6 +146,7 @@ LICENSES = [
     ("BSD-3-Clause", _BSD_3),
     ("BSD-3-Clause", "BSD 3-Clause License " + _BSD_3),
     ("Apache-2.0", _APACHE_NOTICE),
+    *((name, f"sha256:{digest}") for name, digest in DIGESTS),
 ]
 NOTICES = [
     ("MIT", "Released under the MIT License."),
@@ -197,8 +200,15 @@ def canonical_text(text: str, lines_out: bool = True) -> str:
 
 
 def digests(entries: list[tuple[str, str]], lines_out: bool = True) -> dict[str, str]:
-    """Digest of the canonical form -> licence."""
-    return {hashlib.sha256(canonical_text(t, lines_out).encode()).hexdigest(): name for name, t in entries}
+    """Digest of the canonical form -> licence; an entry may give its digest, after ``sha256:``, in place of a text."""
+    return {t[7:] if t.startswith("sha256:") else hashlib.sha256(canonical_text(t, lines_out).encode()).hexdigest(): name for name, t in entries}
+
+
+def digest_frame(entries: DataFrame, lines_out: bool = True) -> DataFrame:
+    """``(digest, license)`` of a frame ``(name, text)``; of several names of one digest the least counts."""
+    text = F.col("text")
+    own = F.when(F.startswith(text, F.lit("sha256:")), F.substr(text, F.lit(8))).otherwise(F.sha2(canonical(text, lines_out), 256))
+    return entries.where(text.isNotNull()).select(own.alias("digest"), F.col("name").alias("license")).groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def _lengths(entries: list[tuple[str, str]], lines_out: bool) -> tuple[int, int]:
@@ -210,18 +220,31 @@ def scan(docs: DataFrame, licenses=None, notices=None, text: str = "text", doc_i
     """``(doc_id, digest, license, n_notices, notice_licenses)`` for every row.
 
     ``digest`` is that of the whole canonical text, ``license`` the known licence it belongs to, ``notice_licenses`` the
-    licences that its lines name. ``licenses`` and ``notices`` may be given as lists of (name, text).
+    licences that its lines name. ``licenses`` and ``notices`` may be given as lists of (name, text) or as frames ``(name, text)``.
     """
     spark = docs.sparkSession
-    licenses, notices = licenses or LICENSES, notices or NOTICES
-    known = F.broadcast(spark.createDataFrame([(d, n) for d, n in digests(licenses).items()], "digest string, license string"))  # as long as the list
-    # lines: only those of a notice's length have a digest to look up
-    low, high = _lengths(notices, False)
-    table = F.create_map(*[F.lit(x) for pair in digests(notices, False).items() for x in pair])
-    near = F.filter(F.split(F.col(text), "\n", -1), lambda x: (F.length(x) >= low) & (F.length(x) <= 4 * high))
-    names = F.filter(F.transform(near, lambda x: F.get(F.transform(F.array(F.sha2(canonical(x, False), 256)), lambda d: table[d]), F.lit(0))), lambda x: x.isNotNull())
+    if isinstance(licenses, DataFrame):
+        known = digest_frame(licenses)
+    else:
+        known = F.broadcast(spark.createDataFrame([(d, n) for d, n in digests(licenses or LICENSES).items()], "digest string, license string"))  # as long as the list
     whole = canonical(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.when(whole != "", F.sha2(whole, 256)).alias("digest"), F.coalesce(names, F.array().cast("array<string>")).alias("names"))
+    digest = F.when(whole != "", F.sha2(whole, 256)).alias("digest")
+    lines = F.split(F.col(text), "\n", -1)
+    if isinstance(notices, DataFrame):
+        marks = F.transform(lines, lambda x: F.sha2(canonical(x, False), 256))
+        rows = docs.select(F.col(doc_id).alias("doc_id"), digest, marks.alias("marks"), F.monotonically_increasing_id().alias("row_id"))  # fixed once written
+        rows = common.materialise(rows, "license-lines")
+        hits = rows.select("row_id", F.explode("marks").alias("mark")).join(digest_frame(notices, False).select(F.col("digest").alias("mark"), F.col("license").alias("name")), "mark")
+        names = hits.groupBy("row_id").agg(F.collect_list("name").alias("names"))  # of one document
+        rows = rows.drop("marks").join(names, "row_id", "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
+    else:
+        # lines: only those of a notice's length have a digest to look up
+        notices = notices or NOTICES
+        low, high = _lengths(notices, False)
+        table = F.create_map(*[F.lit(x) for pair in digests(notices, False).items() for x in pair])
+        near = F.filter(lines, lambda x: (F.length(x) >= low) & (F.length(x) <= 4 * high))
+        names = F.filter(F.transform(near, lambda x: F.get(F.transform(F.array(F.sha2(canonical(x, False), 256)), lambda d: table[d]), F.lit(0))), lambda x: x.isNotNull())
+        rows = docs.select(F.col(doc_id).alias("doc_id"), digest, F.coalesce(names, F.array().cast("array<string>")).alias("names"))
     found = rows.join(known, "digest", "left")
     return found.select("doc_id", "digest", "license", F.size("names").cast("long").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct("names")), ",").alias("notice_licenses"))
 

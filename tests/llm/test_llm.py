@@ -178,6 +178,23 @@ def test_licenses_in_any_wrapping(spark):
         assert (licenses.canonical_text(line) == "") == goes
 
 
+def test_full_licenses_and_frames(spark):
+    import hashlib
+    from pathlib import Path
+
+    known = licenses.digests(licenses.LICENSES)
+    assert {"GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "Apache-2.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense", "Zlib", "BSL-1.0"} <= set(known.values())
+    for file, name in [("GPL-3", "GPL-3.0-only"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0")]:
+        path = Path("/usr/share/common-licenses") / file
+        if path.exists():
+            assert known[hashlib.sha256(licenses.canonical_text(path.read_text()).encode()).hexdigest()] == name
+    own = spark.createDataFrame([("X", "Do what\nyou like."), ("Y", "do what you like"), ("Z", None), ("D", "sha256:" + hashlib.sha256(b"digest only").hexdigest())], "name string, text string")
+    lines = spark.createDataFrame([("N", "Use it under N."), ("M", "M holds.")], "name string, text string")
+    docs = frame(spark, [(1, "Do what you\nlike"), (2, "a\nuse it under n\nM holds.\nUse it under N."), (2, "Digest only!"), (3, None)])
+    got = sorted((r["doc_id"], r["license"], r["n_notices"], r["notice_licenses"]) for r in licenses.scan(docs, own, lines).fillna("-", ["license"]).collect())
+    assert got == [(1, "X", 0, ""), (2, "-", 3, "M,N"), (2, "D", 0, ""), (3, "-", 0, "")]
+
+
 def test_line_dedup_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").collect()]
     line = "The quick brown fox jumps over the lazy dog near the old river bank today."
