@@ -126,6 +126,16 @@ def test_html_extract(spark):
     assert got == {1: "Top & so\n\nOne two\n\nThree", 2: "b tells its own story", 3: "c tells its own story", 4: "", 5: ""}
 
 
+def test_html_extract_copies(spark):
+    page = "<body><p>one article in many copies with more than eight words</p><p>and its end that only these copies of it have at all</p></body>"
+    joined = page.replace("</p><p>", " ")  # the same words in one block
+    rows = [(1, "http://h.example/1", page), (1, "http://h.example/1", page), (2, "http://h.example/1?utm=x", page), (3, "http://h.example/1/print", joined), (4, "http://h.example/4", "<body><p>" + words(0, 9) + "</p></body>")]
+    for host_tokens in (html_extract.HOST_TOKENS, 10):
+        got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), host_tokens=host_tokens).collect()
+        text = "one article in many copies with more than eight words\n\nand its end that only these copies of it have at all"
+        assert sorted((r["page_id"], r["text"]) for r in got) == [(1, text), (1, text), (2, text), (3, text.replace("\n\n", " ")), (4, words(0, 9))]
+
+
 def test_suffix_array_runs():
     rng = np.random.default_rng(1)
     tokens, pages = rng.integers(0, 3, 300), np.repeat(np.arange(10), 30)
