@@ -126,6 +126,16 @@ def test_html_extract(spark):
     assert got == {1: "Top & so\n\nOne two\n\nThree", 2: "b tells its own story", 3: "c tells its own story", 4: "", 5: ""}
 
 
+def test_html_extract_hot_host(spark):
+    rng = np.random.default_rng(2)
+    menu = "<div>shared words that every page of this host has on top</div>"
+    rows = [(i, f"http://h.example/{i}", f"<body>{menu}<p>{' '.join(f't{x}' for x in rng.integers(0, 10**9, 30))}</p></body>") for i in range(40)]
+    rows += [(100, "http://h.example/100", f"<body><p>{words(0, 20, 'pair')}</p><p>first of the pair</p></body>"), (101, "http://h.example/101", f"<body><p>{words(0, 20, 'pair')}</p><p>second of the pair</p></body>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole, cut = ({r["page_id"]: r["text"] for r in html_extract.extract(pages, host_tokens=n).collect()} for n in (10**6, 60))
+    assert whole == cut and whole[100] == "first of the pair" and whole[101] == "second of the pair" and all("shared" not in t for t in cut.values())
+
+
 def test_html_extract_copies(spark):
     page = "<body><p>one article in many copies with more than eight words</p><p>and its end that only these copies of it have at all</p></body>"
     joined = page.replace("</p><p>", " ")  # the same words in one block
