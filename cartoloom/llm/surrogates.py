@@ -7,9 +7,10 @@ permutation followed by a step to the next element and the way back, over the nu
 
 Types and what they keep: ``card`` (length, grouping, first digit, whether the check digit is right), ``phone`` (layout,
 first digit after ``+``), ``ip`` (digits per octet, valid octets), ``email`` (layout, case, top domain), ``secret`` (alphabet,
-length), ``number`` (national ids and accounts: layout, country), ``person`` (a title and up to three names: gender by
+length), ``number`` (national ids and accounts: layout, country), ``person`` (a title and up to three names of Latin, Cyrillic
+or Greek letters, with inner capitals, apostrophes, initials and particles such as "van", which stay, or in capitals: gender by
 title, given names within the list of their gender and script, others letter for letter by script, case, and vowel or
-consonant). Later mentions of a person's names in the same text are replaced alike.
+consonant). Later mentions of a person's names in the same text are replaced alike; initials only after the title.
 
 Collision checks: a name outside the lists never becomes one in them, a secret in capitals never one that has no capital
 letter; where the image is such a string, the next image is taken, which keeps the map one to one.
@@ -46,6 +47,14 @@ TITLES = {
     "": "Dr Prof".split(),
 }
 CLASSES = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäãåéèêëíìîïóòôöõúùûü", "ñçßøœæ", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "αεηιουωάέήίόύώ", "βγδζθκλμνξπρσςτφχψ"]
+# Letters beyond those, in classes of their own, so that names of the letters above keep to them.
+CLASSES += [
+    "āăąēĕėęěĩīĭįıōŏőũūŭůűųǎǐǒǔơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹýÿŷ",
+    "ćĉċčďđĝğġģĥħĵķĺļľŀłńņňŋŕŗřśŝşšţťŧŵźżžșțþðƙɓɗ",
+    "іїєѐѝўӑӓәӗөӯӱү",
+    "ґђѓјљњћќџғқңҷһҳ",
+    "ΐΰϊϋὰὲὴὶὸὺὼἀἁἐἑἠἡἰἱὀὁὐὑὠὡᾶῆῖῦῶ",
+]
 
 _CLASS_OF = {c: (k, i) for k, members in enumerate(CLASSES) for i, c in enumerate(members)}
 _POOL_OF = {name.lower(): (pool, i) for pool, names in GIVEN.items() for i, name in enumerate(names)}
@@ -60,8 +69,17 @@ _SECRET = re.compile(
     r"|(?:(?<=token = \")|(?<=token=\")|(?<=secret = \")|(?<=secret=\")|(?<=api_key = \")|(?<=api_key=\")|(?<=password = \")|(?<=password=\"))[^\"\s]{6,}(?=\")"
 )
 _NUMBER = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])|(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,4})?(?![0-9A-Za-z])")
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+)?"
-_PERSON = re.compile(r"\b(" + "|".join(t for ts in TITLES.values() for t in ts) + rf")(\.? )({_NAME}(?: {_NAME}){{0,2}})\b")
+_CAPITAL = "[" + "".join(c for c in map(chr, range(0x2000)) if c.isupper() or c.istitle()) + "]"
+_SMALL = "[" + "".join(c for c in map(chr, range(0x2000)) if c.isalpha() and not c.isupper() and not c.istitle()) + "\u0300-\u036f]"
+#: Capital words that follow a name in capitals without being one.
+_NO_NAME = r"(?!(?:AND|OR|THE|OF|IN|IS|WAS|TO|AT|FOR|BY|ON|UND|DER|DIE|ET|LE|LA|Y|EL|И|В|НА)\b)"
+_WORD = rf"(?:{_CAPITAL}{_SMALL}*['’](?={_CAPITAL}{_SMALL}|{_CAPITAL}{{2}}))?{_CAPITAL}(?:{_SMALL}+(?:{_CAPITAL}{_SMALL}+)*|{_CAPITAL}+{_SMALL}*)"
+_NAME = rf"{_NO_NAME}{_WORD}(?:-{_WORD})*"
+_INITIAL = rf"{_CAPITAL}(?:\. ?| )(?:-?{_CAPITAL}\. ?)*"
+_PARTICLE = r"(?:(?:van|von|der|den|dem|de|del|della|di|da|dal|dos|das|do|du|des|la|le|los|las|zu|zum|zur|ten|ter|te|af|av|al|el|bin|ibn|bint|ben|'t|фон|де|ван|дер) |(?:al|el|[dl])[-'’](?=" + _CAPITAL + "))"
+_PART = rf"(?:{_INITIAL}){{0,3}}{_PARTICLE}{{0,3}}{_NAME}"
+_PERSON = re.compile(r"\b(" + "|".join(t for ts in TITLES.values() for t in ts) + rf")(\.? )({_PART}(?: {_PART}){{0,2}})(?!\w)")
+_NAME_PARTS = re.compile(rf"(?<![^\W_])(?:(?P<name>{_WORD}(?:-{_WORD})*)|(?P<initial>{_CAPITAL}))(?![^\W_])")
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 #: A text without any of these holds no entity.
 _HINT = re.compile(r"[0-9@=]|\b(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? ")
@@ -203,16 +221,28 @@ def number(cipher: Cipher, text: str) -> str:
     return text[:start] + "".join(c if c == " " else next(made) for c in text[start:])
 
 
+def _lower(text: str) -> str:
+    """Lower case letter by letter, as long as the text."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def name(cipher: Cipher, text: str, gender: str) -> str:
     """One name: within its list if it is there, else letter for letter."""
-    low = text.lower()
+    low = _lower(text)
     pool = _POOL_OF.get(low)
     if pool is not None:
         names = GIVEN[pool[0]]
-        return names[cipher.image(pool[1], len(names), f"given{pool[0]}".encode())]
+        made = names[cipher.image(pool[1], len(names), f"given{pool[0]}".encode())]
+        return made.upper() if text.isupper() else made
     kinds = _classes(low)
     tweak = "name" + "".join("x" if k is None else k[0] for k in kinds)
-    return _case(text, cipher.string(low, tweak, kinds, refused=_POOL_OF.__contains__))
+    # a letter whose capital is that of another one (ς, ı) or none (ß) doesn't stand for a capital
+    keeps = _lower(_case(text, low)) == low
+
+    def refused(made: str) -> bool:
+        return made in _POOL_OF or (keeps and (_lower(_case(text, made)) != made or any(c != d and m.upper() == m.lower() for c, d, m in zip(text, low, made)) or any(c != d and len(m.upper()) > 1 for c, d, m in zip(text, low, made))))
+
+    return _case(text, cipher.string(low, tweak, kinds, refused=refused))
 
 
 _MAKERS = {"card": card, "phone": phone, "ip": ip, "email": email, "secret": secret, "number": number}
@@ -237,15 +267,21 @@ def replace(text: str, cipher: Cipher) -> tuple[str, dict[str, int]]:
         return text, counts
     spans = [(a, b, kind, _MAKERS[kind](cipher, text[a:b])) for a, b, kind in find(text)]
     names: dict[str, str] = {}
+    initials: list[tuple[int, int, str]] = []
     for m in _PERSON.finditer(text):
-        for part in m[3].split(" "):
-            names.setdefault(part, "-".join(name(cipher, p, _GENDER[m[1]]) for p in part.split("-")))
+        for part in _NAME_PARTS.finditer(text, m.start(3), m.end(3)):
+            if part["name"]:
+                names.setdefault(part[0], "-".join(name(cipher, p, _GENDER[m[1]]) for p in part[0].split("-")))
+            else:  # only beside its name
+                initials.append((*part.span(), name(cipher, part[0], _GENDER[m[1]])))
     if names:
         mention = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
         taken = [(a, b) for a, b, _, _ in spans]
         for m in mention.finditer(text):
             if not any(a < m.end() and m.start() < b for a, b in taken):
                 spans.append((m.start(), m.end(), "person", names[m[0]]))
+        taken = [(a, b) for a, b, _, _ in spans]
+        spans += [(a, b, "person", made) for a, b, made in initials if not any(c < b and a < d for c, d in taken)]
     out, at = [], 0
     for a, b, kind, made in sorted(spans):
         out += [text[at:a], made]

@@ -176,6 +176,40 @@ def test_surrogates(spark):
     assert [r["text"] for r in got] == [None, "", surrogates.replace(text, surrogates.Cipher(surrogates.DEFAULT_KEY))[0]]
 
 
+NAMES = [
+    ("Mr McDonald", "McDonald"),
+    ("Ms DeLuca", "DeLuca"),
+    ("Mr O'Brien's", "O'Brien"),
+    ("Mrs Kovačová", "Kovačová"),
+    ("Mr Łukasz Nowak", "Łukasz Nowak"),
+    ("Dr Yılmaz", "Yılmaz"),
+    ("Mr SMITH", "SMITH"),
+    ("Mr J. Smith", "J Smith"),
+    ("Mr J.R. Smith", "J R Smith"),
+    ("Mr van Dijk", "Dijk"),
+    ("Mr. John McDonald", "John McDonald"),
+    ("Sr. de la Cruz", "Cruz"),
+    ("Mr Γιώργος ΠΑΠΑΔΟΠΟΥΛΟΣ", "Γιώργος ΠΑΠΑΔΟΠΟΥΛΟΣ"),
+    ("Господин Їжак", "Їжак"),
+]
+
+
+@pytest.mark.parametrize("text,names", NAMES)
+def test_surrogate_names(text, names):
+    new, counts = surrogates.replace(f"Then {text} left.", surrogates.Cipher(b"k"))
+    assert counts == {"person": len(names.split())} and len(new) == len(text) + 11 or "John" in names
+    words = "".join(c if c.isalpha() or c in "'" else " " for c in new).split()
+    assert not set(names.split()) & set(words)
+    assert surrogates.replace("Mr SMITH AND Co", surrogates.Cipher(b"k"))[0].endswith(" AND Co")
+
+
+def test_surrogate_names_stay_distinct():
+    cipher = surrogates.Cipher(b"k")
+    for texts in (["ΑΣ", "ΑΤ", "ΑΒ", "ΑΓ", "ΑΔ", "ΑΖ", "ΑΘ", "ΑΚ", "ΑΛ", "ΑΜ", "ΑΝ", "ΑΞ", "ΑΠ", "ΑΡ", "ΑΦ", "ΑΧ", "ΑΨ"], [f"Ñ{c}" for c in "çßøœæñ"], [f"Ĭ{c}" for c in "āăąēıįū"]):
+        made = [surrogates.name(cipher, t, "m") for t in texts]
+        assert len(set(made)) == len(texts) and all(a != b and [x.isupper() for x in a] == [x.isupper() for x in b] for a, b in zip(texts, made))
+
+
 def test_licenses(spark):
     mit = "Copyright (c) 2020 Someone\n\n" + licenses._MIT.replace("sublicense", "sub-licence").replace(". ", ".\n")
     got = {r["doc_id"]: r for r in licenses.scan(frame(spark, [(1, mit), (2, "x\nReleased under the MIT licence\n"), (3, None), (4, " ")])).collect()}
