@@ -1,6 +1,6 @@
 """The operators' queries by name, and their SQL where it can express them."""
 
-from . import decontaminate, html_extract, licenses, line_dedup, minhash, mixing, quality_rules, substring_dedup, surrogates, token_files
+from . import decontaminate, html_extract, infill, licenses, line_dedup, merkle, minhash, mixing, neighbours, quality_rules, substring_dedup, surrogates, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_line_dedup": line_dedup.query,
     "op9_licenses": licenses.query,
     "op10_surrogates": surrogates.query,
+    "op11_merkle": merkle.query,
+    "op12_infill": infill.query,
+    "op13_neighbours": neighbours.query,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.SQL,
@@ -20,4 +23,6 @@ ORACLES = {
     "op4_substring_dedup": substring_dedup.SQL,
     "op6_mixing": mixing.SQL,
     "op9_licenses": licenses.SQL,
+    "op11_merkle": merkle.SQL,
+    "op12_infill": infill.SQL,
 }
