@@ -10,7 +10,12 @@ turned into all of its pairs: its members meet its first document, then the firs
 one more of the largest component of each bucket that still holds several, and last the members outside the largest
 component meet the rest. Pairs of one component are never compared, and no partner or candidate is dropped.
 
-With 42 bands of 6 a pair of Jaccard 0.8 shares no bucket with a probability of 3e-6, one of 0.85 with 2e-9.
+In that last step a pair is made only if the long signatures of its texts, one bit of each of ``LONG`` coordinates, differ
+seldom enough: the test is part of the join, so a bucket of many texts of similarity 0.7 doesn't turn into all of its pairs,
+and no text moves for them. Long signatures are made for the members of these buckets alone.
+
+With 42 bands of 6 a pair of Jaccard 0.8 shares no bucket with a probability of 3e-6, one of 0.85 with 2e-9; the long
+signatures of a pair of 0.8 fail their test with one of 1e-6, those of a pair of 0.7 pass it in 2 cases of 100.
 
 Cases: null, empty and blank texts have no shingles and are linked with nothing; a text of fewer words than a shingle has
 one shingle, all its words; rows that share a ``doc_id`` are one node; a null ``doc_id`` is linked with nothing; other
@@ -32,6 +37,8 @@ ROWS = 6
 BANDS = 42
 SEED = 20_240_501
 PERCENT = 80
+#: Coordinates of a long signature, 64 to a long.
+LONG = 2_048
 
 _TABLE: dict[str, np.ndarray] = {}
 
@@ -40,7 +47,7 @@ def _ring() -> np.ndarray:
     """The fixed permutation as runs: row i has ``order[i], order[i + 1], ...`` for all coordinates."""
     if "ring" not in _TABLE:
         order = np.random.default_rng(SEED).permutation(RING).astype(np.uint32)
-        _TABLE["ring"] = np.lib.stride_tricks.sliding_window_view(np.concatenate((order, order[: ROWS * BANDS - 1])), ROWS * BANDS)
+        _TABLE["ring"] = np.lib.stride_tricks.sliding_window_view(np.concatenate((order, order[: LONG - 1])), LONG)
     return _TABLE["ring"]
 
 
@@ -54,18 +61,39 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     return np.unique(common.gram_hashes(hashes, min(width, len(words))) + np.uint64(min(width, len(words))))
 
 
-def signature(grams: np.ndarray) -> np.ndarray:
+def signature(grams: np.ndarray, count: int = ROWS * BANDS) -> np.ndarray:
     places = (common.mix(grams ^ np.uint64(SEED)) & np.uint64(RING - 1)).astype(np.int64)
-    ring, least = _ring(), None
-    for i in range(0, len(places), 2_048):
-        part = ring[places[i : i + 2_048]].min(axis=0)
+    ring, least = _ring()[:, :count], None
+    step = 1 << 19 >> count.bit_length()  # places at a time, in bounded memory
+    for i in range(0, len(places), step):
+        part = ring[places[i : i + step]].min(axis=0)
         least = part if least is None else np.minimum(least, part)
     return least
 
 
-def bands(grams: np.ndarray) -> np.ndarray:
+def long_bits(grams: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate of the long signature; they are mixed first, as least values have small leading bits."""
+    bits = common.mix(signature(grams, LONG).astype(np.uint64)) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def most_differing(percent: int) -> int:
+    """Bits that may differ: five deviations more than those of a pair at the threshold do on average."""
+    p = (1 - percent / 100) / 2
+    return int(LONG * p + 5 * (LONG * p * (1 - p)) ** 0.5) + 1
+
+
+def may_agree(a, b, percent: int):
+    """Whether two long signatures differ seldom enough."""
+    differing = F.lit(0)
+    for i in range(LONG // 64):
+        differing = differing + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return differing <= most_differing(percent)
+
+
+def bands(coordinates: np.ndarray) -> np.ndarray:
     """One 64-bit bucket key per band."""
-    rows = signature(grams).reshape(BANDS, ROWS).astype(np.uint64)
+    rows = coordinates.reshape(BANDS, ROWS).astype(np.uint64)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(ROWS):
         key = common.mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
@@ -85,7 +113,7 @@ def _sketches(width: int):
                     digest = xxhash.xxh3_128_digest(grams.tobytes())
                     first.append(int.from_bytes(digest[:8], "little", signed=True))
                     second.append(int.from_bytes(digest[8:], "little", signed=True))
-                    keys.append(bands(grams))
+                    keys.append(bands(signature(grams)))
                 else:
                     first.append(None)
                     second.append(None)
@@ -100,6 +128,17 @@ def _sketches(width: int):
     return run
 
 
+def _long_signatures(width: int):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            bits = [long_bits(shingles(value, width)) for value in common.texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bits, pa.list_(pa.int64()))], names=["id", "bits"])
+
+    return run
+
+
 def _confirm(width: int, percent: int):
     def run(batches):
         import pyarrow as pa
@@ -130,8 +169,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, tex
     buckets = firsts.groupBy("band").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last")).where("head.id < last")
     shared = firsts.join(buckets.select("band", F.col("head.id").alias("head"), F.col("head.n").alias("head_n")), "band")
     shared = common.materialise(shared, "minhash-buckets")
-    texts = rows.join(shared.select("id").distinct(), "id", "left_semi")
-    texts = common.materialise(texts, "minhash-texts")
+    ids = shared.select("id").distinct()
+    texts = common.materialise(rows.join(ids, "id", "left_semi"), "minhash-texts")
 
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:
         """Pairs (a, b) of ids whose full sets are similar enough."""
@@ -176,14 +215,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, tex
     # a pair that shares several of these buckets is made in the first of them alone
     inside = opened(labelled(links))
     own = inside.groupBy("id").agg(F.collect_set("band").alias("own"))  # of one document: at most BANDS
-    inside = inside.join(own, "id")
-    outside = inside.where("root <> most").select(F.col("band").alias("a_band"), F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"), F.col("own").alias("a_own"))
+    signed = texts.join(own.select("id"), "id", "left_semi").where("text IS NOT NULL").mapInArrow(_long_signatures(width), "id long, bits array<long>")
+    # an id with several texts goes by one of them, the same in every run
+    signed = common.materialise(own.join(signed.groupBy("id").agg(F.min("bits").alias("bits")), "id"), "minhash-signed")
+    inside = inside.join(signed, "id")
+    outside = inside.where("root <> most").select(F.col("band").alias("a_band"), *[F.col(c).alias("a" if c == "id" else f"a_{c}") for c in ("id", "n", "root", "own", "bits")])
     rest = inside.join(
         outside,
         (F.col("band") == F.col("a_band"))
         & (F.col("root") != F.col("a_root"))
         & ((F.col("root") == F.col("most")) | (F.col("id") < F.col("a")))
         & may_link(F.col("n"), F.col("a_n"))
+        & may_agree(F.col("bits"), F.col("a_bits"), percent)
         & (F.array_min(F.array_intersect("own", "a_own")) == F.col("band")),
     )
     rest = untried(rest.select("a", F.col("id").alias("b")))
