@@ -73,6 +73,12 @@ def prepare(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+def set_apart(docs: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """Rename columns called like ``names``, and give the columns that bring back the frame's own names and order."""
+    held = {c: f"_apart_{c}" for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(held), [F.col(held.get(c, c)).alias(c) for c in docs.columns]
+
+
 def word_array(text: Column) -> Column:
     """Words of a text as a native array; a null or blank text has none."""
     bare = F.btrim(text, F.lit(SPACE))

@@ -233,7 +233,7 @@ def n_hit(spans):
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5, text: str = "text", **options) -> DataFrame:
     """Cut the hit spans out of the texts; documents of which over ``max_coverage`` is hit go. Other columns stay."""
-    columns = docs.columns
+    docs, columns = common.set_apart(docs, ["n_words", "spans", "items"])
     found = find(docs, benchmark, window, text=text, **options)
     found = found.where(n_hit(F.col("spans")) <= F.col("n_words") * F.lit(max_coverage))
     hit = F.when(F.size("spans") > 0, F.col(text))  # other texts don't go to Python again

@@ -159,7 +159,7 @@ def plan(keys: DataFrame, weights=WEIGHTS, share: Fraction = SHARE, bucket_rows:
         .select("_pattern", "_bucket", (F.col("_end") - F.col("size")).alias("_before"))
     )  # one row per pattern at most
     inside = spread.join(F.broadcast(crossing), ["_pattern", "_bucket"])
-    in_order = Window.partitionBy("_pattern").orderBy("_order", F.asc_nulls_first("doc_id"), "size").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy("_pattern").orderBy("_order", F.asc_nulls_first("doc_id"), "size", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     reached = inside.withColumn("_reached", F.col("_before") + F.sum("size").over(in_order)).where(F.col("_reached") <= F.col("_rest"))
     cuts = reached.groupBy("_pattern").agg(F.max(F.struct("_reached", *_place())).alias("_last"))
     cuts = crossing.join(cuts, "_pattern", "left").select(
@@ -178,7 +178,7 @@ def plan(keys: DataFrame, weights=WEIGHTS, share: Fraction = SHARE, bucket_rows:
 
 def _place():
     """The place of a document in the order of its pattern."""
-    return [F.col("_order"), F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("")).alias("_id"), F.col("size")]
+    return [F.col("_order"), F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("")).alias("_id"), F.col("size"), F.col("_tie")]
 
 
 def _bucket():
@@ -188,7 +188,7 @@ def _bucket():
 
 def _within():
     """Whether a document comes at or before the cut of its pattern."""
-    last = F.struct(F.col("_last._order").alias("_order"), F.col("_last._id").alias("_id"), F.col("_last.size").alias("size"))
+    last = F.struct(F.col("_last._order").alias("_order"), F.col("_last._id").alias("_id"), F.col("_last.size").alias("size"), F.col("_last._tie").alias("_tie"))
     return F.when(F.col("_last").isNull(), _bucket() < F.col("_cut_bucket")).otherwise(F.struct(*_place()) <= last)
 
 
@@ -197,30 +197,34 @@ def take(keyed: DataFrame, planned: DataFrame) -> DataFrame:
     out = keyed.drop("source_size", "target", "copies").join(F.broadcast(planned), "_pattern", "left")
     chosen = F.coalesce(_within(), F.lit(False))
     closing = F.col("_closing")
-    closes = F.coalesce((closing["_order"] == F.col("_order")) & (closing["_id"] == _place()[1]) & (closing["size"] == F.col("size")), F.lit(False))
+    closes = F.coalesce(closing["_tie"] == F.col("_tie"), F.lit(False))
     copies = F.coalesce("_copies", F.lit(0)) + F.when(F.coalesce(F.col("_rest"), F.lit(0)) > 0, (chosen | closes).cast("long")).otherwise(F.lit(0))
-    columns = [c for c in keyed.columns if not c.startswith("_") and c not in ("source_size", "target", "copies")]
+    columns = [c for c in keyed.columns if c not in ("_pattern", "_order", "_tie", "source_size", "target", "copies")]
     return out.select(*columns, "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, sources=None, seed: str = SEED, text: str = "text", **options) -> DataFrame:
     """Documents with ``size, source_size, target, copies``; the selection is the same in each run."""
-    docs = docs.drop("size", "_pattern", "_order")
-    keyed = sized(docs, text, sources, seed)
-    slim = common.materialise(keyed.select("_pattern", "_order", "doc_id", "size"), "mix-sizes")
-    return take(keyed, plan(slim, **options))
+    docs = docs.drop("size", "_pattern", "_order", "_tie")
+    keyed = common.materialise(_numbered(sized(docs, text, sources, seed)), "mix-documents")
+    return take(keyed, plan(keyed.select("_pattern", "_order", "doc_id", "size", "_tie"), **options))
+
+
+def _numbered(keyed: DataFrame) -> DataFrame:
+    """Tell rows of one id and size apart. Any numbers do, as such rows give the same results; they are fixed once written."""
+    return keyed.withColumn("_tie", F.monotonically_increasing_id())
 
 
 def query(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    slim = common.materialise(sized(docs).select("_pattern", "_order", "doc_id", "size"), "mix-sizes")
+    slim = common.materialise(_numbered(sized(docs).select("_pattern", "_order", "doc_id", "size")), "mix-sizes")
     out = take(slim, plan(slim))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def stage(spark, docs, sf_dir):
     """Each document as often as the mix takes it."""
-    columns = docs.columns
+    docs, columns = common.set_apart(docs, ["size", "source_size", "target", "copies"])
     taken = mix(docs).where("copies > 0")
     return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*columns)
 

@@ -89,34 +89,37 @@ def repeat_words(words: Column) -> Column:
     return F.when((F.size(words) > WINDOW) & hashed(words), exact(words)).otherwise(F.lit(0).cast("long"))
 
 
+#: Columns that ``judge`` adds, in place of any of the same name; names that begin with ``_judge_`` are its own, too.
+MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_lost", "words_lost", "base_failed", "kept", "clean_text"]
+
+
 def judge(docs: DataFrame, max_lost: float = 0.5, text: str = "text") -> DataFrame:
     """Add the base figures, ``clean_text``, ``words_lost``, ``base_failed`` and ``kept`` to each document."""
     whole = F.col(text)
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_lost", "words_lost", "base_failed", "kept", "clean_text"]
-    docs = docs.drop(*made)
+    docs = docs.drop(*MADE)
     lines = F.split(whole, "\n", -1)
     with_word = F.filter(lines, lambda x: x.rlike(WORD))
     step = docs.withColumns(
         {
-            "_words": common.word_array(whole),
+            "_judge_words": common.word_array(whole),
             "word_chars": F.coalesce(F.length(F.regexp_replace(whole, common.SPACE_RUN, "")), F.lit(0)).cast("long"),
             "n_symbols": F.coalesce(F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, "")), F.lit(0)).cast("long"),
             "n_dup_lines": F.coalesce(_let(with_word, lambda w: F.size(w) - F.size(F.array_distinct(w))), F.lit(0)).cast("long"),
-            "_lines": F.coalesce(F.size(lines), F.lit(0)),
-            "_good": F.filter(lines, lambda x: ~(x.rlike(WORD) & line_fails(x))),
+            "_judge_lines": F.coalesce(F.size(lines), F.lit(0)),
+            "_judge_good": F.filter(lines, lambda x: ~(x.rlike(WORD) & line_fails(x))),
         }
     )
-    step = step.withColumns({"n_words": F.size("_words").cast("long"), "n_repeat_words": repeat_words(F.col("_words"))})
+    step = step.withColumns({"n_words": F.size("_judge_words").cast("long"), "n_repeat_words": repeat_words(F.col("_judge_words"))})
     step = step.withColumns(
         {
-            "n_lines_lost": F.when(whole.isNull(), 0).otherwise(F.col("_lines") - F.size("_good")).cast("long"),
-            "clean_text": F.when(F.size("_good") == F.col("_lines"), whole).otherwise(F.array_join("_good", "\n")),
+            "n_lines_lost": F.when(whole.isNull(), 0).otherwise(F.col("_judge_lines") - F.size("_judge_good")).cast("long"),
+            "clean_text": F.when(F.size("_judge_good") == F.col("_judge_lines"), whole).otherwise(F.array_join("_judge_good", "\n")),
         }
     )
     step = step.withColumn("words_lost", F.when(F.col("n_lines_lost") == 0, F.lit(0).cast("long")).otherwise(F.col("n_words") - common.word_count(F.col("clean_text"))))
     step = step.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT))
     step = step.withColumn("kept", ~F.col("base_failed") & (F.col("words_lost") <= F.col("n_words") * F.lit(max_lost)))
-    return step.drop("_words", "_lines", "_good")
+    return step.drop("_judge_words", "_judge_lines", "_judge_good")
 
 
 def query(spark, sf_dir):
@@ -130,7 +133,7 @@ def stage(spark, docs, sf_dir):
     The verdict passes through a generator of one row: a filter directly on ``kept`` would be moved below the steps of
     ``judge``, where its copy of all their expressions splits the text anew for each window.
     """
-    columns = docs.columns
+    docs, columns = common.set_apart(docs, [*MADE, "_judged"])
     good = judge(docs).withColumn("_judged", F.explode_outer(F.array(F.struct("kept", "clean_text")))).where("_judged.kept")
     return good.withColumns({"text": F.col("_judged.clean_text"), "n_chars": F.length("_judged.clean_text").cast("long")}).select(*columns)
 

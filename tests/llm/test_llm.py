@@ -250,20 +250,41 @@ def test_full_licenses_and_frames(spark):
     assert got == [(1, "X", 0, ""), (2, "-", 3, "M,N"), (2, "D", 0, ""), (3, "-", 0, "")]
 
 
+def without(spark, rows):
+    out = line_dedup.dedup(frame(spark, rows).limit(len(rows)))
+    assert out.columns == frame(spark, rows).columns
+    return sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+
+
+def expected(rows):
+    """The texts without the lines that brute force removes."""
+    gone = line_dedup.brute_force(rows)
+    return sorted(((key, None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in g)) for (key, text), g in zip(rows, gone)), key=repr)
+
+
 def test_line_dedup_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").collect()]
     line = "The quick brown fox jumps over the lazy dog near the old river bank today."
     rows += [(100, line), (101, line.replace("lazy", "lady") + "\n\n" + line), (102, None), (103, "")]
     long_line = words(0, 3_000)  # longer than a block of shingles
     rows += [(104, long_line), (105, long_line.replace("w77 ", "v77 ")), (106, "𝔘𝔫𝔦 " * 12 + "\n" + "é" * 41), (107, "𝔘𝔫𝔦 " * 12 + "!"), (107, "x" * 39 + "\n" + "x" * 39)]
-    got = line_dedup.removed_lines(frame(spark, rows)).groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("p")).collect()
-    assert {r["doc_id"]: r["p"] for r in got} == line_dedup.brute_force(rows)
+    assert without(spark, rows) == expected(rows)
 
 
 def test_line_dedup_short_lines(spark):
     rows = [(1, "abc\nabcd\nabcde"), (2, "abcdef\nabc"), (3, "La leretion elle èan aioi."), (4, "En leretion elle èan aioi.\n" + "x y " * 9 + "end"), (5, "x y " * 9 + "end!\nhello word one"), (6, "hello word one.\nhello")]
-    got = line_dedup.removed_lines(frame(spark, rows)).groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("p")).collect()
-    assert {r["doc_id"]: r["p"] for r in got} == line_dedup.brute_force(rows) == {2: [1], 4: [0], 5: [0], 6: [0]}
+    assert without(spark, rows) == expected(rows)
+    assert dict(zip((r[0] for r in rows), line_dedup.brute_force(rows))) == {1: [], 2: [1], 3: [], 4: [0], 5: [0], 6: [0]}
+
+
+def test_line_dedup_rows_of_one_id(spark):
+    """Rows are told apart by id and text: a line goes from the row that it is a copy in, from no other."""
+    twice = "A line that is found in two of these documents."
+    rows = [(1, twice + "\nfirst"), (2, "own line of the one row\n" + twice), (2, "own line of the other row\nthat must stay as it is"), (None, twice), (None, "only here, without an id"), (3, "equal rows"), (3, "equal rows"), (4, None)]
+    got = without(spark, rows)
+    assert got == expected(rows)
+    assert (2, "own line of the other row\nthat must stay as it is") in got and (2, "own line of the one row") in got and (None, "") not in got
+    assert without(spark, [])  == []
 
 
 def test_line_signatures():
@@ -273,6 +294,26 @@ def test_line_signatures():
     assert line_dedup.signatures([]).shape == (0, 96) and line_dedup.most_differing(80) == 33
 
 
+def test_mixing_equal_rows(spark):
+    """Rows that nothing tells apart are counted one by one, with and without an id."""
+    for rows in ([(7, words(0, 10))] * 100, [(None, words(0, 10))] * 100, [(i % 3, words(0, 10)) for i in range(100)]):
+        got = mixing.mix(frame(spark, rows)).collect()
+        assert len(got) == 100 and sum(r["size"] * r["copies"] for r in got) == 1_500 and got[0]["target"] == 1_500 and max(r["copies"] for r in got) == 2
+
+
+def test_clashing_columns_stay(spark):
+    """Columns named like those that the operators make or use come back as they were given."""
+    names = ["n_words", "spans", "items", "kept", "clean_text", "_judged", "_judge_words", "size", "copies", "target", "source_size"]
+    text = " ".join(f"Every{i} sentence{i} is its own." for i in range(20))
+    docs = spark.createDataFrame([(i, text.replace("own", f"own{i}"), "s", 1, *[f"mine {i}"] * len(names)) for i in range(4)], "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([("a", "nothing of this is there")], "item_id string, text string")
+    cleaned = decontaminate.remove(docs, items)
+    for out in (cleaned, quality_rules.stage(spark, docs.drop("_judge_words"), SF), mixing.stage(spark, docs, SF)):
+        assert out.columns == [c for c in docs.columns if c in out.columns] and len(out.columns) >= len(docs.columns) - 1
+        rows = out.collect()
+        assert rows and all(r[n] == f"mine {r['doc_id']}" for r in rows for n in names if n in out.columns)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
