@@ -4,6 +4,10 @@ Features carry mercator geometry, envelope columns ``minx..maxy``, ``layer`` and
 ``fid``; query points carry ``pid`` and a position.
 """
 
+import math
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
@@ -71,92 +75,227 @@ def _within_points_box(features, points, tolerance):
     return features if box["minx"] is None else ft.extent_filter(features, box)
 
 
-def _feature_cells(features, tolerance):
-    """Every feature goes to the at most 2 x 2 cells of the level that fits its padded envelope."""
-    span = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) + 2 * tolerance
+#: A long segment is walked in cells of about this share of it; cells are never smaller than four tolerances.
+STEPS = 16
+#: Cells on each axis of a polygon's cover are 2 to the power of at most this.
+DEPTH = 5
+#: Room for the last bits of coordinates, in map units.
+HAIR = 1e-6
+
+
+def _level(span, finest=MAX_LEVEL):
+    """The finest level whose cells are not smaller than ``span``."""
     world = 2 * m.HALF_WORLD
-    level = F.when(span <= world / 2**MAX_LEVEL, MAX_LEVEL).otherwise(
-        F.greatest(F.floor(F.log2(F.lit(world) / F.greatest(span, F.lit(1e-9)))), F.lit(0))
-    )
+    return F.least(F.greatest(F.floor(F.log2(F.lit(world) / F.greatest(span, F.lit(world / 2**MAX_LEVEL)))), F.lit(0)), F.lit(finest)).cast("int")
+
+
+def _cell_key(level, cx, cy):
+    """Level and cell as one long."""
+    return F.shiftleft(level.cast("long"), 56) + F.shiftleft(cx.cast("long") + 1, 28) + cy.cast("long") + 1
+
+
+def _box_level(tolerance):
+    """The level at which a padded envelope lies in 2 x 2 cells at most."""
+    return _level(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) + 2 * tolerance)
+
+
+def _box_cells(features, tolerance):
+    """Features at the cells of their padded envelopes."""
+    rows = features.withColumn("_level", _box_level(tolerance))
     n = F.pow(F.lit(2.0), F.col("_level"))
-    lo_x, hi_x = (F.floor(m.world_u(F.col(c) + s * tolerance) * n) for c, s in (("minx", -1), ("maxx", 1)))
-    lo_y, hi_y = (F.floor(m.world_v(F.col(c) + s * tolerance) * n) for c, s in (("maxy", 1), ("miny", -1)))
-    return (
-        features.withColumn("_level", F.least(level, F.lit(MAX_LEVEL)).cast("int"))
-        .withColumn("_cx", F.explode(F.sequence(lo_x, hi_x)))
-        .withColumn("_cy", F.explode(F.sequence(lo_y, hi_y)))
-    )
+    low_x, high_x = (F.floor(m.world_u(F.col(c) + s * tolerance) * n) for c, s in (("minx", -1), ("maxx", 1)))
+    low_y, high_y = (F.floor(m.world_v(F.col(c) + s * tolerance) * n) for c, s in (("maxy", 1), ("miny", -1)))
+    rows = rows.withColumn("_cx", F.explode(F.sequence(low_x, high_x))).withColumn("_cy", F.explode(F.sequence(low_y, high_y)))
+    return rows.withColumn("_cell", _cell_key(F.col("_level"), F.col("_cx"), F.col("_cy"))).drop("_level", "_cx", "_cy")
+
+
+def _segments():
+    return F.flatten(F.transform(F.flatten(F.col("geom.parts")), g.segments))
 
 
-PIECES = 64
+def _segment_level(s, tolerance):
+    """The level of the cells that a segment is walked in."""
+    reach = F.greatest(F.abs(s["b"]["x"] - s["a"]["x"]), F.abs(s["b"]["y"] - s["a"]["y"]))
+    return _level(F.greatest(reach / STEPS, F.lit(4.0 * tolerance)))
 
 
-def _line_pieces(lines, fields, tolerance):
-    """Lines as short pieces of their segments, so that long lines do not claim huge envelopes.
+def _line_cells(lines, columns, tolerance):
+    """Segments at every cell that holds points within the tolerance of them.
 
-    A segment is cut into equal pieces of at least 1 / 64 of the world; each
-    carries its own envelope and the ends of its whole segment.
+    A segment is walked column by column; the part of it beside a column tells the rows of cells. ``_lo`` and ``_hi``
+    bound the points' y inside the column.
     """
-    segs = F.explode(F.flatten(F.transform(F.flatten(F.col("geom.parts")), g.segments)))
-    rows = lines.select("layer", "fid", *fields, segs.alias("s")).select(
-        "layer", "fid", *fields, *[F.col(f"s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"])
+    rows = lines.select(*columns, F.explode(_segments()).alias("s")).select(
+        *columns, _segment_level(F.col("s"), tolerance).alias("_level"), *[F.col(f"s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"])
     dx, dy = F.col("_bx") - F.col("_ax"), F.col("_by") - F.col("_ay")
-    length = max(4.0 * tolerance, 2 * m.HALF_WORLD / PIECES)
-    n = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / length), F.lit(1))
-    rows = rows.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
-    ends = {c: [F.col(f"_a{c}") + d * (F.col("_i") + k) / F.col("_n") for k in (0, 1)] for c, d in (("x", dx), ("y", dy))}
-    hair = 1e-6
-    return rows.withColumns({
-        "minx": F.least(*ends["x"]) - hair, "maxx": F.greatest(*ends["x"]) + hair,
-        "miny": F.least(*ends["y"]) - hair, "maxy": F.greatest(*ends["y"]) + hair,
-    }).drop("_n", "_i")
-
-
-def _near_pairs(points, shapes, tolerance):
-    """Points beside every shape whose padded envelope holds them."""
-    cells = _feature_cells(shapes, tolerance)
-    in_use = [r["_level"] for r in cells.select("_level").distinct().collect()]  # at most 25 numbers
-    levels = F.array(*[F.lit(n) for n in in_use]) if in_use else F.expr("cast(array() as array<int>)")
+    pad = tolerance + HAIR
     n = F.pow(F.lit(2.0), F.col("_level"))
-    pts = points.withColumn("_level", F.explode(levels)).withColumns({"_cx": F.floor(m.world_u("_px") * n), "_cy": F.floor(m.world_v("_py") * n)})
-    pairs = pts.join(cells, ["_level", "_cx", "_cy"])
-    return pairs.where(
-        F.col("_px").between(F.col("minx") - tolerance, F.col("maxx") + tolerance)
-        & F.col("_py").between(F.col("miny") - tolerance, F.col("maxy") + tolerance)
-    )
+    low, high = (F.floor(m.world_u(f("_ax", "_bx") + s * pad) * n) for f, s in ((F.least, -1), (F.greatest, 1)))
+    rows = rows.withColumn("_cx", F.explode(F.sequence(low, high)))
+    width = F.lit(2 * m.HALF_WORLD) / n
+    edge = F.col("_cx") * width - m.HALF_WORLD
+    beside = [F.when(dx == 0, F.lit(float(k))).otherwise((x - F.col("_ax")) / F.when(dx == 0, F.lit(1.0)).otherwise(dx)) for k, x in ((0, edge - pad), (1, edge + width + pad))]
+    ys = [F.col("_ay") + dy * F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0)) for t in beside]
+    rows = rows.withColumns({"_lo": F.least(*ys) - pad, "_hi": F.greatest(*ys) + pad})
+    rows = rows.withColumn("_cy", F.explode(F.sequence(F.floor(m.world_v("_hi") * n), F.floor(m.world_v("_lo") * n))))
+    return rows.withColumn("_cell", _cell_key(F.col("_level"), F.col("_cx"), F.col("_cy"))).drop("_level", "_cx", "_cy")
+
+
+def _part_edges(rings):
+    """Edges of a polygon with the flag of a hole; rings of fewer than four vertices hold nothing."""
+    def edges(ring, hole):
+        return F.transform(g.segments(ring), lambda s: F.struct(
+            s["a"]["x"].alias("ax"), s["a"]["y"].alias("ay"), s["b"]["x"].alias("bx"), s["b"]["y"].alias("by"), F.lit(hole).alias("hole")))
+
+    holes = F.filter(F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0))), lambda r: F.size(r) >= 4)
+    return F.concat(edges(rings[0], 0), F.flatten(F.transform(holes, lambda r: edges(r, 1))))
+
+
+def _odd(edges, hole, x, y, base):
+    """Whether a ray from (x, y) towards +x crosses an odd number of edges, ``base`` of them known."""
+    def crossed(e):
+        rise = e["by"] - e["ay"]
+        at = (e["bx"] - e["ax"]) * (y - e["ay"]) / F.when(rise == 0, F.lit(1.0)).otherwise(rise) + e["ax"]
+        return (e["hole"] == hole) & ((e["ay"] > y) != (e["by"] > y)) & (x < at)
+
+    return (F.size(F.filter(edges, crossed)) + base) % 2 == 1
+
+
+def _holds(part, x, y):
+    """Even-odd test with the edges that a cell keeps of a polygon."""
+    return _odd(part["edges"], 0, x, y, part["shell"]) & ~_odd(part["edges"], 1, x, y, part["holes"])
+
+
+def _cover_level():
+    """The level of a polygon's cells: large ones and those of many vertices get finer cells."""
+    whole = _level(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))
+    by_size, by_vertices = F.lit(DEPTH + 4) - whole, F.floor(F.log2(F.size(g.vertices("geom")) + 1) / 2).cast("int")
+    return F.least(whole + F.least(F.greatest(by_size, by_vertices, F.lit(1)), F.lit(DEPTH)), F.lit(MAX_LEVEL))
+
+
+def _polygon_cells(polygons, columns):
+    """Polygons as cells: those inside, which need no test, and those on an edge with the edges that a test there needs.
+
+    A band of cells keeps the edges of its height. In a cell of it these are the edges that touch the cell and, of those
+    to its right, the ones that end inside the band; the others cross every ray and are counted only. The state of a cell
+    without an edge is that of its middle.
+    """
+    parts = F.transform(F.filter(F.col("geom.parts"), lambda rings: F.size(rings[0]) >= 4), _part_edges)
+    rows = polygons.select(*columns, *g.BOX, parts.alias("_parts"), _cover_level().alias("_level"))
+    n = F.pow(F.lit(2.0), F.col("_level"))
+    size = F.lit(2 * m.HALF_WORLD) / n
+
+    def band(cy):
+        top = F.lit(m.HALF_WORLD) - cy * size
+        bottom = top - size
+
+        def near(e):
+            low, high = F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"])
+            return (low <= top + HAIR) & (high >= bottom - HAIR)
+
+        def cut(e):
+            """With the x range of the edge inside the band, and whether it spans the band."""
+            rise = e["by"] - e["ay"]
+            ends = [
+                F.when(rise == 0, x).otherwise(e["ax"] + (e["bx"] - e["ax"]) * F.least(F.greatest((y - e["ay"]) / F.when(rise == 0, F.lit(1.0)).otherwise(rise), F.lit(0.0)), F.lit(1.0)))
+                for x, y in ((e["ax"], top + HAIR), (e["bx"], bottom - HAIR))
+            ]
+            spans = (F.least(e["ay"], e["by"]) <= bottom - HAIR) & (F.greatest(e["ay"], e["by"]) >= top + HAIR)
+            return F.struct(*[e[c].alias(c) for c in ("ax", "ay", "bx", "by", "hole")], (F.least(*ends) - HAIR).alias("x0"), (F.greatest(*ends) + HAIR).alias("x1"), spans.alias("spans"))
+
+        return F.struct(cy.alias("cy"), F.transform("_parts", lambda p: F.transform(F.filter(p, near), cut)).alias("parts"))
+
+    rows = rows.withColumn("_band", F.explode(F.transform(F.sequence(F.floor(m.world_v("maxy") * n), F.floor(m.world_v("miny") * n)), band))).drop("_parts")
+
+    def cell(cx):
+        left = cx * size - m.HALF_WORLD
+        right = left + size
+        middle = left + size / 2, F.lit(m.HALF_WORLD) - (F.col("_band.cy") + 0.5) * size
+
+        def part(edges):
+            touching = F.filter(edges, lambda e: (e["x1"] >= left) & (e["x0"] <= right))
+            beyond = F.filter(edges, lambda e: e["x0"] > right)
+            count = lambda hole: F.size(F.filter(beyond, lambda e: e["spans"] & (e["hole"] == hole)))
+            kept = F.transform(F.concat(touching, F.filter(beyond, lambda e: ~e["spans"])), lambda e: F.struct(*[e[c].alias(c) for c in ("ax", "ay", "bx", "by", "hole")]))
+            return F.struct((F.size(touching) > 0).alias("open"), kept.alias("edges"), count(0).alias("shell"), count(1).alias("holes"))
+
+        return g.let(F.transform("_band.parts", part), lambda parts: F.struct(
+            cx.alias("cx"), F.exists(parts, lambda p: ~p["open"] & _holds(p, *middle)).alias("inside"), F.filter(parts, lambda p: p["open"]).alias("open")))
+
+    cells = F.transform(F.sequence(F.floor(m.world_u("minx") * n), F.floor(m.world_u("maxx") * n)), cell)
+    rows = rows.withColumn("_c", F.explode(F.filter(cells, lambda c: c["inside"] | (F.size(c["open"]) > 0))))
+    return rows.select(
+        *columns, _cell_key(F.col("_level"), F.col("_c.cx"), F.col("_band.cy")).alias("_cell"), F.col("_c.inside").alias("_inside"),
+        F.when(~F.col("_c.inside"), F.col("_c.open")).alias("_open"))
+
+
+def _points_in_cells(points, levels):
+    """Points in the cells of some levels."""
+    n = F.pow(F.lit(2.0), F.col("_at"))
+    rows = points.withColumn("_at", F.explode(F.array(*[F.lit(i) for i in levels])))
+    return rows.withColumn("_cell", _cell_key(F.col("_at"), F.floor(m.world_u("_px") * n), F.floor(m.world_v("_py") * n))).drop("_at")
+
+
+def _levels_in_use(features, kind, tolerance):
+    """The levels of each kind of shape, 25 at most: one pass over types and envelopes.
+
+    A line's segments are no longer than its envelope, so theirs are all levels from that of the largest envelope on.
+    """
+    span = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    coarsest = _level(F.greatest(span / STEPS, F.lit(4.0 * tolerance)))
+    own = F.when(kind == 1, coarsest).when(kind == 2, _cover_level()).otherwise(_box_level(tolerance))
+    levels = {}
+    for r in features.select(kind.alias("kind"), own.alias("level")).where("level IS NOT NULL").distinct().collect():
+        levels.setdefault(r["kind"], []).append(r["level"])
+    if 1 in levels:
+        finest = min(MAX_LEVEL, max(0, int(math.log2(2 * m.HALF_WORLD / max(4.0 * tolerance, 1.0)))))
+        levels[1] = list(range(min(levels[1]), max(finest, *levels[1]) + 1))
+    return levels
 
 
 def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     """For each point all features within the tolerance (a point in a polygon is at distance 0).
 
-    An equi-join on grid cells: shapes sit on the grid level of their own size,
-    points on every level in use (25 at most), so a pair meets in one cell.
-    Lines join piece by piece and keep the least distance; lines that share an
-    id are told apart by a hash of their vertices. Adaptive execution splits hot
-    cells.
+    Equi-joins on grid cells, in which a pair meets once. Points of features sit on the grid level that fits the tolerance;
+    polygons are covered by inside cells and edge cells, lines are walked cell by cell and keep the least distance of their
+    segments. Points take part on the levels in use (25 at most). Adaptive execution splits hot cells.
+
+    ``shape`` is a hash of the geometry: with layer and id it tells the features that were hit. Lines equal in id, vertices
+    and fields are one feature.
     """
     if layer is not None:
         features = features.where(F.col("layer") == layer)
-        if features.limit(1).isEmpty():
-            raise ValueError("Could not find layer in vector tile")
     fields = list(fields) if fields is not None else ft.attribute_names(features)
     keep = _within_points_box(features.select("layer", "fid", *fields, "geom", *g.BOX), points, tolerance)
     pts = points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py"))
-    is_line = F.col("geom.type").isin(g.LINE, g.MULTILINE)
-    kinds = {r[0] for r in keep.select(is_line).distinct().collect()}  # at most two values
+    kind = F.when(F.col("geom.type").isin(g.LINE, g.MULTILINE), 1).when(F.col("geom.type").isin(g.POLYGON, g.MULTIPOLYGON), 2).otherwise(0)
+    levels = _levels_in_use(keep, kind, tolerance)
+    if not levels and layer is not None and features.limit(1).isEmpty():
+        raise ValueError("Could not find layer in vector tile")
+    keep = keep.withColumn("shape", shape_of("geom"))
     px, py = F.col("_px"), F.col("_py")
-    out = None
-    if kinds != {True}:
-        near = _near_pairs(pts, keep.where(~is_line), tolerance)
+    columns = ["layer", "fid", "shape", *fields]
+    out = []
+    if 0 in levels or not levels:
+        near = _points_in_cells(pts, levels.get(0, [0])).join(_box_cells(keep.where(kind == 0), tolerance), "_cell")
+        near = near.where(px.between(F.col("minx") - tolerance, F.col("maxx") + tolerance) & py.between(F.col("miny") - tolerance, F.col("maxy") + tolerance))
         away = F.when(F.col("geom.type") == g.POINT, g.distance(F.col("minx"), F.col("miny"), px, py)).otherwise(g.geometry_hit("geom", px, py)["distance"])
-        out = near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)).select("pid", "layer", "fid", "distance", *fields)
-    if True in kinds:
-        near = _near_pairs(pts, _line_pieces(keep.where(is_line).withColumn("_shape", F.xxhash64("geom")), [*fields, "_shape"], tolerance), tolerance)
+        out.append(near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)))
+    if 1 in levels:
+        near = _points_in_cells(pts, levels[1]).join(_line_cells(keep.where(kind == 1), columns, tolerance), "_cell").where(py.between(F.col("_lo"), F.col("_hi")))
         away = g.segment_distance(px, py, *[F.col(c) for c in ("_ax", "_ay", "_bx", "_by")])
-        hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance).groupBy("pid", "layer", "fid", "_shape").agg(
-            F.min("distance").alias("distance"), *[F.first(f).alias(f) for f in fields]).drop("_shape")
-        out = hits if out is None else out.unionByName(hits)
-    return out
+        hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance)
+        out.append(hits.groupBy("pid", *columns).agg(F.min("distance").alias("distance")))
+    if 2 in levels and tolerance >= 0:
+        near = _points_in_cells(pts, levels[2]).join(_polygon_cells(keep.where(kind == 2), columns), "_cell")
+        out.append(near.where(F.col("_inside") | F.exists("_open", lambda p: _holds(p, px, py))).withColumn("distance", F.lit(0.0)))
+    rows = [o.select("pid", "layer", "fid", "distance", *fields, "shape") for o in out]
+    return reduce(DataFrame.unionByName, rows) if rows else keep.limit(0).select(F.lit(0).alias("pid"), "layer", "fid", F.lit(0.0).alias("distance"), *fields, "shape")
+
+
+def shape_of(geom):
+    """A hash of a geometry: features of one id and one hash are hit by the same points."""
+    return F.xxhash64(geom)
 
 
 def hits_by_point(hits, per_part=10_000):
@@ -165,8 +304,15 @@ def hits_by_point(hits, per_part=10_000):
 
 
 def hit_features(features, hits):
-    """Features hit at least once, with a dense 0-based ``feature_id`` in scan order."""
-    hit = features.join(hits.select("layer", "fid").distinct(), ["layer", "fid"], "left_semi")
+    """Features hit at least once, with a dense 0-based ``feature_id`` in scan order.
+
+    Features that share layer and id are told apart by their geometry, if the hits have its ``shape``.
+    """
+    own = "shape" in hits.columns
+    keys = ["layer", "fid", *(["_shape"] if own else [])]
+    rows = features.withColumn("_shape", shape_of("geom")) if own else features
+    found = hits.withColumnRenamed("shape", "_shape").select(*keys).distinct()
+    hit = rows.join(found, keys, "left_semi").select(*features.columns)
     order = [c for c in ("layer_ord", "layer", "fid") if c in features.columns]
     return skew.dense_index(hit, order, "feature_id")
 
