@@ -156,13 +156,18 @@ def resize_near(df, width, height, offset_x=0, offset_y=0, offset_width=None, of
 
 
 def _resample_axis(rows, axis, target, size_col, radius, weight, names):
-    """Weighted mean along one axis; every source cell is sent to the targets within reach."""
+    """Weighted mean along one axis; every source cell is sent to the targets within reach.
+
+    When the axis gets shorter the kernel gets wider by the ratio, so that every source cell counts; a cell still reaches
+    no more than about twice the radius of targets.
+    """
     ratio = F.col(size_col) / float(target)
-    reach = F.lit(float(radius))
+    scale = F.greatest(ratio, F.lit(1.0))
+    reach = scale * float(radius)
     lo = F.greatest(F.floor((F.col(axis) - reach + 0.5) / ratio - 0.5), F.lit(0))
     hi = F.least(F.ceil((F.col(axis) + reach + 0.5) / ratio - 0.5), F.lit(target - 1))
     taps = rows.where(lo <= hi).withColumn("_t", F.explode(F.sequence(lo, hi)))
-    d = F.abs((F.col("_t") + 0.5) * ratio - 0.5 - F.col(axis))
+    d = F.abs((F.col("_t") + 0.5) * ratio - 0.5 - F.col(axis)) / scale
     taps = taps.withColumn("_k", weight(d)).where(F.col("_k") != 0)
     other = "y" if axis == "x" else "x"
     agg = taps.groupBy("img_id", other, "_t").agg(
@@ -186,7 +191,7 @@ def _resample(df, width, height, radius, weight):
 
 
 def resize_bilinear(df, width, height):
-    """Weighted mean of the 2 x 2 nearest cells; colours are premultiplied on the way."""
+    """Weighted mean of the 2 x 2 nearest cells, or of all within the ratio when reducing; colours are premultiplied on the way."""
     return _resample(df, width, height, 1, lambda d: F.greatest(F.lit(1.0) - d, F.lit(0.0)))
 
 

@@ -1,5 +1,6 @@
 """Queries on key grids (U) and raster cells (R)."""
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -226,33 +227,78 @@ def _(v):
     return raster.resize_near(v.gray8, 6, 6, 2, 1, 4, 5)
 
 
-@query("r13_resize_bilinear", f"""
-with d as (select img_id, max(x) + 1 as w, max(y) + 1 as h from px group by 1),
-t as (select p.img_id, tx, ty, r, g, b, a, greatest(1 - abs((tx + 0.5e0) * w / 13e0 - 0.5e0 - x), 0) * greatest(1 - abs((ty + 0.5e0) * h / 6e0 - 0.5e0 - y), 0) as k
-  from pm p join d on d.img_id = p.img_id, {targets(13, 6)}),
-s as (select img_id, tx, ty, {', '.join(f'least(greatest(floor(round(sum(k * {c}) / sum(k), 6) + 0.5e0), 0), 255) as {c}' for c in 'rgba')} from t where k > 0 group by 1, 2, 3)
-select img_id, cast(tx as integer) as x, cast(ty as integer) as y, {', '.join(f'cast(case when a = 0 then 0 else least(floor({c} * 255 / case when a = 0 then 1 else a end), 255) end as integer) as {c}' for c in 'rgb')}, cast(a as integer) as a from s""")
+def bilinear_sql(w, h):
+    near = lambda axis, t, full, n: f"greatest(1 - abs(({t} + 0.5e0) * {full} / {n}e0 - 0.5e0 - {axis}) / greatest({full} / {n}e0, 1), 0)"
+    return f"""select '{w}x{h}' as size, img_id, cast(tx as integer) as x, cast(ty as integer) as y,
+  {', '.join(f'cast(case when a = 0 then 0 else least(floor({c} * 255 / case when a = 0 then 1 else a end), 255) end as integer) as {c}' for c in 'rgb')}, cast(a as integer) as a
+from (select img_id, tx, ty, {', '.join(f'least(greatest(floor(round(sum(k * {c}) / sum(k), 6) + 0.5e0), 0), 255) as {c}' for c in 'rgba')}
+  from (select p.img_id, tx, ty, r, g, b, a, {near('x', 'tx', 'w', w)} * {near('y', 'ty', 'h', h)} as k
+    from pm p join (select img_id, max(x) + 1 as w, max(y) + 1 as h from px group by 1) d on d.img_id = p.img_id, {targets(w, h)})
+  where k > 0 group by 1, 2, 3)"""
+
+
+SIZES = ((13, 6), (11, 17), (3, 2))
+
+
+@query("r13_resize_bilinear", " union all ".join(bilinear_sql(w, h) for w, h in SIZES))
 def _(v):
-    return rgba(raster.resize_bilinear(v.px, 13, 6))
+    out = [rgba(raster.resize_bilinear(v.px, w, h)).withColumn("size", F.lit(f"{w}x{h}")) for w, h in SIZES]
+    return reduce(DataFrame.unionByName, out)
+
+
+# Published definitions of the kernels, by the distance t from the middle.
+SINC = "case when {0} = 0 then 1 else sin(pi() * {0}) / (pi() * {0}) end"
+SERIES = "list_sum(list_transform(range({n}), lambda k: {term}))"
+HALF_POWER = "pow({x} / 2, 2 * k) / pow(gamma(k + 1e0), 2)"
+I0 = lambda x: SERIES.format(n=30, term=HALF_POWER.format(x=x))
+CUBE = "pow(greatest(t + {0}, 0), 3)"
+
+
+def cubic_sql(b, c):
+    return f"""(case when t < 1 then (12 - 9 * {b} - 6 * {c}) * pow(t, 3) + (12 * {b} + 6 * {c} - 18) * t * t + 6 - 2 * {b}
+  when t < 2 then 8 * {b} + 24 * {c} - (12 * {b} + 48 * {c}) * t + (6 * {b} + 30 * {c}) * t * t - ({b} + 6 * {c}) * pow(t, 3) else 0 end) / 6"""
+
+
+WEIGHTS = {
+    "bicubic": (2, f"({CUBE.format(2)} - 4 * {CUBE.format(1)} + 6 * {CUBE.format(0)} - 4 * {CUBE.format(-1)}) / 6"),
+    "spline16": (2, "case when t < 1 then pow(t, 3) - 9e0 / 5 * t * t - t / 5 + 1 else -pow(t - 1, 3) / 3 + 4e0 / 5 * pow(t - 1, 2) - 7e0 / 15 * (t - 1) end"),
+    "spline36": (3, "case when t < 1 then 13e0 / 11 * pow(t, 3) - 453e0 / 209 * t * t - 3e0 / 209 * t + 1"
+        " when t < 2 then -6e0 / 11 * pow(t - 1, 3) + 270e0 / 209 * pow(t - 1, 2) - 156e0 / 209 * (t - 1)"
+        " else pow(t - 2, 3) / 11 - 45e0 / 209 * pow(t - 2, 2) + 26e0 / 209 * (t - 2) end"),
+    "hanning": (1, "(1 + cos(pi() * t)) / 2"),
+    "hamming": (1, "0.54e0 + 0.46e0 * cos(pi() * t)"),
+    "hermite": (1, "2 * pow(t, 3) - 3 * t * t + 1"),
+    "kaiser": (1, f"{I0('(6.33e0 * sqrt(greatest(1 - t * t, 0)))')} / {I0('6.33e0')}"),
+    "quadric": (1.5, "case when t < 0.5e0 then 0.75e0 - t * t when t < 1.5e0 then pow(t - 1.5e0, 2) / 2 else 0 end"),
+    "catrom": (2, cubic_sql("0e0", "0.5e0")),
+    "gaussian": (2, "exp(-2 * t * t) * sqrt(2 / pi())"),
+    "mitchell": (2, cubic_sql("(1e0 / 3)", "(1e0 / 3)")),
+    "bessel": (3.2383, f"case when t = 0 then pi() / 4 else {SERIES.format(n=30, term='pow(-1e0, k) * pow(pi() * t / 2, 2 * k + 1) / (gamma(k + 1e0) * gamma(k + 2e0))')} / (2 * t) end"),
+    "sinc": (4, SINC.format("t")),
+    "lanczos": (4, f"({SINC.format('t')}) * ({SINC.format('(t / 4)')})"),
+    "blackman": (4, f"({SINC.format('t')}) * (0.42e0 + 0.5e0 * cos(pi() * t / 4) + 0.08e0 * cos(pi() * t / 2))"),
+}
 
 
-def kernel_sql(method):
-    table = "[" + ",".join(f"{w!r}::double" for w in raster.kernel_table(method)) + "]"
-    weight = lambda axis, t, n: f"coalesce({table}[cast(floor(abs(({t} + 0.5e0) * (8 / {n}e0) - 0.5e0 - {axis}) * 256) as integer) + 1], 0)"
-    return f"""select '{method}' as method, img_id, cast(tx as integer) as x, cast(ty as integer) as y, round(v, 5) as v from (
-  select img_id, tx, ty, sum(ky * v) / sum(ky) as v from (
-    select img_id, tx, ty, y, v, {weight('y', 'ty', 5)} as ky from (
-      select img_id, tx, y, sum(kx * v) / sum(kx) as v from (select img_id, y, tx, v, {weight('x', 'tx', 12)} as kx from gy, (select unnest(range(12)) as tx)) where kx <> 0 group by 1, 2, 3),
-    (select unnest(range(5)) as ty)) where ky <> 0 group by 1, 2, 3)"""
+def kernel_sql(method, w, h):
+    """Weights at steps of 1/256 and six digits, along x and then along y."""
+    radius, weight = WEIGHTS[method]
+    table = f"(select i, round({weight}, 6) as k from (select i, i / 256e0 as t from (select unnest(range({math.ceil(radius * 256)})) as i)))"
+    step = lambda axis, t, n: f"cast(floor(abs(({t} + 0.5e0) * (8 / {n}e0) - 0.5e0 - {axis}) / greatest(8 / {n}e0, 1) * 256) as integer)"
+    return f"""select '{method}' as method, '{w}x{h}' as size, img_id, cast(tx as integer) as x, cast(ty as integer) as y, round(sum(k * v) / sum(k), 5) as v
+from (select img_id, tx, y, sum(k * v) / sum(k) as v from gy, (select unnest(range({w})) as tx), {table} where i = {step('x', 'tx', w)} and k <> 0 group by 1, 2, 3),
+  (select unnest(range({h})) as ty), {table} where i = {step('y', 'ty', h)} and k <> 0 group by img_id, tx, ty"""
 
 
-SMOOTH = ("bicubic", "spline16", "spline36", "hanning", "hamming", "hermite", "kaiser", "quadric", "catrom", "gaussian", "mitchell")
-WINDOWED = ("bessel", "sinc", "lanczos", "blackman")
+KERNEL_SIZES = ((12, 5), (3, 9))
 
 
-@query("r14_resize_kernel", " union all ".join(kernel_sql(m) for m in SMOOTH + WINDOWED))
+@query("r14_resize_kernel", " union all ".join(kernel_sql(k, w, h) for k in WEIGHTS for w, h in KERNEL_SIZES))
 def _(v):
-    out = [raster.resize_kernel(v.gray, 12, 5, m).select(F.lit(m).alias("method"), "img_id", "x", "y", F.round("v", 5).alias("v")) for m in SMOOTH + WINDOWED]
+    out = [
+        raster.resize_kernel(v.gray, w, h, k).select(F.lit(k).alias("method"), F.lit(f"{w}x{h}").alias("size"), "img_id", "x", "y", F.round("v", 5).alias("v"))
+        for k in WEIGHTS for w, h in KERNEL_SIZES
+    ]
     return reduce(DataFrame.unionByName, out)
 
 
