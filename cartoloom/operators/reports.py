@@ -13,15 +13,16 @@ ORIENTATION = "wrong ring orientation"
 
 
 def segment_table(df, geom="tgeom", keys=("layer", "fid")):
-    """One row per segment with its number inside the ring, and the ring's segment count."""
+    """One row per segment with its number inside the ring, the ring's segment count and the vertex that follows it."""
     rings = df.select(*keys, F.col(geom)["type"].alias("type"), F.posexplode(F.col(geom)["parts"]).alias("part", "_rings"))
     rings = rings.select(*keys, "type", "part", F.posexplode("_rings").alias("ring", "_vs"))
+    followed = g.let(g.segments("_vs"), lambda own: F.transform(own, lambda s, i: F.struct(s["a"].alias("a"), s["b"].alias("b"), F.get(own, (i + 1) % F.size(own))["b"].alias("c"))))
     return rings.select(
         *keys, "type", "part", "ring", F.greatest(F.size("_vs") - 1, F.lit(0)).alias("n"),
-        F.posexplode(g.segments("_vs")).alias("seg", "_s"),
+        F.posexplode(followed).alias("seg", "_s"),
     ).select(
         *keys, "type", "part", "ring", "n", "seg",
-        F.col("_s.a.x").alias("ax"), F.col("_s.a.y").alias("ay"), F.col("_s.b.x").alias("bx"), F.col("_s.b.y").alias("by"),
+        *[F.col(f"_s.{v}.{c}").alias(f"{v}{c}") for v in "abc" for c in "xy"],
     )
 
 
@@ -55,36 +56,97 @@ def _cross(a, b):
     return ((d1 * d2 < 0) & (d3 * d4 < 0)) | ((d1 == 0) & (d2 == 0) & (overlap("ax", "bx") | overlap("ay", "by")))
 
 
-def crossing_pairs(segments, keys=("layer", "fid")):
-    """Segment pairs of one geometry that meet other than as neighbours.
+def _through(a, b):
+    """Two rings cross in a vertex: one passes from one side of the other to its other side.
+
+    Every vertex of a closed ring ends one segment, so pairs of such ends, and an end inside the other segment, are all.
+    """
+    def between(px, py, qx, qy, wx, wy):
+        """Whether direction w lies strictly between p and q, counter-clockwise."""
+        turn, after, before = px * qy - py * qx, px * wy - py * wx, wx * qy - wy * qx
+        straight = (turn == 0) & (px * qx + py * qy < 0) & (after > 0)
+        return ((turn > 0) & (after > 0) & (before > 0)) | ((turn < 0) & ~((after <= 0) & (before <= 0))) & ~_ray(px, py, wx, wy) & ~_ray(qx, qy, wx, wy) | straight
+
+    def crossing(own, p, q):
+        """The corner at the end of ``own`` against the directions to p and q from there."""
+        x, y = own["bx"], own["by"]
+        to = lambda v: (v[0] - x, v[1] - y)
+        u, v = to((own["ax"], own["ay"])), to((own["cx"], own["cy"]))
+        p, q = to(p), to(q)
+        return (between(*p, *q, *u) & between(*q, *p, *v)) | (between(*q, *p, *u) & between(*p, *q, *v))
+
+    def inside(own, other):
+        """The end of ``own`` lies on ``other`` and is none of its ends."""
+        x, y = own["bx"], own["by"]
+        level = _side(other["ax"], other["ay"], other["bx"], other["by"], x, y) == 0
+        held = x.between(F.least(other["ax"], other["bx"]), F.greatest(other["ax"], other["bx"])) & y.between(F.least(other["ay"], other["by"]), F.greatest(other["ay"], other["by"]))
+        return level & held & ((x != other["ax"]) | (y != other["ay"])) & ((x != other["bx"]) | (y != other["by"]))
+
+    at = lambda s, v: (s[f"{v}x"], s[f"{v}y"])
+    both = (a["bx"] == b["bx"]) & (a["by"] == b["by"])
+    return (
+        (both & crossing(a, at(b, "a"), at(b, "c")))
+        | (inside(a, b) & crossing(a, at(b, "a"), at(b, "b")))
+        | (inside(b, a) & crossing(b, at(a, "a"), at(a, "b")))
+    )
+
+
+def _ray(px, py, wx, wy):
+    """Two directions are one."""
+    return (px * wy - py * wx == 0) & (px * wx + py * wy > 0)
 
-    Different rings of a polygon may touch in a point: of them only pairs count
-    that cross inside both segments or share a stretch.
 
-    Segments go to the cells of a grid fitted to their geometry - about as many
-    cells as segments - and only segments of one cell are compared. Adaptive
-    execution splits cells that still hold a large share of the rows.
+def segment_cells(segments, keys=("layer", "fid")):
+    """Segments at the cells that they pass, walked column by column.
+
+    Cells are as wide and as high as the geometry's segments are on average, so a segment passes three of them on
+    average, however long or steep its neighbours are. ``_low.._high`` are the cells of a column, ``_low0.._high0`` those
+    of the column before it, null in the first one.
     """
     keys = list(keys)
     lo = lambda a, b: F.least(F.col(a), F.col(b))
     hi = lambda a, b: F.greatest(F.col(a), F.col(b))
+    spans = {"x": F.sum(F.abs(F.col("ax") - F.col("bx"))), "y": F.sum(F.abs(F.col("ay") - F.col("by")))}
     frame = segments.groupBy(*keys).agg(
-        F.min(lo("ax", "bx")).alias("_x0"), F.max(hi("ax", "bx")).alias("_x1"),
-        F.min(lo("ay", "by")).alias("_y0"), F.max(hi("ay", "by")).alias("_y1"),
-        F.greatest(F.floor(F.sqrt(F.count(F.lit(1)))), F.lit(1)).alias("_k"),
+        *[F.min(lo(f"a{c}", f"b{c}")).alias(f"_{c}0") for c in "xy"], *[F.max(hi(f"a{c}", f"b{c}")).alias(f"_{c}1") for c in "xy"],
+        *[(total / F.count(F.lit(1))).alias(f"_w{c}") for c, total in spans.items()],
     )
     rows = segments.join(frame, keys)
+    width = {c: F.when(F.col(f"_w{c}") > 0, F.col(f"_w{c}")).otherwise(F.lit(1.0)) for c in "xy"}
+    at = lambda c, v: F.floor((v - F.col(f"_{c}0")) / width[c])
+    rows = rows.withColumn("_first", at("x", lo("ax", "bx"))).withColumn("_cx", F.explode(F.sequence(F.col("_first"), at("x", hi("ax", "bx")))))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+
+    def range_in(column):
+        left = F.col("_x0") + column * width["x"]
+        hair = (F.abs(F.col("_x0")) + F.abs(F.col("_x1")) + 1) * 1e-12  # room for the last bits
+        t = [F.least(F.greatest((x - F.col("ax")) / F.when(dx == 0, F.lit(1.0)).otherwise(dx), F.lit(0.0)), F.lit(1.0)) for x in (left - hair, left + width["x"] + hair)]
+        ends = [F.when(dx == 0, y).otherwise(F.col("ay") + dy * k) for y, k in ((F.col("ay"), t[0]), (F.col("by"), t[1]))]
+        room = (F.abs(F.col("_y0")) + F.abs(F.col("_y1")) + 1) * 1e-12
+        return at("y", F.least(*ends) - room), at("y", F.greatest(*ends) + room)
+
+    low, high = range_in(F.col("_cx"))
+    low0, high0 = range_in(F.col("_cx") - 1)
+    before = F.col("_cx") > F.col("_first")
+    rows = rows.withColumns({"_low": low, "_high": high, "_low0": F.when(before, low0), "_high0": F.when(before, high0)})
+    return rows.withColumn("_cy", F.explode(F.sequence("_low", "_high")))
+
 
-    def cell(v, v0, v1):
-        width = F.col(v1) - F.col(v0)
-        at = F.floor((v - F.col(v0)) / F.when(width > 0, width).otherwise(F.lit(1.0)) * F.col("_k"))
-        return F.least(at, F.col("_k") - 1)
+def crossing_pairs(segments, keys=("layer", "fid")):
+    """Segment pairs of one geometry that meet other than as neighbours.
 
-    rows = rows.withColumn("_cx", F.explode(F.sequence(cell(lo("ax", "bx"), "_x0", "_x1"), cell(hi("ax", "bx"), "_x0", "_x1")))) \
-        .withColumn("_cy", F.explode(F.sequence(cell(lo("ay", "by"), "_y0", "_y1"), cell(hi("ay", "by"), "_y0", "_y1"))))
-    rows = rows.withColumn("s", F.struct("part", "ring", "n", "seg", "type", "ax", "ay", "bx", "by")).select(*keys, "_cx", "_cy", "s")
+    Different rings of a polygon may touch in a point: of them only pairs count that cross inside both segments, share a
+    stretch, or cross in a vertex.
+
+    Only segments of one cell are compared, and a pair in the first cell that both pass. Adaptive execution splits cells
+    that still hold a large share of the rows.
+    """
+    keys = list(keys)
+    rows = segment_cells(segments, keys)
+    rows = rows.withColumn("s", F.struct("part", "ring", "n", "seg", "type", "ax", "ay", "bx", "by", "cx", "cy", "_low", "_low0", "_high0")).select(*keys, "_cx", "_cy", "s")
     left, right = rows.withColumnRenamed("s", "a"), rows.withColumnRenamed("s", "b")
-    pairs = left.join(right, [*keys, "_cx", "_cy"])
+    earlier = F.coalesce((F.col("a._low0") <= F.col("b._high0")) & (F.col("b._low0") <= F.col("a._high0")), F.lit(False))
+    pairs = left.join(right, [*keys, "_cx", "_cy"]).where((F.col("_cy") == F.greatest("a._low", "b._low")) & ~earlier)
     a, b = F.col("a"), F.col("b")
     order = F.struct(a["part"], a["ring"], a["seg"]) < F.struct(b["part"], b["ring"], b["seg"])
     same_ring = (a["part"] == b["part"]) & (a["ring"] == b["ring"])
@@ -97,7 +159,7 @@ def crossing_pairs(segments, keys=("layer", "fid")):
     fold_ends = (_side(b["ax"], b["ay"], b["bx"], b["by"], a["bx"], a["by"]) == 0) & (
         ((b["ax"] - a["ax"]) * (a["bx"] - a["ax"]) + (b["ay"] - a["ay"]) * (a["by"] - a["ay"])) > 0)
     bad = F.when(neighbours, F.when(shared_next, fold_next).otherwise(fold_ends)).when(
-        a["type"].isin(g.POLYGON, g.MULTIPOLYGON) & ~same_ring, _cross(a, b)).otherwise(_meet(a, b))
+        a["type"].isin(g.POLYGON, g.MULTIPOLYGON) & ~same_ring, _cross(a, b) | _through(a, b)).otherwise(_meet(a, b))
     return pairs.where(order & bad)
 
 
