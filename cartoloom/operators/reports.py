@@ -11,6 +11,9 @@ UNCLOSED = "ring is not closed"
 SELF_CROSSING = "self-intersection"
 ORIENTATION = "wrong ring orientation"
 
+#: A geometry of so many segments is one cell; one of n has no more than n / FEW cells on an axis.
+FEW = 8
+
 
 def segment_table(df, geom="tgeom", keys=("layer", "fid")):
     """One row per segment with its number inside the ring, the ring's segment count and the vertex that follows it."""
@@ -99,8 +102,8 @@ def _ray(px, py, wx, wy):
 def segment_cells(segments, keys=("layer", "fid")):
     """Segments at the cells that they pass, walked column by column.
 
-    Cells are as wide and as high as the geometry's segments are on average, so a segment passes three of them on
-    average, however long or steep its neighbours are. ``_low.._high`` are the cells of a column, ``_low0.._high0`` those
+    Cells are at least as wide and as high as the geometry's segments are on average, so a segment passes three of them on
+    average at most, however long or steep its neighbours are. ``_low.._high`` are the cells of a column, ``_low0.._high0`` those
     of the column before it, null in the first one.
     """
     keys = list(keys)
@@ -109,8 +112,10 @@ def segment_cells(segments, keys=("layer", "fid")):
     spans = {"x": F.sum(F.abs(F.col("ax") - F.col("bx"))), "y": F.sum(F.abs(F.col("ay") - F.col("by")))}
     frame = segments.groupBy(*keys).agg(
         *[F.min(lo(f"a{c}", f"b{c}")).alias(f"_{c}0") for c in "xy"], *[F.max(hi(f"a{c}", f"b{c}")).alias(f"_{c}1") for c in "xy"],
-        *[(total / F.count(F.lit(1))).alias(f"_w{c}") for c, total in spans.items()],
+        *[(total / F.count(F.lit(1))).alias(f"_w{c}") for c, total in spans.items()], F.count(F.lit(1)).alias("_n"),
     )
+    # a handful of segments share one cell
+    frame = frame.withColumns({f"_w{c}": F.greatest(f"_w{c}", (F.col(f"_{c}1") - F.col(f"_{c}0")) * 1.000001 * FEW / F.col("_n")) for c in "xy"}).drop("_n")
     rows = segments.join(frame, keys)
     width = {c: F.when(F.col(f"_w{c}") > 0, F.col(f"_w{c}")).otherwise(F.lit(1.0)) for c in "xy"}
     at = lambda c, v: F.floor((v - F.col(f"_{c}0")) / width[c])
