@@ -101,6 +101,15 @@ def let(value, fn) -> Column:
     return F.transform(F.array(value), fn)[0]
 
 
+def runs(items, begins, make) -> Column:
+    """``make(run)`` for every run of an array; ``begins(item, before)`` tells where a run after the first one begins."""
+    def cut(own):
+        places = F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: (i == 0) | begins(F.get(own, i), F.get(own, i - 1)))
+        return let(places, lambda at: F.transform(at, lambda i, k: make(F.slice(own, i + 1, F.coalesce(F.get(at, k + 1), F.size(own)) - i))))
+
+    return let(items, lambda own: F.when(F.size(own) > 0, cut(own)).otherwise(F.transform(own, lambda x: make(F.array(x)))))  # none of none
+
+
 def replace_geometry(df, value, geom="geom"):
     """Set a geometry column and drop the rows whose geometry has no parts left.
 

@@ -75,46 +75,64 @@ def geometry_commands(df, geom="tgeom"):
     return df.withColumn("commands", commands(geom))
 
 
-_STATE = (
-    f"named_struct('left', cast(0 as bigint), 'dx', cast(null as bigint), 'move', false, 'cx', cast(0 as bigint), 'cy', cast(0 as bigint), "
-    f"'rings', cast(array() as array<array<{g.VERTEX_TYPE}>>))"
-)
+_HEADERS = "named_struct('i', 0, 'next', 0, 'seen', 0, 'found', cast(array() as array<struct<cmd:bigint,at:int,count:int,seen:int>>))"
+
+
+def _headers(cmds):
+    """Commands of a stream with the place of their first parameter, their count and the vertices before them.
+
+    Parameters are stepped over; a stream that ends early has no more vertices than it has pairs for.
+    """
+    def step(s, c):
+        cmd = c.bitwiseAND(F.lit(7).cast("bigint"))
+        count = F.when(cmd == CLOSE_PATH, 0).otherwise(F.least(F.shiftright(c, 3).cast("int"), F.floor((F.size(cmds) - s["i"] - 1) / 2).cast("int")))
+        held = F.struct(cmd.alias("cmd"), (s["i"] + 1).alias("at"), count.alias("count"), s["seen"].alias("seen"))
+        here = F.struct((s["i"] + 1).alias("i"), (s["i"] + 1 + 2 * count).alias("next"), (s["seen"] + count).alias("seen"), F.concat(s["found"], F.array(held)).alias("found"))
+        return F.when(s["i"] == s["next"], here).otherwise(F.struct((s["i"] + 1).alias("i"), s["next"].alias("next"), s["seen"].alias("seen"), s["found"].alias("found")))
+
+    return F.aggregate(cmds, F.expr(_HEADERS), step, lambda s: s["found"])
+
+
+def _running_sums(vs):
+    """Vertices from their deltas: sums over 1, 2, 4 ... neighbours, so a vertex is added up in few rounds."""
+    def double(own, k):
+        reach = F.pow(F.lit(2), k).cast("int")
+
+        def add(v, i):
+            before = F.get(own, i - reach)
+            return F.struct((v["x"] + F.coalesce(before["x"], F.lit(0))).alias("x"), (v["y"] + F.coalesce(before["y"], F.lit(0))).alias("y"))
+
+        return F.transform(own, add)
+
+    rounds = F.when(F.size(vs) > 1, F.sequence(F.lit(0), F.ceil(F.log2(F.size(vs))).cast("int") - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.aggregate(rounds, vs, double)
 
 
 def decode_commands(cmds, gtype):
-    """Geometry struct from a command array."""
-    big = lambda v: F.lit(v).cast("bigint")
+    """Geometry struct from a command array; the work grows with its length, not with its square."""
+    def rings_of(heads):
+        def deltas(h):
+            at = F.when(h["count"] > 0, F.sequence(F.lit(0), h["count"] - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+            pair = lambda k: F.struct(_unzigzag(F.get(cmds, h["at"] + 2 * k)).alias("x"), _unzigzag(F.get(cmds, h["at"] + 2 * k + 1)).alias("y"))
+            return F.transform(at, pair)
 
-    def state(left, dx, move, cx, cy, rings):
-        return F.struct(left.alias("left"), dx.alias("dx"), move.alias("move"), cx.alias("cx"), cy.alias("cy"), rings.alias("rings"))
+        starts = F.flatten(F.transform(F.filter(heads, lambda h: (h["cmd"] == MOVE_TO) & (h["count"] > 0)), lambda h: F.sequence(h["seen"], h["seen"] + h["count"] - 1)))
+        closes = F.transform(F.filter(heads, lambda h: h["cmd"] == CLOSE_PATH), lambda h: h["seen"])
+        vs = F.transform(_running_sums(F.flatten(F.transform(heads, deltas))), lambda v: g.vertex(v["x"], v["y"]))
 
-    def on_last(rings, extra):
-        last = F.concat(F.try_element_at(rings, F.lit(-1)), extra)
-        return F.concat(F.slice(rings, 1, F.greatest(F.size(rings) - 1, F.lit(0))), F.array(last))
+        def ring(own, at, ended):
+            def one(i, k):
+                end = F.coalesce(F.get(at, k + 1), F.size(own))
+                body = F.slice(own, i + 1, end - i)
+                return F.when(F.array_contains(ended, end), F.concat(body, F.slice(body, 1, 1))).otherwise(body)
 
-    def step(s, c):
-        cmd, count = c.bitwiseAND(big(7)), F.shiftright(c, 3)
-        null = F.lit(None).cast("bigint")
-        closed = state(big(0), null, F.lit(False), s["cx"], s["cy"], on_last(s["rings"], F.slice(F.try_element_at(s["rings"], F.lit(-1)), 1, 1)))
-        opened = state(count, null, cmd == MOVE_TO, s["cx"], s["cy"], s["rings"])
-        half = state(s["left"], _unzigzag(c), s["move"], s["cx"], s["cy"], s["rings"])
-        x, y = s["cx"] + s["dx"], s["cy"] + _unzigzag(c)
-        here = F.array(g.vertex(x, y))
-        placed = state(s["left"] - 1, null, s["move"], x, y, F.when(s["move"], F.concat(s["rings"], F.array(here))).otherwise(on_last(s["rings"], here)))
-        return (
-            F.when((s["left"] == 0) & (cmd == CLOSE_PATH), closed).when(s["left"] == 0, opened)
-            .when(s["dx"].isNull(), half).otherwise(placed)
-        )
-
-    rings = F.aggregate(cmds, F.expr(_STATE), step, lambda s: s["rings"])
-    one_each = F.transform(rings, lambda r: F.array(r))
+            return F.transform(at, one)
 
-    def gather(polys, r):
-        last = F.concat(F.try_element_at(polys, F.lit(-1)), F.array(r))
-        grown = F.concat(F.slice(polys, 1, F.greatest(F.size(polys) - 1, F.lit(0))), F.array(last))
-        return F.when((F.size(polys) == 0) | (g.ring_area(r) > 0), F.concat(polys, F.array(F.array(r)))).otherwise(grown)
+        return g.let(vs, lambda own: g.let(starts, lambda at: g.let(F.array_distinct(closes), lambda ended: ring(own, at, ended))))
 
-    polys = F.aggregate(rings, F.expr(f"cast(array() as {g.PARTS_TYPE})"), gather)
+    rings = g.let(_headers(cmds), rings_of)
+    one_each = F.transform(rings, lambda r: F.array(r))
+    polys = g.runs(rings, lambda r, before: g.ring_area(r) > 0, lambda run: run)
     pick = lambda parts, one, many: g.let(parts, lambda p: g.geometry(F.when(F.size(p) == 1, one).otherwise(many), p))
     return (
         F.when(gtype == 1, pick(one_each, g.POINT, g.MULTIPOINT)).when(gtype == 2, pick(one_each, g.LINE, g.MULTILINE))

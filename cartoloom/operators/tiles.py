@@ -140,16 +140,8 @@ def _clip_segment(s, box):
 def clip_line(vs, box):
     """Pieces of a line inside the box, as an array of vertex arrays."""
     kept = F.filter(F.transform(g.segments(vs), lambda s: _clip_segment(s, box)), lambda s: s["keep"])
-    empty = F.expr(f"cast(array() as array<array<{g.VERTEX_TYPE}>>)")
-
-    def grow(lines, s):
-        last = F.try_element_at(lines, F.lit(-1))
-        tip = F.try_element_at(last, F.lit(-1))
-        joined = F.concat(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), F.array(F.concat(last, F.array(s["b"]))))
-        continues = (F.size(lines) > 0) & ~s["enters"] & (tip["x"] == s["a"]["x"]) & (tip["y"] == s["a"]["y"])
-        return F.when(F.coalesce(continues, F.lit(False)), joined).otherwise(F.concat(lines, F.array(F.array(s["a"], s["b"]))))
-
-    return F.aggregate(kept, empty, grow)
+    begins = lambda s, before: F.coalesce(s["enters"] | (before["b"]["x"] != s["a"]["x"]) | (before["b"]["y"] != s["a"]["y"]), F.lit(True))
+    return g.runs(kept, begins, lambda run: F.concat(F.array(run[0]["a"]), F.transform(run, lambda s: s["b"])))
 
 
 def clip_ring(ring, box):
