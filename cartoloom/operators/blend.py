@@ -1,6 +1,6 @@
 """Compositing, blending and colour conversion."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import skew
@@ -320,27 +320,94 @@ def blend_stack(layers, width, height, matte=0, block=256, skip_covered=False):
 # --- palettes -------------------------------------------------------------------------------------
 
 MAX_PALETTE = 256
+CUBE_BITS = 3  # leading bits of a channel that choose a cell of the colour cube
+
+
+def _palette_cube(spark, entries):
+    """Cells of the colour cube with the entries that can be nearest to one of their colours.
+
+    An entry can be nearest if its distance to the cell's closest corner is not above the smallest distance that any entry
+    has to the cell's farthest one. The cube has 4,096 cells, whatever the images and the palette are.
+    """
+    width = 256 >> CUBE_BITS
+    cells = spark.range(1 << (4 * CUBE_BITS)).withColumnRenamed("id", "_cell")
+    low = [F.shiftright("_cell", CUBE_BITS * k).bitwiseAND(F.lit((1 << CUBE_BITS) - 1).cast("bigint")) * width for k in range(4)]
+    cells = cells.select("_cell", F.array(*low).alias("_low"))
+
+    def reach(p):
+        near = far = F.lit(0).cast("bigint")
+        for k, c in enumerate(RGBA):
+            below, above = F.col("_low")[k] - p[c], p[c] - F.col("_low")[k] - (width - 1)
+            closest, farthest = F.greatest(below, above, F.lit(0).cast("bigint")), F.greatest(F.abs(below), F.abs(above))
+            near, far = near + closest * closest, far + farthest * farthest
+        return F.struct(near.alias("near"), far.alias("far"), p.alias("p"))
+
+    spread = cells.select("_cell", F.transform(entries, reach).alias("_e"))
+    bound = F.array_min(F.transform("_e", lambda e: e["far"]))
+    return spread.select("_cell", "_e", bound.alias("_bound")).select(
+        "_cell", F.transform(F.filter("_e", lambda e: e["near"] <= F.col("_bound")), lambda e: e["p"]).alias("_candidates"))
 
 
 def palette_map(df, palette):
-    """Nearest palette colour per cell; a palette is a list of at most 256 ``(r, g, b, a)``."""
+    """Nearest palette colour per cell; a palette is a list of at most 256 ``(r, g, b, a)``, a tie goes to its first entry.
+
+    Channels are bytes. A colour is compared only with the entries that its cell of a colour cube holds; the cube is of a
+    fixed size and broadcast, so images are not shuffled. A colour with a null channel has no entry.
+    """
     palette = [tuple(p) for p in palette]
     if not 1 <= len(palette) <= MAX_PALETTE:
         raise ValueError("a palette has 1 to 256 colours")
     entries = F.array(*[F.struct(*[F.lit(int(v)).alias(c) for c, v in zip(RGBA, p)], F.lit(i).alias("i")) for i, p in enumerate(palette)])
-    ranked = F.transform(entries, lambda p: F.struct(
-        sum(((F.col(c) - p[c]) * (F.col(c) - p[c]) for c in RGBA[1:]), (F.col("r") - p["r"]) * (F.col("r") - p["r"])).alias("d"), p.alias("p"), p["i"].alias("i"),
-    ))
-    best = F.array_min(F.transform(ranked, lambda q: F.struct(q["d"], q["i"], q["p"])))
-    return df.withColumn("_best", best).select("img_id", "x", "y", F.col("_best")["i"].alias("palette_index"), *[F.col("_best")["p"][c].alias(c) for c in RGBA])
+    cell = F.lit(0).cast("bigint")
+    for k, c in enumerate(RGBA):
+        cell = cell + F.shiftleft(F.shiftright(F.col(c).cast("bigint"), 8 - CUBE_BITS), CUBE_BITS * k)
+
+    def ranked(p):
+        d = F.lit(0)
+        for c in RGBA:
+            d = d + (F.col(c) - p[c]) * (F.col(c) - p[c])
+        return F.struct(d.alias("d"), p["i"].alias("i"), p.alias("p"))
 
+    cube = F.broadcast(_palette_cube(df.sparkSession, entries))
+    best = df.withColumn("_cell", cell).join(cube, "_cell", "left").withColumn("_best", F.array_min(F.transform("_candidates", ranked)))
+    return best.select("img_id", "x", "y", F.col("_best")["i"].alias("palette_index"), *[F.col("_best")["p"][c].alias(c) for c in RGBA])
 
-def palette_of(df, n, bits=5):
-    """The ``n`` most frequent colours per image set: cells fall into buckets of equal leading bits,
-    a bucket's colour is its mean."""
+
+def palette_of(df, n):
+    """At most ``n`` colours that stand for all cells: an octree over red, green and blue, merged from its leaves up.
+
+    A node of depth ``d`` holds the colours of equal ``d`` leading bits. The deepest level of at most ``n`` nodes is found
+    first; its nodes are then split into their children, the fullest ones first, for as long as ``n`` colours last. A
+    colour is the mean of its cells and ``cells`` their number. Of the images, only distinct colours are kept; eight
+    numbers come to the driver, and what is ranked are the at most ``n`` nodes of one level. Cells with a null channel
+    don't count; no cells give no rows.
+    """
     if not 2 <= n <= MAX_PALETTE:
         raise ValueError("max_colors must be between 2 and 256")
-    shift = 8 - bits
-    bucket = [F.shiftright(c, shift).alias(f"_{c}") for c in RGBA[:3]]
-    counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("cells"), *[byte(F.avg(c)).alias(c) for c in RGBA])
-    return counts.orderBy(F.desc("cells"), "_r", "_g", "_b").limit(n).select(*RGBA, "cells")
+    sums = [f"_s{c}" for c in RGBA]
+    used = df.where(" and ".join(f"{c} is not null" for c in RGBA))
+    colours = skew.checkpoint(used.groupBy("r", "g", "b").agg(
+        F.count(F.lit(1)).alias("cells"), *[F.sum(F.col(c).cast("bigint")).alias(s) for c, s in zip(RGBA, sums)]))
+
+    def node(depth):
+        return [F.shiftright(c, 8 - depth) for c in RGBA[:3]]
+
+    sizes = [1, *colours.agg(*[F.count_distinct(*node(d)) for d in range(1, 9)]).first()]  # nodes per level
+    depth = max(d for d, size in enumerate(sizes) if size <= n)
+
+    def level(rows, at, *more):
+        total = [F.sum("cells").alias("cells"), *[F.sum(s).alias(s) for s in sums], *more]
+        return rows.groupBy(*[c.alias(k) for c, k in zip(at, ("_r", "_g", "_b"))]).agg(*total)
+
+    if depth == 8:
+        leaves = colours
+    else:
+        children = level(colours, node(depth + 1))
+        parents = level(children, [F.shiftright(k, 1) for k in ("_r", "_g", "_b")], F.count(F.lit(1)).alias("_kids"))
+        before = Window.orderBy("cells", "_r", "_g", "_b").rowsBetween(Window.unboundedPreceding, -1)  # at most n rows
+        saved = F.coalesce(F.sum(F.col("_kids") - 1).over(before), F.lit(0))
+        parents = parents.withColumn("_whole", saved < sizes[depth + 1] - n)
+        up = [F.shiftright(F.col(f"c.{k}"), 1) == F.col(f"p.{k}") for k in ("_r", "_g", "_b")]
+        split = children.alias("c").join(F.broadcast(parents.where(~F.col("_whole")).alias("p")), up).select("c.cells", *[f"c.{s}" for s in sums])
+        leaves = parents.where("_whole").select("cells", *sums).unionByName(split)
+    return leaves.select(*[byte(F.col(s) / F.col("cells")).alias(c) for c, s in zip(RGBA, sums)], "cells")

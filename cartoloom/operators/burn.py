@@ -75,9 +75,12 @@ def polygon_cells(df, width, height, keep, rule="evenOdd", by_part=False, geom="
     Each edge gives one crossing per cell row it spans; sorted along the row, a
     running sum of directions is the winding number of every span. The window
     holds the crossings of one feature in one row. Shells count +1 and holes
-    -1 whichever way they are drawn. ``keep`` must identify a feature.
+    -1 whichever way they are drawn. ``keep`` must identify a feature. A list of
+    rules is tested on the same winding numbers, and each cell names its ``rule``.
     """
-    inside = _inside(rule)
+    rules = [rule] if isinstance(rule, str) else list(rule)
+    inside = F.array_compact(F.array(*[F.when(_inside(r), F.lit(r)) for r in rules]))
+    keep = list(keep)
     polys = df.where(F.col(geom)["type"].isin(g.POLYGON, g.MULTIPOLYGON))
     rings = polys.select(*keep, F.posexplode(F.col(geom)["parts"]).alias("part", "_rings")).select(
         *keep, "part", F.posexplode("_rings").alias("_ring", "_vs"))
@@ -95,7 +98,10 @@ def polygon_cells(df, width, height, keep, rule="evenOdd", by_part=False, geom="
     w = Window.partitionBy(*keep, *(["part"] if by_part else []), "y").orderBy("_x")
     spans = rows.withColumns({
         "_w": F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("_x").over(w),
-    }).where(inside & F.col("_next").isNotNull())
+    }).where(F.col("_next").isNotNull()).withColumn("_rules", inside).where(F.size("_rules") > 0)
+    if not isinstance(rule, str):
+        spans = spans.withColumn("rule", F.explode("_rules"))
+        keep.append("rule")
     c0 = F.greatest(F.ceil(F.col("_x") - 0.5), F.lit(0))
     c1 = F.least(F.ceil(F.col("_next") - 0.5) - 1, F.lit(width - 1))
     return spans.where(c0 <= c1).withColumn("x", F.explode(F.sequence(c0, c1))).select(
@@ -110,7 +116,7 @@ def all_cells(df, width, height, keep, rule="evenOdd", geom="_cells"):
 
 
 def fill_rule_cover(df, width, height, rule, keep=("fid",), geom="_cells"):
-    """Interior of every polygon part by itself."""
+    """Interior of every polygon part by itself (T13); a list of rules is answered in one pass, with a ``rule`` column."""
     return polygon_cells(df, width, height, list(keep), rule, True, geom)
 
 

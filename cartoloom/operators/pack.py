@@ -146,7 +146,8 @@ def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2):
     A layer above ``per_row`` features takes several rows (``part``), each with
     its own dictionaries, so no array grows with the data. ``prop_types`` gives
     the value kind of a key (string, double, bigint, boolean), string otherwise.
-    All windows and groupings after the numbering share one partitioning.
+    All windows and groupings after the numbering share one partitioning, and
+    a geometry travels with one of its feature's attributes only.
     """
     keys = [*TILE, "layer", "part"]
     kinds = F.lit("string")
@@ -155,14 +156,16 @@ def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2):
     # a feature id may repeat inside a layer, so features are told apart by position
     order = ["fid", F.col("props").cast("string"), F.xxhash64("tgeom")]
     rows = skew.group_position(tiles, [*TILE, "layer"], order, "_n").withColumn("part", F.floor(F.col("_n") / per_row))
-    pairs = rows.select(*keys, "layer_ord", "_n", "fid", "gtype", commands("tgeom").alias("geometry"), F.explode_outer("props").alias("_k", "_v"))
+    pairs = rows.select(*keys, "layer_ord", "_n", "fid", "gtype", "tgeom", F.posexplode_outer("props").alias("_at", "_k", "_v"))
+    first = F.coalesce("_at", F.lit(0)) == 0
+    pairs = pairs.select(*keys, "layer_ord", "_n", "fid", "gtype", F.when(first, commands("tgeom")).alias("geometry"), "_k", "_v")
     value = F.when(F.col("_k").isNotNull(), F.struct(kinds.alias("kind"), F.col("_v").alias("text")))
     pairs = pairs.withColumn("_val", value)
     by_key = Window.partitionBy(*keys).orderBy(F.col("_k").asc_nulls_last())
     by_val = Window.partitionBy(*keys).orderBy(F.col("_val").asc_nulls_last())
     pairs = pairs.withColumns({"_ki": F.dense_rank().over(by_key) - 1, "_vi": F.dense_rank().over(by_val) - 1})
     feats = pairs.groupBy(*keys, "_n").agg(
-        F.first("layer_ord").alias("layer_ord"), F.first("fid").alias("id"), F.first("gtype").alias("type"), F.first("geometry").alias("geometry"),
+        F.first("layer_ord").alias("layer_ord"), F.first("fid").alias("id"), F.first("gtype").alias("type"), F.first("geometry", ignorenulls=True).alias("geometry"),
         F.array_compact(F.array_sort(F.collect_list(F.when(F.col("_k").isNotNull(), F.struct("_ki", "_vi"))))).alias("_t"),
         F.collect_set(F.when(F.col("_k").isNotNull(), F.struct("_ki", "_k"))).alias("_ks"),
         F.collect_set(F.when(F.col("_k").isNotNull(), F.struct("_vi", "_val"))).alias("_vs"),

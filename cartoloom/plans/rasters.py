@@ -522,10 +522,29 @@ def _(v):
     return blend.palette_map(v.px, PALETTE)
 
 
-@query("r26_palette_of", f"""
-select {', '.join(f'cast(floor(avg({c}) + 0.5e0) as integer) as {c}' for c in 'rgba')}, count(*) as cells from px group by r // 64, g // 64, b // 64 order by cells desc, r // 64, g // 64, b // 64 limit 16""".replace("order by cells desc, r // 64, g // 64, b // 64", "order by count(*) desc, px.r // 64, px.g // 64, px.b // 64").replace("group by r // 64, g // 64, b // 64", "group by px.r // 64, px.g // 64, px.b // 64"))
+# nodes of all levels of a colour octree; the last level of at most N nodes, its fullest nodes split while N colours last
+OCTREE = """
+with o as (select l, r >> (8 - l) as nr, g >> (8 - l) as ng, b >> (8 - l) as nb, count(*) as cells, sum(px.r) as sr, sum(px.g) as sg, sum(px.b) as sb, sum(px.a) as sa
+  from px, (select unnest(range(9)) as l) group by 1, 2, 3, 4),
+lv as (select l, count(*) as nodes from o group by l),
+cut as (select max(l) as d from lv where nodes <= N),
+par as (select p.*, (select count(*) from o c where c.l = p.l + 1 and c.nr >> 1 = p.nr and c.ng >> 1 = p.ng and c.nb >> 1 = p.nb) as kids from o p, cut where p.l = cut.d),
+ranked as (select *, coalesce(sum(kids - 1) over (order by cells, nr, ng, nb rows between unbounded preceding and 1 preceding), 0) as saved from par),
+whole as (select *, l = 8 or saved < (select nodes from lv, cut where lv.l = cut.d + 1) - N as w from ranked),
+leaf as (select cells, sr, sg, sb, sa from whole where w union all
+  select c.cells, c.sr, c.sg, c.sb, c.sa from o c join whole p on c.l = p.l + 1 and c.nr >> 1 = p.nr and c.ng >> 1 = p.ng and c.nb >> 1 = p.nb where not p.w)
+"""
+MEANS = ", ".join(f"cast(floor(s{c}::double / cells + 0.5e0) as integer) as {c}" for c in "rgba")
+
+
+@query("r26_palette_of", OCTREE.replace("N", "16") + f"select {MEANS}, cells from leaf")
+def _(v):
+    return blend.palette_of(v.px, 16)
+
+
+@query("r26_palette_of_200", OCTREE.replace("N", "200") + f"select {MEANS}, cells from leaf")
 def _(v):
-    return blend.palette_of(v.px, 16, bits=2)
+    return blend.palette_of(v.px, 200)
 
 
 @query("r27_pack_rgba", """

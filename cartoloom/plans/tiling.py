@@ -170,8 +170,7 @@ select rule, fid, count(*) as cells, cast(sum(y * 24 + x) as bigint) as checksum
 where case rule when 'evenOdd' then w % 2 <> 0 when 'nonZero' then w <> 0 when 'positive' then w > 0 else w < 0 end group by 1, 2""")
 def _(v):
     rows = burn.to_cells(v.pg_polys, COVER_VIEW)
-    out = [burn.fill_rule_cover(rows, 24, 12, r).withColumn("rule", F.lit(r)) for r in burn.FILL_RULES]
-    return reduce(DataFrame.unionByName, out).groupBy("rule", "fid").agg(F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 24 + F.col("x")).alias("checksum"))
+    return burn.fill_rule_cover(rows, 24, 12, burn.FILL_RULES).groupBy("rule", "fid").agg(F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 24 + F.col("x")).alias("checksum"))
 
 
 def grown_regions(v):
