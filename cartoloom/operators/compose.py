@@ -1,8 +1,12 @@
 """Inspecting, merging and combining tiles."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
+from ..functions import mercator as m
 from ..functions import skew
 from . import export, raster, tiles as tl
 from .tiles import BUFFER, SIZE, TILE
@@ -122,21 +126,37 @@ def tile_errors(layers):
 
 
 def layer_headers(tiles, version=2):
-    """Layer headers of a tile-feature table, in layer order."""
-    per_layer = tiles.groupBy(*LAYER).agg(F.min("layer_ord").alias("pos"), F.count(F.lit(1)).alias("features"))
-    return per_layer.select(*LAYER, "pos", F.lit(version).alias("version"), "features")
+    """Layer headers of a tile-feature table or of packed tiles, in layer order.
+
+    A table without a ``version`` column is of ``version``; a null version is 1, as a layer that doesn't say has it.
+    """
+    features = F.sum(F.size("features")) if "features" in tiles.columns else F.count(F.lit(1))
+    held = F.min(F.coalesce("version", F.lit(1))) if "version" in tiles.columns else F.lit(version)
+    per_layer = tiles.groupBy(*LAYER).agg(F.min("layer_ord").alias("pos"), features.alias("features"), held.alias("version"))
+    return per_layer.select(*LAYER, "pos", "version", "features")
+
+
+def upgrade_tiles(tiles):
+    """Layers of version 1 (or of none) become version 2; layers without features go."""
+    if "features" in tiles.columns:
+        tiles = tiles.where(F.size("features") > 0)
+    if "version" in tiles.columns:
+        old = F.coalesce("version", F.lit(1)) == 1
+        tiles = tiles.withColumn("version", F.when(old, 2).otherwise(F.col("version")).cast("int"))
+    return tiles
 
 
 def merge_tiles(a, b, validate=False, upgrade=False, b_headers=None):
-    """Append b's layers whose names a does not have.
+    """Append b's layers whose names a does not have; both are tile-feature tables or both packed tiles.
 
-    ``b_headers`` are b's layer headers. ``validate`` raises on a layer error;
-    ``upgrade`` drops layers without features, which hold no rows here anyway.
+    ``validate`` raises on an error of b's layers, whose headers may be given as ``b_headers``. ``upgrade`` brings b to
+    version 2 first, which drops its layers without features; a's layers stay as they are.
     """
+    if upgrade:
+        b = upgrade_tiles(b)
+        b_headers = None if b_headers is None else upgrade_tiles(b_headers.where(F.col("features") > 0).withColumnRenamed("features", "_n")).withColumnRenamed("_n", "features")
     if validate:
         headers = layer_headers(b) if b_headers is None else b_headers
-        if upgrade:
-            headers = headers.where(F.col("features") > 0)
         bad = tile_errors(headers).select("error").limit(1).collect()
         if bad:
             raise ValueError(bad[0]["error"])
@@ -171,18 +191,46 @@ def _move(df, factor, dx, dy, geom="tgeom"):
     return df.withColumn(geom, g.map_vertices(geom, lambda x, y: (near(x * factor + dx), near(y * factor + dy))))
 
 
-def _finish(df, size, buffer, area_threshold):
+def _tile_box(df, size, buffer, max_extent):
+    """The box that a tile's features are cut to: the buffered tile, within ``max_extent`` (mercator) put on its grid.
+
+    A maximum extent gives each row its own box in columns; rows of tiles outside it go.
+    """
     box = (-buffer, -buffer, size + buffer, size + buffer)
+    if max_extent is None:
+        return df, box
+    if len(max_extent) != 4:
+        raise ValueError("max_extent value must be an array of [minx,miny,maxx,maxy]")
+    minx, miny, maxx, maxy = (F.lit(float(v)) for v in max_extent)
+    n = m.n_tiles("z")
+    at_x = lambda v: F.floor((m.world_u(v) * n - F.col("x")) * size + 0.5)
+    at_y = lambda v: F.floor((m.world_v(v) * n - F.col("y")) * size + 0.5)
+    low, high = (F.lit(float(v)) for v in (box[0], box[2]))
+    sides = (F.greatest(low, at_x(minx)), F.greatest(low, at_y(maxy)), F.least(high, at_x(maxx)), F.least(high, at_y(miny)))
+    names = [f"_box{i}" for i in range(4)]
+    df = df.withColumns({k: v.cast("double") for k, v in zip(names, sides)})
+    return df.where((F.col(names[0]) <= F.col(names[2])) & (F.col(names[1]) <= F.col(names[3]))), names
+
+
+def _finish(df, size=SIZE, buffer=BUFFER, area_threshold=0.1, max_extent=None, simplify_distance=0.0, process_all_rings=False,
+            scale_factor=1.0, offset_x=0.0, offset_y=0.0):
+    """Scale, cut, simplify and filter features in tile coordinates; all but ``simplify_distance`` work row by row."""
+    if scale_factor <= 0:
+        raise ValueError("scale must be a positive non-zero number")
+    tl.check_tile(size, buffer)
+    columns = df.columns
+    if (scale_factor, offset_x, offset_y) != (1.0, 0.0, 0.0):
+        df = _move(df, scale_factor, offset_x, offset_y)
+    df, box = _tile_box(df, size, buffer, max_extent)
+    if process_all_rings:
+        df = tl.drop_degenerate(df, True)  # before a bad shell could take its holes along
     out = tl.clip_polygons(tl.clip_points_lines(df, box), box)
-    return tl.drop_degenerate(tl.drop_small_polygons(out, area_threshold))
-
+    out = tl.simplify(out, simplify_distance)
+    return tl.drop_degenerate(tl.drop_small_polygons(out, area_threshold), process_all_rings).select(*columns)
 
-def composite_overzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1):
-    """Child tiles from their ancestors: rescale and clip; features outside the buffered child go.
 
-    Row-wise, no shuffle: a feature is copied to the children its envelope
-    meets, found from its tile coordinates.
-    """
+def _to_children(tiles, zoom, size, buffer):
+    """Copies of features in the tiles of a deeper zoom that their envelope meets, found from tile coordinates."""
     factor = F.pow(F.lit(2.0), F.lit(zoom) - F.col("z"))
     b = g.bounds("tgeom")
     pad = buffer / size
@@ -200,43 +248,103 @@ def composite_overzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1
         "x": (F.col("x") * F.col("_k") + F.col("_cx")).cast("int"), "y": (F.col("y") * F.col("_k") + F.col("_cy")).cast("int"),
         "z": F.lit(zoom),
     })
-    return _finish(moved.select(*tiles.columns), size, buffer, area_threshold)
+    return moved.select(*tiles.columns)
 
 
-def composite_underzoom(tiles, zoom, size=SIZE, buffer=BUFFER, area_threshold=0.1):
-    """Mosaic of tiles into their ancestors; a layer name is taken from its first source tile."""
-    k = F.pow(F.lit(2.0), F.col("z") - zoom).cast("bigint")
+def _to_ancestors(tiles, zoom, size):
+    """Features in the coordinates of the tile of a lower zoom that holds their tile."""
+    k = F.pow(F.lit(2.0), F.greatest(F.col("z") - zoom, F.lit(0))).cast("bigint")  # never 0, also where rows are filtered out
     rows = tiles.where(F.col("z") >= zoom).withColumn("_k", k)
     rows = rows.withColumns({"_ax": F.floor(F.col("x") / F.col("_k")), "_ay": F.floor(F.col("y") / F.col("_k"))})
     moved = _move(
         rows, 1 / F.col("_k"),
         (F.col("x") - F.col("_ax") * F.col("_k")) * size / F.col("_k"), (F.col("y") - F.col("_ay") * F.col("_k")) * size / F.col("_k"),
     )
-    moved = moved.withColumn("_src", F.struct("z", "x", "y")).withColumns({
-        "x": F.col("_ax").cast("int"), "y": F.col("_ay").cast("int"), "z": F.lit(zoom),
-    })
-    out = _first_source_wins(moved.select(*tiles.columns, "_src"))
-    return _finish(out, size, buffer, area_threshold)
+    return moved.withColumns({"x": F.col("_ax").cast("int"), "y": F.col("_ay").cast("int"), "z": F.lit(zoom)}).select(*tiles.columns)
+
 
+def _origin(i):
+    return F.struct(F.lit(i).alias("source"), "z", "x", "y")
 
-def composite(target, sources, zoom, reencode=False, **opts):
-    """Bring sources of any zoom to ``zoom`` and append them; equal zooms pass through
-    unless ``reencode`` asks for a rebuild."""
-    moved = []
-    for df, z in sources:
-        if z == zoom:
-            moved.append(reencode_tiles(df, **opts) if reencode else df)
-        elif z < zoom:
-            moved.append(composite_overzoom(df, zoom, **opts))
-        else:
-            moved.append(composite_underzoom(df, zoom, **opts))
-    return composite_same(target, moved)
 
+def composite_overzoom(tiles, zoom, size=SIZE, buffer=BUFFER, **opts):
+    """Child tiles from their ancestors: rescale and clip; features outside the buffered child go. No shuffle."""
+    return _finish(_to_children(tiles, zoom, size, buffer), size, buffer, **opts)
+
+
+def composite_underzoom(tiles, zoom, size=SIZE, buffer=BUFFER, **opts):
+    """Mosaic of tiles into their ancestors; a layer name is taken from its first source tile."""
+    moved = _to_ancestors(tiles.withColumn("_src", _origin(0)), zoom, size)
+    return _finish(_first_source_wins(moved), size, buffer, **opts)
 
-def reencode_tiles(tiles, size=SIZE, buffer=BUFFER, area_threshold=0.1):
+
+def composite(target, sources, zoom, reencode=False, size=SIZE, buffer=BUFFER, **opts):
+    """Bring sources to the tiles of ``zoom`` and append the layers that a tile doesn't have yet.
+
+    A source is a frame of tiles of any zooms, or a pair of it and its only zoom, which saves the other paths. Tiles of
+    ``zoom`` pass through unless ``reencode`` asks for a rebuild; those above and below are rescaled, and rebuilt. A layer
+    of a tile comes from the target, else from the first source and there from the first tile (by zoom, column and row) that
+    leaves a feature of it.
+
+    Options of rebuilt tiles: ``max_extent`` in mercator, ``simplify_distance``, ``area_threshold``, ``process_all_rings``,
+    ``scale_factor``, ``offset_x`` and ``offset_y``.
+    """
+    out, moved = target.withColumn("_src", _origin(0)), []
+    for i, source in enumerate(sources, 1):
+        df, z = source if isinstance(source, tuple) else (source, None)
+        rows = df.withColumn("_src", _origin(i))
+        if z is None or z == zoom:
+            here = rows.where(F.col("z") == zoom)
+            if reencode:
+                moved.append(here)
+            else:
+                out = out.unionByName(here)
+        if z is None or z < zoom:
+            moved.append(_to_children(rows.where(F.col("z") < zoom), zoom, size, buffer))
+        if z is None or z > zoom:
+            moved.append(_to_ancestors(rows.where(F.col("z") > zoom), zoom, size))
+    if moved:
+        rebuilt = _finish(reduce(DataFrame.unionByName, moved), size, buffer, **opts)
+        out = out.unionByName(tl.orient_rings(rebuilt))
+    return _first_source_wins(out)
+
+
+def reencode_tiles(tiles, size=SIZE, buffer=BUFFER, **opts):
     """Rebuild tiles in place: quantize, clip and filter again."""
     again = tl.quantize(tl.dequantize(tiles, size, 3857), size).drop("geom")
-    return tl.orient_rings(_finish(again, size, buffer, area_threshold)).select(*tiles.columns)
+    return tl.orient_rings(_finish(again, size, buffer, **opts)).select(*tiles.columns)
+
+
+def composite_rasters(target, sources, zoom, size, max_extent=None):
+    """Raster layers of any zooms brought to the tiles of ``zoom``, as :func:`composite` does with features.
+
+    Rasters have one row per cell (tile, ``layer``, ``cx``, ``cy`` and values) and ``size`` x ``size`` cells a tile. A cell
+    of a deeper tile shows the cell that holds it; a cell of a lower zoom shows the source cell at its middle. Both follow
+    from whole numbers, so cells move without a join. Cells whose middle is outside ``max_extent`` (mercator) go.
+    """
+    if size <= 0:
+        raise ValueError("Image width and height must be greater than zero")
+    out, columns = target.withColumn("_src", _origin(0)), target.columns
+    for i, df in enumerate(sources, 1):
+        rows = df.withColumn("_src", _origin(i))
+        same = rows.where(F.col("z") == zoom).select(*columns, "_src")
+        k = F.pow(F.lit(2.0), F.abs(F.col("z") - zoom)).cast("bigint")
+        moved = rows.where(F.col("z") != zoom).withColumns({"_k": k, "_gx": F.col("x").cast("bigint") * size + F.col("cx"), "_gy": F.col("y").cast("bigint") * size + F.col("cy")})
+        middle = F.expr("pmod(_gx, _k) = _k div 2 and pmod(_gy, _k) = _k div 2")
+        up = moved.where((F.col("z") > zoom) & middle).withColumns({"_gx": F.expr("_gx div _k"), "_gy": F.expr("_gy div _k")})
+        down = moved.where(F.col("z") < zoom)
+        for axis in ("_gy", "_gx"):
+            down = down.withColumn(axis, F.explode(F.sequence(F.col(axis) * F.col("_k"), (F.col(axis) + 1) * F.col("_k") - 1)))
+        at = {"x": "_gx", "y": "_gy"}
+        moved = up.unionByName(down).withColumns({
+            "z": F.lit(zoom), **{a: F.expr(f"cast({v} div {size} as int)") for a, v in at.items()}, **{f"c{a}": F.expr(f"cast({v} % {size} as int)") for a, v in at.items()}})
+        if max_extent is not None:
+            minx, miny, maxx, maxy = (F.lit(float(v)) for v in max_extent)
+            n = m.n_tiles("z") * size
+            u, w = (F.col("_gx") + 0.5) / n, (F.col("_gy") + 0.5) / n
+            moved = moved.where(u.between(m.world_u(minx), m.world_u(maxx)) & w.between(m.world_v(maxy), m.world_v(miny)))
+        out = out.unionByName(same).unionByName(moved.select(*columns, "_src"))
+    return _first_source_wins(out)
 
 
 def add_raster_layer(raster_tiles, images, placement, name, size, method="near"):

@@ -368,6 +368,19 @@ def _(v):
     return compose.merge_tiles(*halves(v), validate=True).select("x", "y", "layer", "fid")
 
 
+@query("t27_merge_upgrade", """
+with f as (select x, y, layer, layer_ord, count(*) as features from tf group by all)
+select x, y, layer, 2 as version, features from f where layer_ord <= 2
+union all select x, y, layer, 2, features from f t where layer_ord >= 2 and x > 0 and not exists (select 1 from f a where a.layer_ord <= 2 and a.x = t.x and a.y = t.y and a.layer = t.layer)""")
+def _(v):
+    """Packed tiles of versions 1 and 2 and layers without features are merged into others."""
+    a, b = (pack.pack_tiles(df) for df in halves(v))
+    b = b.withColumn("version", F.col("layer_ord") % 2 + 1)
+    void = b.where("part = 0 and layer_ord = 3").withColumns({"layer": F.lit("void"), "version": F.lit(None).cast("int"), "features": F.slice("features", 1, 0)})
+    merged = compose.merge_tiles(a, b.unionByName(void), validate=True, upgrade=True)
+    return merged.groupBy("x", "y", "layer", "version").agg(F.sum(F.size("features")).alias("features"))
+
+
 @query("t28_replace_tiles", "select x, y, layer, fid + 1000000 as fid from tf where layer_ord >= 2 and x > 0 union all select x, y, layer, fid from tf t where layer_ord <= 2 and not exists (select 1 from tf b where b.layer_ord >= 2 and b.x > 0 and b.x = t.x and b.y = t.y)")
 def _(v):
     return compose.replace_tiles(*halves(v)).select("x", "y", "layer", "fid")
@@ -379,6 +392,74 @@ def _(v):
     return compose.composite_same(a, [b, a]).select("x", "y", "layer", "fid")
 
 
+#: Mercator box that cuts through the tiles of zoom 2 off their grid.
+EXTENT = (-12_000_000.0, -9_500_000.0, 14_000_000.0, 11_000_000.0)
+EXTENT_SQL = ", ".join(
+    f"{side}(floor((({v}e0 {sign} 20037508.342789244e0) * {unit} / (2*20037508.342789244e0) * 4 - {axis}) * 4096 + 0.5e0), {limit}) as {name}"
+    for name, side, v, sign, unit, axis, limit in (
+        ("e0", "greatest", EXTENT[0], "+", 1, "x", -128), ("e1", "greatest", EXTENT[3], "-", -1, "y", -128),
+        ("e2", "least", EXTENT[2], "+", 1, "x", 4224), ("e3", "least", EXTENT[1], "-", -1, "y", 4224)))
+
+
+@query("t29_composite_options", f"""
+with box as (select *, {EXTENT_SQL} from (select unnest(range(4)) as x), (select unnest(range(4)) as y)),
+p as (select x, y, layer, fid, floor(tx * 1.5e0 - 700 + 0.5e0) as ax, floor(ty * 1.5e0 + 40 + 0.5e0) as ay from tf),
+q as (select x, y, 'nation' as layer, fid, floor(cx0 * 1.5e0 - 700 + 0.5e0) as ax, floor(cy0 * 1.5e0 + 40 + 0.5e0) as ay, floor(cx1 * 1.5e0 - 700 + 0.5e0) as bx, floor(cy1 * 1.5e0 + 40 + 0.5e0) as "by" from tb where (cx1 - cx0) * (cy1 - cy0) >= 0.1),
+c as (select x, y, layer, fid, greatest(ax, e0) as ax, greatest(ay, e1) as ay, least(bx, e2) as bx, least("by", e3) as "by" from q join box using (x, y))
+select x, y, layer, fid, cast(ax as bigint) as tx0, cast(ay as bigint) as ty0, cast(ax as bigint) as tx1, cast(ay as bigint) as ty1 from p join box using (x, y) where ax between e0 and e2 and ay between e1 and e3
+union all select x, y, layer, fid, cast(ax as bigint), cast(ay as bigint), cast(bx as bigint), cast("by" as bigint) from c where bx > ax and "by" > ay and (bx - ax) * ("by" - ay) >= 90000""")
+def _(v):
+    """Points and boxes of one zoom, rebuilt with a scale, offsets, a maximum extent and an area threshold."""
+    sources = [(v.tiles2, 2), (v.nation_tiles2, 2)]
+    out = compose.composite(v.tiles2.where("false"), sources, 2, reencode=True, max_extent=EXTENT, area_threshold=90_000, process_all_rings=True, scale_factor=1.5, offset_x=-700.0, offset_y=40.0)
+    low, high = F.array_min, F.array_max
+    ends = [f(F.transform(g.vertices("tgeom"), lambda p: p[c])).cast("bigint").alias(f"t{c}{i}") for i, f in enumerate((low, high)) for c in "xy"]  # noqa: B023
+    return out.select("x", "y", "layer", "fid", *ends)
+
+
+def tf_sql(z):
+    """Point features cut into the tiles of a zoom, with the coordinates that the tiles hold."""
+    n = 2**z
+    return f"""(select {z} as z, cast(xs.x as integer) as x, cast(ys.y as integer) as y, event_type as layer, layer_ord, fid,
+  cast(floor((u - xs.x) * 4096 + 0.5e0) as bigint) as tx, cast(floor((v - ys.y) * 4096 + 0.5e0) as bigint) as ty
+from (select *, (mx + 20037508.342789244e0) / (2*20037508.342789244e0) * {n} as u, (20037508.342789244e0 - my) / (2*20037508.342789244e0) * {n} as v from evm) p
+join (select unnest(range({n})) as x) xs on xs.x between floor(u - 0.03125e0) and floor(u + 0.03125e0)
+join (select unnest(range({n})) as y) ys on ys.y between floor(v - 0.03125e0) and floor(v + 0.03125e0))"""
+
+
+@query("t29_composite_mixed_zooms", f"""
+with s as (select 0 as src, z, x, y, z as oz, x as ox, y as oy, layer, fid, tx, ty from {tf_sql(3)} where layer_ord = 0 and x < 4
+union all select 1, z, x, y, z, x, y, layer, fid + 3000000, tx, ty from {tf_sql(3)} where layer_ord = 1 and y < 4
+union all select 1, 3, x * 4 + cx, y * 4 + cy, z, x, y, layer, fid + 1000000, tx * 4 - cx * 4096, ty * 4 - cy * 4096 from {tf_sql(1)}, (select unnest(range(4)) as cx), (select unnest(range(4)) as cy) where layer_ord <= 2 and x = 0
+union all select 2, 3, x // 2, y // 2, z, x, y, layer, fid + 4000000, cast(floor(tx / 2 + (x % 2) * 2048 + 0.5e0) as bigint), cast(floor(ty / 2 + (y % 2) * 2048 + 0.5e0) as bigint) from {tf_sql(4)}),
+c as (select *, min((src, oz, ox, oy)) over (partition by x, y, layer) as win from s where tx between -128 and 4224 and ty between -128 and 4224)
+select z, cast(x as integer) as x, cast(y as integer) as y, layer, fid, tx, ty from c where (src, oz, ox, oy) = win""")
+def _(v):
+    """A target of zoom 3, one source of zooms 1 and 3 and one of zoom 4."""
+    at = lambda z, keep, add: tl.tile_from_features(v.ev_merc, z).where(keep).withColumn("fid", F.col("fid") + add * 1_000_000)
+    target = at(3, "layer_ord = 0 and x < 4", 0)
+    both = at(3, "layer_ord = 1 and y < 4", 3).unionByName(at(1, "layer_ord <= 2 and x = 0", 1))
+    return compose.composite(target, [both, (at(4, "true", 4), 4)], 3).select("z", "x", "y", "layer", "fid", *first_vertex())
+
+
+@query("t29_composite_rasters", """
+with s as (select 5 + img_id % 3 as z, img_id * 7 % 32 as tx, img_id * 13 % 32 as ty, case when img_id % 2 = 0 then 'even' else 'odd' end as layer, x as cx, y as cy, v, img_id from gy),
+g as (select *, img_id % 5 % 2 + 1 as src, tx * 8 + cx as gx, ty * 8 + cy as gy from s),
+m as (select src, z, tx, ty, layer, gx, gy, v, img_id from g where z = 6
+union all select src, z, tx, ty, layer, gx * 2 + i, gy * 2 + j, v, img_id from g, (select unnest(range(2)) as i), (select unnest(range(2)) as j) where z = 5
+union all select src, z, tx, ty, layer, gx // 2, gy // 2, v, img_id from g where z = 7 and gx % 2 = 1 and gy % 2 = 1),
+w as (select *, min((src, z, tx, ty)) over (partition by gx // 8, gy // 8, layer) as win from m)
+select cast(gx // 8 as integer) as x, cast(gy // 8 as integer) as y, layer, cast(gx % 8 as integer) as cx, cast(gy % 8 as integer) as cy, v, img_id from w where (src, z, tx, ty) = win""")
+def _(v):
+    """Images of zooms 5 to 7 in two sources, brought to zoom 6."""
+    i = F.col("img_id")
+    cells = v.gray.select(
+        (i % 3 + 5).cast("int").alias("z"), (i * 7 % 32).cast("int").alias("x"), (i * 13 % 32).cast("int").alias("y"),
+        F.when(i % 2 == 0, "even").otherwise("odd").alias("layer"), F.col("x").alias("cx"), F.col("y").alias("cy"), "v", "img_id")
+    sources = [cells.where(i % 5 % 2 == k) for k in (0, 1)]
+    return compose.composite_rasters(cells.where("false"), sources, 6, 8).select("x", "y", "layer", "cx", "cy", "v", "img_id")
+
+
 @query("t30_composite_overzoom", """
 select 4 as z, cast(x * 4 + cx as integer) as x, cast(y * 4 + cy as integer) as y, layer, fid, tx * 4 - cx * 4096 as tx, ty * 4 - cy * 4096 as ty
 from tf, (select unnest(range(4)) as cx), (select unnest(range(4)) as cy)
