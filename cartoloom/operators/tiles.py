@@ -11,7 +11,7 @@ from ..functions import geom as g
 from ..functions import mercator as m
 from ..functions import skew
 from . import features as ft
-from . import project
+from . import outline, project
 
 SIZE, BUFFER = 4096, 128
 TILE = ("z", "x", "y")
@@ -344,11 +344,14 @@ def scale_geometry(df, scale_factor=1.0, offset_x=0.0, offset_y=0.0, geom="tgeom
 
 
 def tile_from_features(df, z, srs=3857, size=SIZE, buffer=BUFFER, area_threshold=0.1, simplify_distance=0.0,
-                       process_all_rings=False, scale_factor=1.0, offset_x=0.0, offset_y=0.0):
+                       process_all_rings=False, scale_factor=1.0, offset_x=0.0, offset_y=0.0,
+                       multi_polygon_union=False, fill_type=None, cover_cells=256):
     """Cut a feature table into all tiles of a zoom (or of a zoom column) at once.
 
     Everything is per row after the expansion to tiles, so there is no shuffle
-    unless lines are simplified.
+    unless lines are simplified or polygons redrawn: ``multi_polygon_union`` or a
+    ``fill_type`` (a fill rule, positive if none is given) draws them anew around
+    the cells that they cover, ``cover_cells`` on a side of a tile.
     """
     merc = project.reproject(df, srs, 3857)
     names = ft.attribute_names(df)
@@ -362,6 +365,8 @@ def tile_from_features(df, z, srs=3857, size=SIZE, buffer=BUFFER, area_threshold
     box = (-buffer, -buffer, size + buffer, size + buffer)
     if process_all_rings:
         out = drop_degenerate(out, True)  # before a bad shell could take its holes along
+    if multi_polygon_union or fill_type is not None:
+        out = outline.refill_polygons(out, size, buffer, fill_type or "positive", multi_polygon_union, cover_cells)
     out = clip_polygons(clip_points_lines(out, box), box)
     out = simplify(out, simplify_distance)
     out = drop_small_polygons(drop_degenerate(out, process_all_rings), area_threshold)

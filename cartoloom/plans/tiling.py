@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
-from ..operators import burn, compose, pack, reports, tiles as tl
+from ..operators import burn, compose, outline, pack, reports, tiles as tl
 from .registry import query
 from .views import LAYERS
 
@@ -173,6 +173,19 @@ def _(v):
     return burn.fill_rule_cover(rows, 24, 12, burn.FILL_RULES).groupBy("rule", "fid").agg(F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 24 + F.col("x")).alias("checksum"))
 
 
+@query("t15_fill_rule_rings", COVER + """
+select rule, fid, count(*) as cells, cast(sum(y * 24 + x) as bigint) as checksum, cast(count(*) as double) as area from w, (values ('evenOdd'), ('nonZero'), ('positive'), ('negative')) r(rule)
+where case rule when 'evenOdd' then w % 2 <> 0 when 'nonZero' then w <> 0 when 'positive' then w > 0 else w < 0 end group by 1, 2""")
+def _(v):
+    """Rings drawn around the cover of each rule, filled again: the cells and the area of the cover."""
+    cover = burn.fill_rule_cover(burn.to_cells(v.pg_polys, COVER_VIEW), 24, 12, burn.FILL_RULES)
+    rings = outline.cover_rings(cover, ["rule", "fid"])
+    area = rings.select("rule", "fid", (F.aggregate(F.flatten("_cells.parts"), F.lit(0.0), lambda t, r: t + g.ring_area(r))).alias("area"))
+    filled = burn.polygon_cells(rings, 24, 12, ["rule", "fid"], "positive", True).groupBy("rule", "fid").agg(
+        F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 24 + F.col("x")).alias("checksum"))
+    return filled.join(area, ["rule", "fid"])
+
+
 def grown_regions(v):
     """Per region, a multipolygon of its boxes grown by 24.5 degrees, so that they overlap."""
     ring = g.box_ring(F.col("minx") - 24.5, F.col("miny") - 24.5, F.col("maxx") + 24.5, F.col("maxy") + 24.5)
@@ -196,6 +209,23 @@ def _(v):
     return reduce(DataFrame.unionByName, out).select("mode", "fid", "cells")
 
 
+@query("t15_union_rings", """
+with c as (select x, y, -180 + (x + 0.5e0) * 4 as lon, 90 - (y + 0.5e0) * 4 as lat from (select unnest(range(90)) as x), (select unnest(range(45)) as y)),
+h as (select cast(region as bigint) as fid, x, y, np.fid as box, count(*) over (partition by region, x, y) as n from np, c where lon > minx - 24.5e0 and lon < maxx + 24.5e0 and lat > miny - 24.5e0 and lat < maxy + 24.5e0)
+select 'off' as mode, fid, count(*) as cells, cast(sum(y * 90 + x) as bigint) as checksum from h group by 2
+union all select 'positive', fid, count(*), cast(sum(y * 90 + x) as bigint) from (select distinct fid, x, y from h) group by 2
+union all select 'evenOdd', fid, count(*), cast(sum(y * 90 + x) as bigint) from (select distinct fid, x, y from h where n % 2 = 1) group by 2""")
+def _(v):
+    """Rings around overlapping boxes, apart and united, filled again."""
+    rows, out = grown_regions(v), []
+    for mode, rule, union in (("off", "positive", False), ("positive", "positive", True), ("evenOdd", "evenOdd", True)):
+        cover = burn.union_cover(rows, 90, 45, rule, union)
+        cover = cover.withColumn("piece", F.lit(0)) if union else cover.withColumnRenamed("part", "piece")
+        filled = burn.polygon_cells(outline.cover_rings(cover, ["fid", "piece"]), 90, 45, ["fid", "piece"], "positive", True)
+        out.append(filled.groupBy("fid").agg(F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 90 + F.col("x")).alias("checksum")).withColumn("mode", F.lit(mode)))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("t15_tile_from_features", """
 select z, x, y, layer, layer_ord, fid, 1 as gtype, tx, ty, 2 as n_props from tf
 union all select z, x, y, 'nation', 0, fid, 3, cast(cx0 as bigint), cast(cy0 as bigint), 2 from tb where (cx1 - cx0) * (cy1 - cy0) >= 0.1""")
