@@ -89,7 +89,6 @@ def feature_json(fid, geom, properties, digits=12, members=None):
 
 def properties_json(df):
     names = attribute_names(df)
-    names = [n for n in names if n != "members"]
     return F.to_json(F.struct(*names)) if names else F.lit("{}")
 
 
@@ -98,10 +97,15 @@ def to_geojson_table(df, transform=None, digits=12):
     props = properties_json(df)
     fn = m.transformer(*transform) if transform else None
     geom = F.col("geom") if fn is None else g.map_vertices("geom", fn)
-    return df.select("fid", feature_json("fid", geom, props, digits, "members" if "members" in df.columns else None).alias("geojson"))
+    members = F.col("members") if "members" in df.columns else None
+    if fn is not None and members is not None:
+        members = F.transform(members, lambda s: g.map_vertices(s, fn))
+    return df.select("fid", feature_json("fid", geom, props, digits, members).alias("geojson"))
 
 
-FEATURE_SCHEMA = "type string, id bigint, geometry struct<type:string,coordinates:string>, properties map<string,string>"
+GEOMETRY_SCHEMA = "struct<type:string,coordinates:string,geometries:array<string>>"
+FEATURE_SCHEMA = f"type string, id bigint, geometry {GEOMETRY_SCHEMA}, properties map<string,string>"
+MAX_NESTING = 8  # collections within collections that are read
 
 
 def parse_geometry(kind, coords):
@@ -128,16 +132,41 @@ def parse_geometry(kind, coords):
     return F.when(F.isnotnull(parts), g.geometry(tag, parts))
 
 
+def parse_members(texts):
+    """Geometries of a collection's member texts; collections among them are spread out, level by level.
+
+    A member that is no geometry, or that more than ``MAX_NESTING`` collections within this one hold, is null.
+    """
+    parsed = lambda t: F.from_json(t, GEOMETRY_SCHEMA)
+    inner = lambda p, t: F.when((p["type"] == "GeometryCollection") & p["geometries"].isNotNull(), p["geometries"]).otherwise(F.array(t))
+    for _ in range(MAX_NESTING):
+        texts = F.flatten(F.transform(texts, lambda t: g.let(parsed(t), lambda p: inner(p, t))))
+    return F.transform(texts, lambda t: g.let(parsed(t), lambda p: parse_geometry(p["type"], p["coordinates"])))
+
+
+def with_geometry(df, parsed="_f.geometry"):
+    """Columns ``geom`` and ``members`` from a parsed GeoJSON geometry; both null when it does not fit.
+
+    A collection holds its geometries in ``members``, and all their parts as its own, so that its envelope is theirs.
+    """
+    kind = F.col(f"{parsed}.type")
+    is_collection = (kind == "GeometryCollection") & F.col(f"{parsed}.geometries").isNotNull()
+    df = df.withColumn("members", F.when(is_collection, parse_members(F.col(f"{parsed}.geometries"))))
+    fits = is_collection & ~F.exists("members", lambda s: s.isNull())
+    together = g.geometry(g.COLLECTION, F.flatten(F.transform("members", lambda s: s["parts"])))
+    return df.withColumn("geom", F.when(fits, together).otherwise(parse_geometry(kind, F.col(f"{parsed}.coordinates"))))
+
+
 def from_geojson_table(df, column, keep=()):
     """Feature text to rows. Bad text, or a geometry that is no feature, is an error.
 
-    A property that is itself an object or array stays as JSON text.
+    A property that is itself an object or array stays as JSON text. ``members`` holds the geometries of a collection,
+    also of those within it, and is null for other kinds.
     """
-    parsed = df.withColumn("_f", F.from_json(F.col(column), FEATURE_SCHEMA))
-    geom = parse_geometry(F.col("_f.geometry.type"), F.col("_f.geometry.coordinates"))
+    parsed = with_geometry(df.withColumn("_f", F.from_json(F.col(column), FEATURE_SCHEMA)))
     bad = F.raise_error(F.concat(F.lit("Failed to read GeoJSON feature: "), F.coalesce(F.col(column), F.lit("null"))))
-    out = parsed.withColumn("geom", geom).withColumn(
+    out = parsed.withColumn(
         "geom",
         F.when((F.col("_f.type") == "Feature") & F.isnotnull("geom"), F.col("geom")).otherwise(bad.cast(g.GEOM_TYPE)),
     )
-    return g.with_bounds(out.select(*keep, F.col("_f.id").alias("fid"), F.col("_f.properties").alias("props"), "geom"))
+    return g.with_bounds(out.select(*keep, F.col("_f.id").alias("fid"), F.col("_f.properties").alias("props"), "geom", "members"))

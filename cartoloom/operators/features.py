@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from ..functions import geom as g
 
 # Columns of a feature table that are not attributes.
-FRAME = ("layer", "layer_ord", "fid", "geom", *g.BOX)
+FRAME = ("layer", "layer_ord", "fid", "geom", *g.BOX, "members")
 
 
 def attribute_names(df: DataFrame) -> list[str]:

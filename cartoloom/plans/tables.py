@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geom as g
 from ..functions.skew import shared_path
 from ..operators import export, features as ft, grid, project, tiles as tl
 from ..sources import readers, writers
@@ -236,6 +237,24 @@ def _(v):
     return rows.select("fid", F.col("props")["event_type"].alias("event_type"), "geom.type", F.col("minx").alias("x"), F.col("miny").alias("y"))
 
 
+@query("g04_collections", f"""
+with l as (select fid, string_agg({LON} || ' ' || {LAT}, ',' order by seq) as w, string_agg('[' || {LON} || ',' || {LAT} || ']', ',' order by seq) as j,
+  round(min(lon), 6) as minx, round(max(lat), 6) as maxy from ln group by fid),
+p as (select fid, {LON} as lon, {LAT} as lat from ln where seq = 0)
+select fid, 'GEOMETRYCOLLECTION(LINESTRING(' || w || '),POINT(' || lon || ' ' || lat || '))' as wkt, minx, maxy,
+  '{{"type":"Feature","id":' || fid || ',"geometry":{{"type":"GeometryCollection","geometries":[{{"type":"LineString","coordinates":[' || j
+  || ']}},{{"type":"Point","coordinates":[' || lon || ',' || lat || ']}}]}},"properties":{{}}}}' as geojson from l join p using (fid)""")
+def _(v):
+    """Lines and their first points in a collection within a collection, read, and written again."""
+    start = g.geometry(g.POINT, F.array(F.array(F.slice(g.vertices("geom"), 1, 1))))
+    within = lambda *texts: F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.concat_ws(",", *texts), F.lit("]}"))
+    nested = within(export.geojson("geom", digits=6), within(export.geojson(start, digits=6)))
+    texts = v.ln_lines.select(F.concat(F.lit('{"type":"Feature","id":'), F.col("fid").cast("string"), F.lit(',"geometry":'), nested, F.lit(',"properties":{}}')).alias("t"))
+    rows = export.from_geojson_table(texts, "t").drop("props")
+    return rows.select("fid", export.wkt("geom", "members", 6).alias("wkt"), "minx", "maxy",
+                       export.feature_json("fid", "geom", F.lit("{}"), 6, "members").alias("geojson"))
+
+
 @query("g05_forward", "select fid, round(mx, 2) as x, round(my, 2) as y from evm")
 def _(v):
     return project.forward(v.ev).select("fid", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"))

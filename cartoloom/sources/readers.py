@@ -29,17 +29,15 @@ def read_points_csv(spark, path, x="x", y="y", fid=None, layer="csv", schema=Non
     return read_features(reader.csv(path), x, y, fid, layer)
 
 
-COLLECTION_SCHEMA = (
-    "type string, id bigint, geometry struct<type:string,coordinates:string>, properties map<string,string>, "
-    "features array<string>, _bad string"
-)
+COLLECTION_SCHEMA = f"{export.FEATURE_SCHEMA}, features array<string>, _bad string"
 
 
 def read_geojson(spark, path, layer="geojson", multiline=False):
     """FeatureCollection or Feature documents to feature rows.
 
     Bad JSON, any other kind of document and a feature without a geometry are
-    errors, inside a collection or not.
+    errors, inside a collection or not. A geometry collection keeps its
+    geometries in ``members``.
 
     One document per line splits over tasks; ``multiline`` reads each file as
     one document, so large inputs should come as many files or as lines.
@@ -48,11 +46,10 @@ def read_geojson(spark, path, layer="geojson", multiline=False):
     docs = reader.json(path)
     texts = docs.where(F.col("type") == "FeatureCollection").select(F.explode("features").alias("text"))
     rows = export.from_geojson_table(texts, "text")
-    geom = export.parse_geometry(F.col("geometry.type"), F.col("geometry.coordinates"))
     bad = F.raise_error(F.concat(F.lit("Failed to read GeoJSON document of type "), F.coalesce("type", F.lit("null"))))
-    single = docs.where(~F.col("type").eqNullSafe("FeatureCollection")).select(
+    single = export.with_geometry(docs.where(~F.col("type").eqNullSafe("FeatureCollection")), "geometry").select(
         F.col("id").alias("fid"), F.col("properties").alias("props"),
-        F.when((F.col("type") == "Feature") & F.isnotnull(geom), geom).otherwise(bad.cast(g.GEOM_TYPE)).alias("geom"),
+        F.when((F.col("type") == "Feature") & F.isnotnull("geom"), F.col("geom")).otherwise(bad.cast(g.GEOM_TYPE)).alias("geom"), "members",
     )
     rows = rows.unionByName(g.with_bounds(single))
     return rows.select(F.lit(layer).alias("layer"), F.lit(0).alias("layer_ord"), *rows.columns)
