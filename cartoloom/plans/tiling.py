@@ -108,7 +108,7 @@ def _(v):
     return cut.select("x", "y", "fid", g.polygon_area(F.col("tgeom.parts")[0]).alias("area")).where(F.col("area") > 0)
 
 
-@query("t10_simplify", """
+KEPT = """
 with recursive q as (select fid, seq, n, floor((mx + 20037508.342789244e0) / (2*20037508.342789244e0) * 4096 + 0.5e0) as px,
     floor((20037508.342789244e0 - my) / (2*20037508.342789244e0) * 4096 + 0.5e0) as py from lnm),
 c(fid, lo, hi) as (
@@ -121,13 +121,26 @@ c(fid, lo, hi) as (
         from q m, q a, q b, lateral (select case when a.px = b.px and a.py = b.py then 0e0 else
           least(greatest(((m.px - a.px) * (b.px - a.px) + (m.py - a.py) * (b.py - a.py)) / ((b.px - a.px) * (b.px - a.px) + (b.py - a.py) * (b.py - a.py)), 0e0), 1e0) end as t) t
         where m.fid = c.fid and a.fid = c.fid and b.fid = c.fid and a.seq = c.lo and b.seq = c.hi and m.seq > c.lo and m.seq < c.hi)) as mid
-    from c) where mid is not null)
-select fid, seq from (select fid, lo as seq from c union select fid, hi from c union select fid, seq from q where n = 1)""")
+    from c) where mid is not null),
+kept as (select fid, lo as seq from c union select fid, hi from c union select fid, seq from q where n = 1)
+"""
+
+
+@query("t10_simplify", KEPT + "select fid, seq from kept")
 def _(v):
     rows = tl.quantize(tl.assign_tiles(v.ln_merc, 0, buffer=0))
     return tl.simplify_vertices(tl.vertex_table(rows), 400.0).select("fid", F.col("seq").cast("bigint").alias("seq"))
 
 
+@query("t10_simplify_features", KEPT + """
+select fid, count(*) as vertices, string_agg(cast(px as bigint) || ' ' || cast(py as bigint), ',' order by seq) as path from kept join q using (fid, seq) group by fid""")
+def _(v):
+    """Whole features, with the vertices that stay in their order."""
+    out = tl.simplify(tl.quantize(tl.assign_tiles(v.ln_merc, 0, buffer=0)), 400.0)
+    at = lambda p: F.concat(p["x"].cast("bigint").cast("string"), F.lit(" "), p["y"].cast("bigint").cast("string"))
+    return out.select("fid", F.size(g.vertices("tgeom")).alias("vertices"), F.array_join(F.transform(g.vertices("tgeom"), at), ",").alias("path"))
+
+
 RING_AREA = """(select fid, n, abs(sum(ax * ey - ex * ay)) / 2 as area from (
   select fid, n, floor((ax + 180) * 4096 / 360 + 0.5e0) as ax, floor((90 - ay) * 4096 / 180 + 0.5e0) as ay,
     floor((ex + 180) * 4096 / 360 + 0.5e0) as ex, floor((90 - ey) * 4096 / 180 + 0.5e0) as ey from rg) group by fid, n)"""
