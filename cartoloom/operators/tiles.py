@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import geom as g
 from ..functions import mercator as m
 from ..functions import skew
+from . import chains, outline, project
 from . import features as ft
-from . import outline, project
 
 SIZE, BUFFER = 4096, 128
 TILE = ("z", "x", "y")
@@ -231,72 +231,79 @@ def vertex_table(df, geom="tgeom", keys=("fid",)):
     )
 
 
-def simplify_vertices(vertices, distance, keys=("fid",)):
+#: Pieces of so many vertices at most are simplified in one task.
+CHAIN = 200_000
+
+
+def simplify_vertices(vertices, distance, keys=("fid",), chain=CHAIN):
     """Douglas-Peucker on a vertex table: the vertices that stay.
 
-    Each round finds the farthest vertex of every open chain (an aggregate) and
-    splits the chains where it lies beyond the distance. Chains that do not
-    split are finished, so the working table shrinks; each round is written to
-    the checkpoint folder. A chain may hold any number of vertices: adaptive
-    execution splits hot chains in the join that hands out the split vertex.
+    ``keys`` tell features apart, and ``seq`` counts from 0 in each chain. A chain
+    of at most ``chain`` vertices is settled in one task. Of longer ones a round finds the farthest vertex of every piece (an aggregate) and splits
+    the pieces where it lies beyond the distance, until they are short enough;
+    each round is written to the checkpoint folder. Chains that don't split are
+    finished. Adaptive execution splits hot chains in the join that hands out
+    the split vertex.
     """
     path = [*keys, "part", "ring"]
     cols = [*path, "seq", "vx", "vy"]
     if distance <= 0:
         return vertices.select(*cols)
     vs = vertices.select(*cols)
-    first, last = F.struct("seq", "vx", "vy"), F.struct("seq", "vx", "vy")
-    ends = vs.groupBy(*path).agg(F.min(first).alias("lo"), F.max(last).alias("hi"))
-    open_ = skew.checkpoint(vs.join(ends, path))
-    kept = [open_.where((F.col("seq") == F.col("lo.seq")) | (F.col("seq") == F.col("hi.seq"))).select(*cols)]
-    open_ = open_.where((F.col("seq") > F.col("lo.seq")) & (F.col("seq") < F.col("hi.seq")))
-    chain = [*path, "chain"]
-    while True:
+    place = F.struct("seq", "vx", "vy")
+    chains.bound_batches(vs.sparkSession)
+    thin = F.arrow_udf(chains.in_lists(float(distance)), f"array<struct<seq:{vs.schema['seq'].dataType.simpleString()},vx:double,vy:double>>")
+    blocks = vs.groupBy(*path, F.floor(F.col("seq") / chain).alias("block")).agg(F.sort_array(F.collect_list(place)).alias("v"))
+    blocks = skew.checkpoint(blocks)
+    beyond = blocks.where(F.col("block") > 0).select(*path).distinct()
+    long = not beyond.isEmpty()
+    whole = blocks.join(beyond, path, "left_anti") if long else blocks
+    out = whole.select(*path, F.explode(thin("v")).alias("v")).select(*path, "v.*")
+    if not long:
+        return out
+    vs = blocks.join(beyond, path, "left_semi").select(*path, F.explode("v").alias("v")).select(*path, "v.*")
+    open_ = skew.checkpoint(vs.join(vs.groupBy(*path).agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("n")), path))
+    out = out.unionByName(open_.where((F.col("seq") == F.col("lo.seq")) | (F.col("seq") == F.col("hi.seq"))).select(*cols))
+    open_ = open_.where((F.col("seq") > F.col("lo.seq")) & (F.col("seq") < F.col("hi.seq"))).withColumn("chain", F.col("lo.seq"))
+    pieces = [*path, "chain"]
+    short = open_.limit(0)
+    while not open_.isEmpty():
         far = g.segment_distance(F.col("vx"), F.col("vy"), F.col("lo.vx"), F.col("lo.vy"), F.col("hi.vx"), F.col("hi.vy"))
-        open_ = open_.withColumn("chain", F.col("lo.seq"))
         splits = (
-            open_.groupBy(*chain)
+            open_.groupBy(*pieces)
             .agg(F.max(F.struct(far.alias("d"), (-F.col("seq")).alias("neg"), "vx", "vy")).alias("top"))
             .where(F.col("top.d") > distance)
-            .select(*chain, F.struct((-F.col("top.neg")).alias("seq"), F.col("top.vx").alias("vx"), F.col("top.vy").alias("vy")).alias("mid"))
+            .select(*pieces, F.struct((-F.col("top.neg")).alias("seq"), F.col("top.vx").alias("vx"), F.col("top.vy").alias("vy")).alias("mid"))
         )
-        step = skew.checkpoint(open_.join(splits, chain))
-        if step.isEmpty():
-            break
-        kept.append(step.where(F.col("seq") == F.col("mid.seq")).select(*cols))
+        step = skew.checkpoint(open_.join(splits, pieces))
+        out = out.unionByName(step.where(F.col("seq") == F.col("mid.seq")).select(*cols))
         left = F.col("seq") < F.col("mid.seq")
-        open_ = step.where(F.col("seq") != F.col("mid.seq")).withColumns({
+        halves = step.where(F.col("seq") != F.col("mid.seq")).withColumns({
             "lo": F.when(left, F.col("lo")).otherwise(F.col("mid")), "hi": F.when(left, F.col("mid")).otherwise(F.col("hi")),
-        }).drop("mid")
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.unionByName(k)
-    return out
+        }).drop("mid", "n").withColumn("chain", F.col("lo.seq"))
+        halves = skew.checkpoint(halves.join(halves.groupBy(*pieces).agg(F.count(F.lit(1)).alias("n")), pieces))
+        short = short.unionByName(halves.where(F.col("n") <= chain))
+        open_ = halves.where(F.col("n") > chain)
+    inner = F.concat(F.array(F.first("lo")), F.sort_array(F.collect_list(place)), F.array(F.first("hi")))
+    inner = short.groupBy(*pieces).agg(inner.alias("v")).withColumn("v", thin("v"))
+    inner = inner.select(*path, F.explode(F.slice("v", F.lit(2), F.size("v") - 2)).alias("v"))
+    return out.unionByName(inner.select(*path, "v.*"))
 
 
 def simplify(df, distance, geom="tgeom"):
     """Douglas-Peucker in tile units over all features at once; 0 switches it off.
 
-    One feature is one row, so gathering its remaining vertices is bounded.
-    Rows get a number of their own, since ids may repeat.
+    A feature is one row, so its lines and rings are settled where they are,
+    without a shuffle. Rows without a geometry or without vertices stay.
     """
     if distance < 0:
         raise ValueError("simplify distance must be positive or zero")
     if distance == 0:
         return df
-    keys = ["_row"]
-    rest = df.where(F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
-    shapes = skew.checkpoint(df.where(~F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT)).withColumn("_row", F.monotonically_increasing_id()))
-    stay = simplify_vertices(vertex_table(shapes, geom, keys), distance, keys)
-    arr = lambda *c: F.sort_array(F.collect_list(F.struct(*c)))
-    rings = stay.groupBy(*keys, "part", "ring").agg(arr("seq", "vx", "vy").alias("vs"))
-    rings = rings.withColumn("vs", F.transform("vs", lambda v: g.vertex(v["vx"], v["vy"])))
-    parts = rings.groupBy(*keys, "part").agg(arr("ring", "vs").alias("rings"))
-    parts = parts.withColumn("rings", F.transform("rings", lambda r: r["vs"]))
-    whole = parts.groupBy(*keys).agg(arr("part", "rings").alias("parts"))
-    whole = whole.withColumn("_parts", F.transform("parts", lambda p: p["rings"])).drop("parts")
-    joined = shapes.join(whole, keys).withColumn(geom, g.geometry(F.col(geom)["type"], F.col("_parts"))).drop("_parts")
-    return rest.unionByName(joined.select(*rest.columns))
+    points = [g.POINT, g.MULTIPOINT]
+    chains.bound_batches(df.sparkSession)
+    thin = F.arrow_udf(chains.in_column(float(distance), points), g.GEOM_TYPE)
+    return df.withColumn(geom, F.when(F.col(geom)["type"].isin(*points), F.col(geom)).otherwise(thin(geom)))
 
 
 # --- polygon filters ------------------------------------------------------------------------------
