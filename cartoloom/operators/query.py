@@ -69,10 +69,67 @@ def query_prefilter_box(points, tolerance, lon="lon", lat="lat"):
     )
 
 
-def _within_points_box(features, points, tolerance):
-    """Push the points' box to the feature scan; the box is one row of four numbers."""
-    box = query_prefilter_box(points, tolerance).first()
-    return features if box["minx"] is None else ft.extent_filter(features, box)
+#: Query points are told apart in cells of the world of 2 to the power of this a side, so 16,384 rows at most reach the driver.
+PREFILTER_LEVEL = 7
+#: So many boxes at most go into the filter of a feature scan.
+PREFILTER_BOXES = 8
+
+
+def occupied_cells(points, lon="lon", lat="lat", level=PREFILTER_LEVEL):
+    """Cells of the world with query points, and the box of the points in each."""
+    n = 1 << level
+    at = points.select(m.merc_x(lon).alias("_px"), m.merc_y(lat).alias("_py")).where("_px IS NOT NULL AND _py IS NOT NULL AND NOT isnan(_px) AND NOT isnan(_py)")
+    inside = lambda c: F.least(F.greatest(F.floor(c * n), F.lit(0)), F.lit(n - 1))
+    return at.groupBy(inside(m.world_u("_px")).alias("cx"), inside(m.world_v("_py")).alias("cy")).agg(
+        F.min("_px").alias("minx"), F.min("_py").alias("miny"), F.max("_px").alias("maxx"), F.max("_py").alias("maxy"))
+
+
+def prefilter_boxes(boxes, most=PREFILTER_BOXES):
+    """``most`` boxes ``(minx, miny, maxx, maxy)`` at most that hold all given ones: the widest gap is cut first.
+
+    Where that leaves more than half of the area of one box around all, the one box is all there is to gain.
+    """
+
+    def gap(group):
+        """The widest stretch of an axis without a box, and the two sides of it."""
+        best = (0.0, None, None)
+        for axis in (0, 1):
+            ordered = sorted(group, key=lambda b: b[axis])
+            reach = ordered[0][axis + 2]
+            for i, box in enumerate(ordered[1:], 1):
+                if box[axis] - reach > best[0]:
+                    best = (box[axis] - reach, ordered[:i], ordered[i:])
+                reach = max(reach, box[axis + 2])
+        return best
+
+    open_ = [(gap(boxes), boxes)] if boxes else []
+    while open_ and len(open_) < most:
+        at = max(range(len(open_)), key=lambda i: open_[i][0][0])
+        (wide, left, right), _ = open_[at]
+        if wide <= 0:
+            break
+        open_[at : at + 1] = [(gap(left), left), (gap(right), right)]
+    around = lambda group: tuple(f(b[i] for b in group) for i, f in enumerate((min, min, max, max)))
+    area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+    cut = [around(group) for _, group in open_]
+    whole = around(boxes) if boxes else None
+    return [whole] if boxes and 2 * sum(map(area, cut)) > area(whole) else cut
+
+
+def near_points(features, points, tolerance, lon="lon", lat="lat"):
+    """Features whose envelope comes within the tolerance of one of a few boxes that hold all points.
+
+    The boxes are plain comparisons of the envelope columns, so they reach a parquet scan: with features stored in the
+    order of a curve, row groups away from the points are not read. Without points nothing is known and all stay.
+    """
+    boxes = prefilter_boxes([(r["minx"], r["miny"], r["maxx"], r["maxy"]) for r in occupied_cells(points, lon, lat).collect()])
+    if not boxes:
+        return features
+    touched = [
+        (F.col("minx") <= x1 + tolerance) & (F.col("maxx") >= x0 - tolerance) & (F.col("miny") <= y1 + tolerance) & (F.col("maxy") >= y0 - tolerance)
+        for x0, y0, x1, y1 in boxes
+    ]
+    return features.where(reduce(lambda a, b: a | b, touched))
 
 
 #: A long segment is walked in cells of about this share of it; cells are never smaller than four tolerances.
@@ -266,7 +323,7 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     if layer is not None:
         features = features.where(F.col("layer") == layer)
     fields = list(fields) if fields is not None else ft.attribute_names(features)
-    keep = _within_points_box(features.select("layer", "fid", *fields, "geom", *g.BOX), points, tolerance)
+    keep = near_points(features.select("layer", "fid", *fields, "geom", *g.BOX), points, tolerance)
     pts = points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py"))
     kind = F.when(F.col("geom.type").isin(g.LINE, g.MULTILINE), 1).when(F.col("geom.type").isin(g.POLYGON, g.MULTIPOLYGON), 2).otherwise(0)
     levels = _levels_in_use(keep, kind, tolerance)

@@ -145,3 +145,11 @@ select round(min(mx) - {TOLERANCE}, 2) as minx, round(min(my) - {TOLERANCE}, 2)
 def _(v):
     box = q.query_prefilter_box(v.query_points, TOLERANCE)
     return box.select(*[F.round(c, 2).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+
+
+@query("q12_prefilter_cells", """
+select cast(floor((mx + 20037508.342789244e0) / (2*20037508.342789244e0) * 128) as bigint) as cx, cast(floor((20037508.342789244e0 - my) / (2*20037508.342789244e0) * 128) as bigint) as cy,
+  round(min(mx), 2) as minx, round(min(my), 2) as miny, round(max(mx), 2) as maxx, round(max(my), 2) as maxy from qpm group by 1, 2""")
+def _(v):
+    cells = q.occupied_cells(v.query_points)
+    return cells.select("cx", "cy", *[F.round(c, 2).alias(c) for c in ("minx", "miny", "maxx", "maxy")])

@@ -575,3 +575,30 @@ def _(v):
     return reports.validity_report(flat_rings(v)).select("layer", "fid", "message")
 
 
+def flat_multi(v):
+    """Four orders are the parts of one polygon; each part has its own ring, turned and moved aside, as a hole."""
+    rows = flat_rings(v).select((F.col("fid") - F.col("fid") % 4).alias("multi"), "fid", F.col("tgeom.parts")[0][0].alias("ring"))
+    hole = F.transform(F.reverse("ring"), lambda p: g.vertex(p["x"] + 8192, p["y"]))
+    parts = F.sort_array(F.collect_list(F.struct("fid", F.array("ring", hole).alias("rings"))))
+    whole = rows.groupBy("multi").agg(parts.alias("p")).withColumn("tgeom", g.geometry(g.MULTIPOLYGON, F.transform("p", lambda p: p["rings"])))
+    return whole.select(F.lit("multi").alias("layer"), F.col("multi").alias("fid"), "tgeom", *[F.lit(0).alias(c) for c in tl.TILE])
+
+
+@query("t35_validity_report_multi", pairs("rg") + """,
+k as (select fid, fid - fid % 4 as multi, cast(row_number() over (partition by fid - fid % 4 order by fid) - 1 as integer) as piece from (select distinct fid from s)),
+f as (select distinct fid, 'self-intersection' as message from x where bad
+  union all select fid, 'too few points' from (select fid, max(n) as n from ln group by fid) where n < 3
+  union all select fid, 'wrong ring orientation' from s group by fid having sum(ax * ey - ex * ay) < 0),
+o1 as (select fid, any_value(ax) as px, any_value(ay) as py from s where seq = 0 group by fid)
+select 'multi' as layer, multi as fid, piece, message, unit,
+  round(case unit when 'degrees' then px / 4096 * 360 - 180 else (px / 4096 * 2 - 1) * 20037508.342789244e0 end, digits) as x,
+  round(case unit when 'degrees' then degrees(2 * atan(exp((1 - py / 4096 * 2) * pi())) - pi() / 2) else (1 - py / 4096 * 2) * 20037508.342789244e0 end, digits) as y
+from f join k using (fid) join o1 using (fid), (values ('degrees', 3), ('metres', 1)) u(unit, digits)""")
+def _(v):
+    """Parts with holes, each reported by itself, in both projections; x and y are the first position of the text."""
+    out = []
+    for unit, lat_lon, digits in (("degrees", True, 3), ("metres", False, 1)):
+        report = reports.validity_report(flat_multi(v), split_multi=True, lat_lon=lat_lon, web_merc=not lat_lon)
+        place = [F.round(F.get_json_object("geojson", f"$.coordinates[0][0][{i}]").cast("double"), digits).alias(c) for i, c in enumerate("xy")]
+        out.append(report.select("layer", "fid", "piece", "message", F.lit(unit).alias("unit"), *place))
+    return out[0].unionByName(out[1])
