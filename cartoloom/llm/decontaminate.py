@@ -2,9 +2,9 @@
 
 The items go into automata of at most ``block_words`` words each (one for any usual benchmark). Documents stream through
 an automaton: the state is the longest suffix of the words so far that occurs in an item, its length the matching
-length. A matching length of a whole window, or of a whole shorter item, makes its words a hit. Only the automaton of one
-block, whose size is bounded by ``block_words``, is sent to the tasks at a time; a longer benchmark takes one pass over
-the documents per block.
+length. A matching length of a whole window, or of a whole shorter item, makes its words a hit. The size of an automaton is
+bounded by ``block_words`` (an item is not split); those of a longer benchmark follow each other in one stage, so a task holds
+one per block in its Python workers.
 
 Cases: a null or empty text has no words and no hits; an item without words never occurs; repeated items count once per
 ``item_id``; a null ``item_id`` is listed as the empty string; other columns pass through.

@@ -1,18 +1,18 @@
-"""Substring dedup by relative Lempel-Ziv factors of at least ``WINDOW`` words.
+"""Substring dedup by fingerprints of passages of at least ``WINDOW`` words, in place of relative Lempel-Ziv parsing.
 
-A document is factored against the documents of smaller ids. A factor matters only if it holds a whole window of words, so
-the reference is indexed by fingerprints in blocks (hash partitions), and a document meets only the blocks that share
-something with it:
+Nothing is parsed and no longest match is sought: a passage matters only if it holds a whole window of words, so all
+documents are indexed by fingerprints in hash partitions, and a document meets only what shares one with it:
 
 1. Anchors: of every window its least ``GRAM``-word hash (a minimiser). Equal windows have equal anchors, so a window
-   whose anchor lies in no other document is in no factor. About one word in eighteen is an anchor.
-2. Long factors: the words from one anchor up to ``WINDOW - 1`` words beyond the next, as one fingerprint. Where a document
+   whose anchor lies in no other document is in no passage. About one word in eighteen is an anchor.
+2. Long passages: the words from one anchor up to ``WINDOW - 1`` words beyond the next, as one fingerprint. Where a document
    of a smaller id has it, all its windows are settled by that single match.
-3. Factor boundaries: the windows that hold a shared anchor but lie in no long factor are looked up one by one.
+3. Their boundaries: the windows that hold a shared anchor but lie in no long passage are looked up one by one.
 
 Spans are the union of the windows found. The steps count by ``min(doc_id)`` per fingerprint, which is combined before the
 shuffle: a passage that a third of all documents share is a few rows per task, not a group. Documents of one word
-sequence are settled first by its digest. Fingerprints have 64 bits over words of 64-bit hashes.
+sequence are settled first by its digest. Fingerprints have 64 bits over words of 64-bit hashes
+and are not compared word by word afterwards, so chance equality can remove text in very large tables.
 
 Cases: a null, empty or blank text has no words; a document of fewer words than a window loses nothing; rows that share a
 ``doc_id`` don't count against each other; rows without an id neither lose words nor take them from others; other columns
