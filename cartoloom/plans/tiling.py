@@ -366,8 +366,9 @@ def _(v):
 select 'name' as how, x, y, layer, count(*) as features from tf where layer = 'click' group by 2, 3, 4 union all
 select 'index', x, y, layer, n from (select x, y, layer, count(*) as n, row_number() over (partition by x, y order by min(layer_ord)) as k from tf group by 1, 2, 3) where k = 2""")
 def _(v):
-    named = compose.tiles_to_geojson(v.tiles2, "click").select(F.lit("name").alias("how"), "x", "y", "layer", "features")
-    return named.unionByName(compose.tiles_to_geojson(v.tiles2, 1).select(F.lit("index").alias("how"), "x", "y", "layer", "features"))
+    # a layer of many features has several documents
+    count = lambda how, mode: compose.tiles_to_geojson(v.tiles2, mode).groupBy(F.lit(how).alias("how"), "x", "y", "layer").agg(F.sum("features").alias("features"))
+    return count("name", "click").unionByName(count("index", 1))
 
 
 @query("t25_tile_info", """

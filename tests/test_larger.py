@@ -35,3 +35,7 @@ def events(ids, kinds=TYPES):
 def test_points_on_buffered_edges(spark, tmp_path):
     # longitude 5.625 is the right edge of the buffered tile 1/0, and -5.625 the left one of 1/1
     same_as_sql(spark, tmp_path, "t05_pyramid", events=events(at(18_562, 17_437, 1, 35_999)))
+
+
+def test_layers_of_several_documents(spark, tmp_path):
+    same_as_sql(spark, tmp_path, "t24_tiles_to_geojson_index", events=events(range(0, 17 * 36_000 * 21_000, 17 * 36_000), TYPES[:2]))
