@@ -321,8 +321,10 @@ select x, y, layer, part, n_values, features, fid, string_agg((case when k = 'va
 from d join n using (x, y, layer, part) group by 1, 2, 3, 4, 5, 6, 7""")
 def _(v):
     packed = pack.pack_tiles(v.tiles2, prop_types={"value": "double"})
-    rows = packed.select("x", "y", "layer", "part", F.size("values").cast("bigint").alias("n_values"), F.size("features").cast("bigint").alias("features"),
-                         F.array_join("keys", ",").alias("keys"), F.explode("features").alias("f"))
+    # sizes first: a row of a feature that carries its layer's arrays makes the work grow with their square
+    sized = packed.select("x", "y", "layer", "part", F.size("values").cast("bigint").alias("n_values"), F.size("features").cast("bigint").alias("features"),
+                          F.array_join("keys", ",").alias("keys"), F.transform("features", lambda f: F.struct(f["id"].alias("id"), f["tags"].alias("tags"))).alias("_f"))
+    rows = sized.select("x", "y", "layer", "part", "n_values", "features", "keys", F.explode("_f").alias("f"))
     tags = F.array_join(F.transform("f.tags", lambda t: t.cast("string")), ",")
     return rows.select("x", "y", "layer", "part", "n_values", "features", F.col("f.id").alias("fid"), tags.alias("tags"), "keys")
 
