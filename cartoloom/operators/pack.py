@@ -187,17 +187,19 @@ def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2):
 
 def unpack_tiles(packed, decode_geometry=True):
     """Packed rows to tile features; index pairs outside the dictionaries are skipped."""
-    rows = packed.select(*TILE, "layer", "layer_ord", "keys", "values", F.explode("features").alias("f"))
-    tags = F.col("f.tags")
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(tags) / 2).cast("int") - 1),
-        lambda i: F.struct(F.get("keys", F.get(tags, i * 2)).alias("k"), F.get("values", F.get(tags, i * 2 + 1))["text"].alias("v")),
-    )
-    pairs = F.when(F.size(tags) > 1, F.filter(pairs, lambda p: p["k"].isNotNull() & p["v"].isNotNull()))
-    props = F.coalesce(F.map_from_entries(pairs), F.expr("cast(map() as map<string,string>)"))
-    rows = rows.select(
-        *TILE, "layer", "layer_ord", F.col("f.id").alias("fid"), F.col("f.type").alias("gtype"), props.alias("props"), F.col("f.geometry").alias("commands"),
-    )
+    def attributes(tags, words):
+        pairs = F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(tags) / 2).cast("int") - 1),
+            lambda i: F.struct(F.get(words["keys"], F.get(tags, i * 2)).alias("k"), F.get(words["values"], F.get(tags, i * 2 + 1))["text"].alias("v")),
+        )
+        pairs = F.when(F.size(tags) > 1, F.filter(pairs, lambda p: p["k"].isNotNull() & p["v"].isNotNull()))
+        return F.coalesce(F.map_from_entries(pairs), F.expr("cast(map() as map<string,string>)"))
+
+    # looked up before the features are spread, so that no feature's row carries its layer's dictionaries
+    named = lambda f, words: F.struct(f["id"].alias("fid"), f["type"].alias("gtype"), attributes(f["tags"], words).alias("props"), f["geometry"].alias("commands"))
+    whole = g.let(F.struct("keys", "values"), lambda words: F.transform("features", lambda f: named(f, words)))
+    rows = packed.select(*TILE, "layer", "layer_ord", whole.alias("_f")).select(*TILE, "layer", "layer_ord", F.explode("_f").alias("f"))
+    rows = rows.select(*TILE, "layer", "layer_ord", "f.*")
     if not decode_geometry:
         return rows
     return rows.withColumn("tgeom", decode_commands(F.col("commands"), F.col("gtype"))).drop("commands")

@@ -3,6 +3,7 @@
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from test_oracles import rows
 
 from __spark_entry__ import oracle_sql
@@ -39,3 +40,19 @@ def test_points_on_buffered_edges(spark, tmp_path):
 
 def test_layers_of_several_documents(spark, tmp_path):
     same_as_sql(spark, tmp_path, "t24_tiles_to_geojson_index", events=events(range(0, 17 * 36_000 * 21_000, 17 * 36_000), TYPES[:2]))
+
+
+@pytest.mark.parametrize("name", ["t22_pack_tiles", "t23_unpack_tiles"])
+def test_features_are_spread_without_their_layer(spark, name):
+    """No row of a feature carries the arrays of its layer, which made a layer's rows grow with the square of its features."""
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    nodes, seen = [plan], 0
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "Generate" and "[f#" in node.simpleString(10_000):
+            kept = node.requiredChildOutput()
+            seen += 1
+            assert not any("array" in kept.apply(i).dataType().simpleString() for i in range(kept.size()))
+    assert seen
