@@ -3,6 +3,9 @@
 A covered cell gives four directed sides with itself on their right; sides that two cells share cancel. Each side left
 knows the next one by its end, and sides are numbered along their ring by pointer jumping, so rings of any length take
 as many rounds as the logarithm of the longest.
+
+Joins are merges by hint: sides come from arrays, whose lengths no estimate of a size knows, and a broadcast of them went
+through the driver.
 """
 
 from pyspark.sql import Window
@@ -70,7 +73,7 @@ def _ranked(linked, keep):
     reach = 1
     while True:
         lower = F.col("b.ring") < F.col("a.ring")
-        state = skew.checkpoint(state.alias("a").join(state.alias("b"), _same("a", "b", [*((k, k) for k in keep), ("next", "id")])).select(
+        state = skew.checkpoint(state.alias("a").join(state.alias("b").hint("merge"), _same("a", "b", [*((k, k) for k in keep), ("next", "id")])).select(
             *[f"a.{k}" for k in keep], "a.id", "b.next", F.least("a.ring", "b.ring").alias("ring"),
             F.when(lower, F.col("b.steps") + reach).otherwise(F.col("a.steps")).alias("steps"), lower.alias("changed"),
         ))
@@ -87,12 +90,12 @@ def _owners(placed, rings, keep):
     row = Window.partitionBy(*keep, "row").orderBy("sx")
     upright = placed.where(F.col("d").isin(DOWN, UP)).withColumn("row", F.least("sy", "ey")).withColumn("before", F.lag("ring").over(row))
     left = upright.where(F.col("d") == DOWN).groupBy(*keep, "ring").agg(F.min(F.struct("sx", "sy", "before")).alias("at"))
-    holes = skew.checkpoint(left.join(rings.where("area < 0").select(*[F.col(k).alias(f"_{k}") for k in keep], F.col("ring").alias("_ring")),
+    holes = skew.checkpoint(left.join(rings.where("area < 0").select(*[F.col(k).alias(f"_{k}") for k in keep], F.col("ring").alias("_ring")).hint("merge"),
                                       _and([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keep] + [F.col("ring") == F.col("_ring")]), "left_semi")
                             .select(*keep, "ring", F.col("at.before").alias("shell")))
     while True:
         on = _same("a", "b", [*((k, k) for k in keep), ("shell", "ring")])
-        stepped = skew.checkpoint(holes.alias("a").join(holes.alias("b"), on, "left").select(
+        stepped = skew.checkpoint(holes.alias("a").join(holes.alias("b").hint("merge"), on, "left").select(
             *[f"a.{k}" for k in keep], "a.ring", F.coalesce("b.shell", "a.shell").alias("shell"), F.col("b.shell").isNotNull().alias("moved")))
         if stepped.where("moved").isEmpty():
             return holes
@@ -115,7 +118,7 @@ def cover_rings(cells, keep=("fid",), name="_cells"):
     keep = list(keep)
     linked = skew.checkpoint(_linked(_sides(cells.select(*keep, "x", "y").distinct(), keep), keep))
     ranks = _ranked(linked, keep)
-    placed = linked.alias("a").join(ranks.alias("b"), _same("a", "b", [*((k, k) for k in keep), ("id", "id")])).select(
+    placed = linked.alias("a").join(ranks.alias("b").hint("merge"), _same("a", "b", [*((k, k) for k in keep), ("id", "id")])).select(
         *[f"a.{k}" for k in keep], "a.sx", "a.sy", "a.d", "a.ex", "a.ey", "b.ring", "b.steps")
     placed = skew.checkpoint(placed)
     rings = placed.groupBy(*keep, "ring").agg(
@@ -129,7 +132,7 @@ def cover_rings(cells, keep=("fid",), name="_cells"):
 
     rings = skew.checkpoint(rings.select(*keep, "ring", "area", g.let("s", closed).alias("vs")))
     owners = _owners(placed, rings, keep)
-    held = rings.alias("a").join(owners.alias("b"), _same("a", "b", [*((k, k) for k in keep), ("ring", "ring")]), "left").select(
+    held = rings.alias("a").join(owners.alias("b").hint("merge"), _same("a", "b", [*((k, k) for k in keep), ("ring", "ring")]), "left").select(
         *[f"a.{k}" for k in keep], F.coalesce("b.shell", "a.ring").alias("shell"), (F.col("a.area") < 0).alias("hole"), "a.ring", "a.vs")
     parts = held.groupBy(*keep, "shell").agg(F.transform(F.array_sort(F.collect_list(F.struct("hole", "ring", "vs"))), lambda r: r["vs"]).alias("rings"))
     whole = parts.groupBy(*keep).agg(F.transform(F.array_sort(F.collect_list(F.struct("shell", "rings"))), lambda p: p["rings"]).alias("parts"))
@@ -157,5 +160,5 @@ def refill_polygons(df, size, buffer, rule="evenOdd", union=False, cells=256, ge
     if not union:
         redrawn = redrawn.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("part", F.col("_new.parts").alias("parts")))).alias("_p")).select(
             "_row", g.geometry(g.MULTIPOLYGON, F.flatten(F.transform("_p", lambda p: p["parts"]))).alias("_new"))
-    out = shapes.join(redrawn, "_row").withColumn(geom, g.geometry(F.when(F.size("_new.parts") == 1, g.POLYGON).otherwise(g.MULTIPOLYGON), F.col("_new.parts")))
+    out = shapes.join(redrawn.hint("merge"), "_row").withColumn(geom, g.geometry(F.when(F.size("_new.parts") == 1, g.POLYGON).otherwise(g.MULTIPOLYGON), F.col("_new.parts")))
     return df.where(~polygon).unionByName(out.select(*df.columns))

@@ -196,7 +196,7 @@ def _(v):
     area = rings.select("rule", "fid", (F.aggregate(F.flatten("_cells.parts"), F.lit(0.0), lambda t, r: t + g.ring_area(r))).alias("area"))
     filled = burn.polygon_cells(rings, 24, 12, ["rule", "fid"], "positive", True).groupBy("rule", "fid").agg(
         F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 24 + F.col("x")).alias("checksum"))
-    return filled.join(area, ["rule", "fid"])
+    return filled.join(area.hint("merge"), ["rule", "fid"])
 
 
 def grown_regions(v):

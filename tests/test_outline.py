@@ -120,3 +120,19 @@ def test_tiles_with_union_and_fill_rule(spark):
     at2 = tiles.tile_from_features(squares(spark).where("fid = 1"), 2, multi_polygon_union=True, buffer=0)
     total = at2.select(F.aggregate(F.flatten("tgeom.parts"), F.lit(0.0), lambda t, r: t + g.ring_area(r)).alias("a")).agg(F.sum("a")).first()[0]
     assert total == (one + two - both) * 16
+
+
+def test_rings_are_joined_without_a_broadcast(spark, monkeypatch, tmp_path):
+    """Sides are far more than their estimate, so no join of theirs may send them through the driver."""
+    kept, plans = outline.skew.checkpoint, []
+
+    def held(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df)
+
+    monkeypatch.setattr(outline.skew, "checkpoint", held)
+    frame(spark, {1: [(x, y) for x in range(3) for y in range(3) if (x, y) != (1, 1)]}).write.parquet(f"{tmp_path}/cells")
+    rings = outline.cover_rings(spark.read.parquet(f"{tmp_path}/cells"))  # files have a size to estimate from
+    plans.append(rings._jdf.queryExecution().executedPlan().toString())
+    assert rings.count() == 1
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
