@@ -16,12 +16,13 @@ def grid_key(df, key="__id__"):
 
 def _last_drawn(cells, value="key"):
     """The last drawn feature of each cell: an aggregate, combined before its shuffle."""
-    order = F.struct("layer_ord", "fid")
-    return cells.groupBy("grid_id", "x", "y").agg(F.max_by(value, order).alias(value))
+    return burn.last_drawn(cells, ["grid_id", "x", "y"], value).withColumn(value, F.col(value).cast("string"))
 
 
 def _prepare(df, view, key):
     rows = grid_key(df, key)
+    if key == "__id__":
+        rows = rows.withColumn("key", F.col("fid"))  # a number until the last one of a cell is known
     if "grid_id" not in df.columns:
         rows = rows.withColumn("grid_id", F.lit(0).cast("bigint"))
     return burn.to_cells(rows, view)

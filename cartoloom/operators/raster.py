@@ -374,5 +374,5 @@ def feature_raster(df, view_, value, img_id=0):
     """Burn a value of the features into raster cells; the last drawn feature wins."""
     rows = burn.to_cells(df.withColumn("_value", F.col(value)), view_)
     cells = burn.all_cells(rows, view_[0], view_[1], ["layer_ord", "fid", "_value"])
-    burnt = cells.groupBy("x", "y").agg(F.max_by("_value", F.struct("layer_ord", "fid")).alias("v"))
-    return burnt.select(F.lit(img_id).cast("bigint").alias("img_id"), "x", "y", "v")
+    burnt = burn.last_drawn(cells, ["x", "y"], "_value")
+    return burnt.select(F.lit(img_id).cast("bigint").alias("img_id"), "x", "y", F.col("_value").alias("v"))

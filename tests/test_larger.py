@@ -56,3 +56,9 @@ def test_features_are_spread_without_their_layer(spark, name):
             seen += 1
             assert not any("array" in kept.apply(i).dataType().simpleString() for i in range(kept.size()))
     assert seen
+
+
+@pytest.mark.parametrize("name", ["u02_rasterize_polygons", "u03_rasterize_lines", "r30_feature_raster"])
+def test_last_drawn_features_are_found_by_hashing(spark, name):
+    """The cells of all features are not sorted to find the last one of each cell."""
+    assert "SortAggregate" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
