@@ -13,6 +13,8 @@ ORIENTATION = "wrong ring orientation"
 
 #: A geometry of so many segments is one cell; one of n has no more than n / FEW cells on an axis.
 FEW = 8
+#: Geometries of up to so many vertices are compared segment by segment in their own row, without a shuffle; larger ones by cells.
+IN_ROW = 32
 
 
 def segment_table(df, geom="tgeom", keys=("layer", "fid")):
@@ -137,6 +139,45 @@ def segment_cells(segments, keys=("layer", "fid")):
     return rows.withColumn("_cy", F.explode(F.sequence("_low", "_high")))
 
 
+def _bad(a, b):
+    """Two segments of one geometry, ``a`` before ``b``, meet other than as neighbours."""
+    same_ring = (a["part"] == b["part"]) & (a["ring"] == b["ring"])
+    closed_ends = (a["seg"] == 0) & (b["seg"] == b["n"] - 1) & (a["ax"] == b["bx"]) & (a["ay"] == b["by"])
+    neighbours = same_ring & ((b["seg"] == a["seg"] + 1) | closed_ends)
+    # neighbours share one end; they cross only when they fold back on each other
+    shared_next = (b["seg"] == a["seg"] + 1)
+    fold_next = (_side(a["ax"], a["ay"], a["bx"], a["by"], b["bx"], b["by"]) == 0) & (
+        ((a["ax"] - a["bx"]) * (b["bx"] - a["bx"]) + (a["ay"] - a["by"]) * (b["by"] - a["by"])) > 0)
+    fold_ends = (_side(b["ax"], b["ay"], b["bx"], b["by"], a["bx"], a["by"]) == 0) & (
+        ((b["ax"] - a["ax"]) * (a["bx"] - a["ax"]) + (b["ay"] - a["ay"]) * (a["by"] - a["ay"])) > 0)
+    return F.when(neighbours, F.when(shared_next, fold_next).otherwise(fold_ends)).when(
+        a["type"].isin(g.POLYGON, g.MULTIPOLYGON) & ~same_ring, _cross(a, b) | _through(a, b)).otherwise(_meet(a, b))
+
+
+def crosses_itself(geom):
+    """Whether two segments of a geometry meet other than as neighbours: every pair of them, in the row."""
+    geom = g.col(geom)
+
+    def ring(vs, part, at):
+        return g.let(g.segments(vs), lambda own: F.transform(own, lambda s, i: F.struct(
+            geom["type"].alias("type"), part.alias("part"), at.alias("ring"), F.size(own).alias("n"), i.alias("seg"),
+            *[s[v][c].alias(f"{v}{c}") for v in "ab" for c in "xy"], *[F.get(own, (i + 1) % F.size(own))["b"][c].alias(f"c{c}") for c in "xy"])))
+
+    def beside(a, b):
+        """The boxes of two segments have a point in common."""
+        lo, hi = (lambda s, c, f=f: f(s[f"a{c}"], s[f"b{c}"]) for f in (F.least, F.greatest))
+        return (lo(a, "x") <= hi(b, "x")) & (lo(b, "x") <= hi(a, "x")) & (lo(a, "y") <= hi(b, "y")) & (lo(b, "y") <= hi(a, "y"))
+
+    def any_pair(own):
+        later = lambda i: F.slice(own, i + 2, F.size(own))
+        met = lambda a, rest: F.exists(rest, lambda b: beside(a, b) & _bad(a, b))
+        first = lambda i: F.exists(F.slice(own, i + 1, 1), lambda a: met(a, later(i)))
+        return F.when(F.size(own) > 1, F.exists(F.sequence(F.lit(0), F.size(own) - 2), first)).otherwise(F.lit(False))
+
+    segments = F.flatten(F.transform(geom["parts"], lambda rings, p: F.flatten(F.transform(rings, lambda vs, r: ring(vs, p, r)))))
+    return F.coalesce(g.let(segments, any_pair), F.lit(False))
+
+
 def crossing_pairs(segments, keys=("layer", "fid")):
     """Segment pairs of one geometry that meet other than as neighbours.
 
@@ -154,28 +195,18 @@ def crossing_pairs(segments, keys=("layer", "fid")):
     pairs = left.join(right, [*keys, "_cx", "_cy"]).where((F.col("_cy") == F.greatest("a._low", "b._low")) & ~earlier)
     a, b = F.col("a"), F.col("b")
     order = F.struct(a["part"], a["ring"], a["seg"]) < F.struct(b["part"], b["ring"], b["seg"])
-    same_ring = (a["part"] == b["part"]) & (a["ring"] == b["ring"])
-    closed_ends = (a["seg"] == 0) & (b["seg"] == b["n"] - 1) & (a["ax"] == b["bx"]) & (a["ay"] == b["by"])
-    neighbours = same_ring & ((b["seg"] == a["seg"] + 1) | closed_ends)
-    # neighbours share one end; they cross only when they fold back on each other
-    shared_next = (b["seg"] == a["seg"] + 1)
-    fold_next = (_side(a["ax"], a["ay"], a["bx"], a["by"], b["bx"], b["by"]) == 0) & (
-        ((a["ax"] - a["bx"]) * (b["bx"] - a["bx"]) + (a["ay"] - a["by"]) * (b["by"] - a["by"])) > 0)
-    fold_ends = (_side(b["ax"], b["ay"], b["bx"], b["by"], a["bx"], a["by"]) == 0) & (
-        ((b["ax"] - a["ax"]) * (a["bx"] - a["ax"]) + (b["ay"] - a["ay"]) * (a["by"] - a["ay"])) > 0)
-    bad = F.when(neighbours, F.when(shared_next, fold_next).otherwise(fold_ends)).when(
-        a["type"].isin(g.POLYGON, g.MULTIPOLYGON) & ~same_ring, _cross(a, b) | _through(a, b)).otherwise(_meet(a, b))
-    return pairs.where(order & bad)
+    return pairs.where(order & _bad(a, b))
 
 
 def simplicity_report(df, geom="tgeom", keys=("layer", "fid")):
     """Keys of geometries that are not simple: repeated points in a multipoint, crossings in lines and rings."""
     keys = list(keys)
-    vs = g.vertices(geom)
-    repeated = df.where((F.col(geom)["type"] == g.MULTIPOINT) & (F.size(F.array_distinct(vs)) < F.size(vs))).select(*keys)
-    lines = df.where(~F.col(geom)["type"].isin(g.POINT, g.MULTIPOINT))
-    pairs = crossing_pairs(segment_table(lines, geom, keys), keys)
-    return repeated.unionByName(pairs.select(*keys)).distinct()
+    vs, kind = g.vertices(geom), F.col(geom)["type"]
+    repeated = (kind == g.MULTIPOINT) & (F.size(F.array_distinct(vs)) < F.size(vs))
+    lines, small = ~kind.isin(g.POINT, g.MULTIPOINT), F.size(vs) <= IN_ROW
+    settled = df.where(F.when(lines, F.when(small, crosses_itself(geom))).otherwise(repeated)).select(*keys)
+    pairs = crossing_pairs(segment_table(df.where(lines & ~small), geom, keys), keys)
+    return settled.unionByName(pairs.select(*keys)).distinct()
 
 
 def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False, lat_lon=False, web_merc=False, size=tl.SIZE, digits=6):
@@ -203,15 +234,16 @@ def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False,
     ids = [*keys, "piece"]
     c = F.col(geom)
     areal = c["type"].isin(g.POLYGON, g.MULTIPOLYGON)
-    rings = F.flatten(c["parts"])
+    rings, small = F.flatten(c["parts"]), F.size(g.vertices(geom)) <= IN_ROW
     few = F.when(areal, F.exists(rings, lambda r: F.size(r) < 4)).when(
         c["type"].isin(g.LINE, g.MULTILINE), F.exists(rings, lambda r: F.size(F.array_distinct(r)) < 2)).otherwise(F.lit(False))
     open_ring = areal & F.exists(rings, lambda r: F.get(r, F.lit(0)) != F.try_element_at(r, F.lit(-1)))
     turned = areal & F.exists(c["parts"], lambda p: F.exists(F.transform(p, lambda r, i: (g.ring_area(r) != 0) & ((g.ring_area(r) > 0) != (i == 0))), lambda b: b))
     simple_rules = src.withColumn("message", F.explode(F.array_compact(F.array(
-        F.when(few, TOO_FEW), F.when(open_ring, UNCLOSED), F.when(turned, ORIENTATION),
+        F.when(few, TOO_FEW), F.when(open_ring, UNCLOSED), F.when(turned, ORIENTATION), F.when(areal & small & crosses_itself(geom), SELF_CROSSING),
     ))))
-    crossing = crossing_pairs(segment_table(src.where(areal), geom, ids), ids).select(*ids).distinct()
-    crossed = src.join(crossing, ids).withColumn("message", F.lit(SELF_CROSSING))
+    large = src.where(areal & ~small)
+    crossing = crossing_pairs(segment_table(large, geom, ids), ids).select(*ids).distinct()
+    crossed = large.join(crossing, ids).withColumn("message", F.lit(SELF_CROSSING))
     out = simple_rules.select(*ids, "message", "_out").unionByName(crossed.select(*ids, "message", "_out"))
     return out.select(*ids, "message", export.geojson("_out", None, digits).alias("geojson"))

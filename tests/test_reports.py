@@ -132,3 +132,29 @@ def test_validity_of_parts(spark):
         assert len(texts) == 2 and all('"Polygon"' in t for t in texts)
         if not options:
             assert any("300" in t for t in texts) and any("450" in t for t in texts)
+
+
+def test_small_geometries_in_their_row(spark):
+    """Pairs compared in the row and by cells report the same geometries, and small ones need no cells."""
+    rng = random.Random(3)
+    rows = []
+    for fid in range(300):
+        ring = lambda k: [(rng.randint(0, 12), rng.randint(0, 12)) for _ in range(k)]
+        rings = [(lambda r: [*r, r[0]])(ring(rng.randint(3, 5))) for _ in range(1 + fid % 2)]
+        rows.append((fid, g.LINE, [[ring(rng.randint(1, 6))]]) if fid % 3 == 0 else (fid, g.POLYGON, [rings]))
+    rows += [(fid + 1000, g.POLYGON, [f]) for fid, (f, _) in enumerate(VERTEX)]
+    shapes = frame(spark, rows)
+    by_cells = {r["fid"] for r in reports.crossing_pairs(reports.segment_table(shapes)).select("fid").distinct().collect()}
+    assert {r["fid"] for r in shapes.where(reports.crosses_itself("tgeom")).collect()} == by_cells
+    assert {r["fid"] for r in reports.simplicity_report(shapes).collect()} == by_cells
+    areal = {fid for fid, t, _ in rows if t == g.POLYGON}
+    valid = reports.validity_report(shapes)
+    assert {r["fid"] for r in valid.where("message = 'self-intersection'").collect()} == by_cells & areal
+
+
+def test_geometries_over_the_row_limit(spark):
+    """A bow tie with more vertices than are compared in a row is found by cells."""
+    bow = [(0, 0), *[(k, k) for k in range(1, 100)], (100, 0), *[(100 - k, k) for k in range(1, 100)], (0, 100), (0, 0)]
+    rows = frame(spark, [(1, g.POLYGON, [[bow]]), (2, g.POLYGON, [[star(200)]])])
+    assert [r["fid"] for r in reports.validity_report(rows).where("message = 'self-intersection'").collect()] == [1]
+    assert [r["fid"] for r in reports.simplicity_report(rows).collect()] == [1]
