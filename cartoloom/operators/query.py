@@ -383,3 +383,49 @@ def nearest_hit(hits):
 def miss_points(points, hits):
     """Points without any hit."""
     return points.join(hits.select("pid").distinct(), "pid", "left_anti")
+
+
+#: A search in rounds begins with the tolerance divided by this, and multiplies it by this from one round to the next ...
+GROWTH = 8
+#: ... so that the last of so many rounds has the whole tolerance.
+ROUNDS = 3
+
+
+def growing(tolerance):
+    """Tolerances of the rounds of a search; the last one is ``tolerance``."""
+    return [tolerance / GROWTH**k for k in range(ROUNDS - 1, -1, -1)] if tolerance > 0 else [tolerance]
+
+
+def _search(points, features, tolerance, find):
+    """``find(hits)`` of each round, one row per point found at most; a point with a hit takes no part in the later rounds.
+
+    All features within a round's tolerance are met, so what is nearest there is nearest of all. Where features are dense
+    most points leave early, and where they are not a point meets few: the pairs grow with points and features, not with
+    their product. Returns the found rows and the points without a hit.
+    """
+    found = []
+    for near in growing(tolerance):
+        found.append(skew.checkpoint(find(query_many(points, features, near, fields=[]))))
+        gone = found[-1].select(F.col("pid").alias("_pid"))
+        points = points.join(gone, F.col("pid").eqNullSafe(F.col("_pid")), "left_anti")
+    return reduce(DataFrame.unionByName, found), points
+
+
+def nearest_many(points, features, tolerance=0.0):
+    """Closest feature per point within the tolerance: ``nearest_hit`` of all hits, without making all of them."""
+    return _search(points, features, tolerance, nearest_hit)[0]
+
+
+def unhit_points(points, features, tolerance=0.0):
+    """Points without any feature within the tolerance: ``miss_points`` of all hits, without making all of them."""
+    return _search(points, features, tolerance, lambda hits: hits.select("pid").distinct())[1]
+
+
+def touched_features(points, features, tolerance=0.0):
+    """``hit_features`` of all hits, without making all of them: a feature that was hit takes no part in the later rounds."""
+    keys, found, left = ["layer", "fid", "shape"], [], features
+    for near in growing(tolerance):
+        found.append(skew.checkpoint(query_many(points, left, near, fields=[]).select(*keys).distinct()))
+        hit = found[-1].withColumnRenamed("shape", "_shape")
+        left = left.withColumn("_shape", shape_of("geom")).join(hit, ["layer", "fid", "_shape"], "left_anti").select(*features.columns)
+    return hit_features(features, reduce(DataFrame.unionByName, found))

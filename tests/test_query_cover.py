@@ -117,3 +117,30 @@ def test_hit_features_by_shape(spark):
     hits = q.query_many(points(spark, [(1, 1)]), shapes, 10.0)
     assert [(r["name"], r["feature_id"]) for r in q.hit_features(shapes, hits).collect()] == [("near", 0)]
     assert sorted(r["name"] for r in q.hit_features(shapes, hits.drop("shape")).collect()) == ["far", "near"]
+
+
+def test_searches_in_rounds(spark):
+    """Nearest hits, misses and hit features found in rounds are those of all hits; points with a hit leave early."""
+    rng = random.Random(8)
+    rows = [(i, "p", g.POINT, [[[(rng.randint(-40, 40) * 250, rng.randint(-40, 40) * 250)]]]) for i in range(150)]
+    rows += [(200 + i, "l", g.LINE, [[[(i * 3e4, 3e4), (i * 3e4 + 9e3, 5e4)]]]) for i in range(3)]
+    rows += [(300, "a", g.POLYGON, [[box(-2e5, -2e5, -1e5, -1e5)]]), (7, "p", g.POINT, [[[(9e6, 9e6)]]])]
+    shapes = features(spark, rows)
+    pts = points(spark, [(rng.uniform(-2e5, 2e5), rng.uniform(-2e5, 2e5)) for _ in range(60)] + [(x * 250, x * 125) for x in range(-30, 30)])
+    for tolerance in (20_000.0, 0.0):
+        hits = q.query_many(pts, shapes, tolerance, fields=[])
+        same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        assert same(q.nearest_many(pts, shapes, tolerance), q.nearest_hit(hits))
+        assert same(q.unhit_points(pts, shapes, tolerance).select("pid"), q.miss_points(pts, hits).select("pid"))
+        ids = ["name", "fid", "feature_id"]
+        assert same(q.touched_features(pts, shapes, tolerance).select(*ids), q.hit_features(shapes, hits).select(*ids))
+
+
+def test_dense_features_meet_few_points(spark, monkeypatch):
+    """In a dense place a point meets the features nearby only: hits made are far fewer than the pairs within the tolerance."""
+    at = [(x * 200.0, y * 200.0) for x in range(40) for y in range(40)]
+    shapes, pts = features(spark, [(i, "p", g.POINT, [[[p]]]) for i, p in enumerate(at)]), points(spark, at[::7])
+    made, plain = [], q.query_many
+    monkeypatch.setattr(q, "query_many", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    assert q.unhit_points(pts, shapes, 8_000.0).count() == 0 and q.nearest_many(pts, shapes, 8_000.0).count() == pts.count()
+    assert 10 * sum(h.count() for h in made) < plain(pts, shapes, 8_000.0).count()
