@@ -215,22 +215,26 @@ def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False,
     With ``split_multi`` each part is checked and reported by itself. The text
     is in tile coordinates, or in longitude/latitude or mercator when asked.
     """
-    keys = list(keys)
     if lat_lon and web_merc:
         raise ValueError("choose one of lat_lon and web_merc")
+    srs = 4326 if lat_lon else 3857 if web_merc else None
+    return validity_texts(df, {"geojson": srs}, geom, keys, split_multi, size, digits)
+
+
+def validity_texts(df, texts, geom="tgeom", keys=("layer", "fid"), split_multi=False, size=tl.SIZE, digits=6):
+    """``validity_report`` with a text column per entry of ``texts`` (name: 4326, 3857 or None for tile coordinates), all from one search."""
+    keys, outs = list(keys), [f"_{name}" for name in texts]
     src = df
-    if lat_lon or web_merc:
-        src = tl.dequantize(df, size, 4326 if lat_lon else 3857, "_out")
-    else:
-        src = df.withColumn("_out", F.col(geom))
+    for out, srs in zip(outs, texts.values()):
+        src = tl.dequantize(src, size, srs, out) if srs else src.withColumn(out, F.col(geom))
     if split_multi:
-        pieces = F.arrays_zip(F.col(geom)["parts"].alias("c"), F.col("_out")["parts"].alias("o"))
+        pieces = F.arrays_zip(F.col(geom)["parts"].alias("c"), *[F.col(o)["parts"].alias(o) for o in outs])
         single = F.when(F.col("_t") > 3, F.col("_t") - 3).otherwise(F.col("_t"))
         src = src.withColumn("_t", F.col(geom)["type"]).select(*keys, "_t", F.posexplode(pieces).alias("piece", "_p")).select(
-            *keys, "piece", g.geometry(single, F.array(F.col("_p")["c"])).alias(geom), g.geometry(single, F.array(F.col("_p")["o"])).alias("_out"),
+            *keys, "piece", g.geometry(single, F.array(F.col("_p")["c"])).alias(geom), *[g.geometry(single, F.array(F.col("_p")[o])).alias(o) for o in outs],
         )
     else:
-        src = src.select(*keys, F.lit(0).alias("piece"), geom, "_out")
+        src = src.select(*keys, F.lit(0).alias("piece"), geom, *outs)
     ids = [*keys, "piece"]
     c = F.col(geom)
     areal = c["type"].isin(g.POLYGON, g.MULTIPOLYGON)
@@ -245,5 +249,5 @@ def validity_report(df, geom="tgeom", keys=("layer", "fid"), split_multi=False,
     large = src.where(areal & ~small)
     crossing = crossing_pairs(segment_table(large, geom, ids), ids).select(*ids).distinct()
     crossed = large.join(crossing, ids).withColumn("message", F.lit(SELF_CROSSING))
-    out = simple_rules.select(*ids, "message", "_out").unionByName(crossed.select(*ids, "message", "_out"))
-    return out.select(*ids, "message", export.geojson("_out", None, digits).alias("geojson"))
+    out = simple_rules.select(*ids, "message", *outs).unionByName(crossed.select(*ids, "message", *outs))
+    return out.select(*ids, "message", *[export.geojson(o, None, digits).alias(name) for o, name in zip(outs, texts)])

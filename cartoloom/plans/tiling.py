@@ -599,9 +599,11 @@ select 'multi' as layer, multi as fid, piece, message, unit,
 from f join k using (fid) join o1 using (fid), (values ('degrees', 3), ('metres', 1)) u(unit, digits)""")
 def _(v):
     """Parts with holes, each reported by itself, in both projections; x and y are the first position of the text."""
-    out = []
-    for unit, lat_lon, digits in (("degrees", True, 3), ("metres", False, 1)):
-        report = reports.validity_report(flat_multi(v), split_multi=True, lat_lon=lat_lon, web_merc=not lat_lon)
-        place = [F.round(F.get_json_object("geojson", f"$.coordinates[0][0][{i}]").cast("double"), digits).alias(c) for i, c in enumerate("xy")]
-        out.append(report.select("layer", "fid", "piece", "message", F.lit(unit).alias("unit"), *place))
-    return out[0].unionByName(out[1])
+    report = reports.validity_texts(flat_multi(v), {"degrees": 4326, "metres": 3857}, split_multi=True)
+
+    def place(unit, digits):
+        at = [F.round(F.get_json_object(unit, f"$.coordinates[0][0][{i}]").cast("double"), digits).alias(c) for i, c in enumerate("xy")]
+        return F.struct(F.lit(unit).alias("unit"), *at)
+
+    both = F.explode(F.array(place("degrees", 3), place("metres", 1))).alias("_at")
+    return report.select("layer", "fid", "piece", "message", both).select("layer", "fid", "piece", "message", "_at.*")

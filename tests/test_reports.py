@@ -158,3 +158,13 @@ def test_geometries_over_the_row_limit(spark):
     rows = frame(spark, [(1, g.POLYGON, [[bow]]), (2, g.POLYGON, [[star(200)]])])
     assert [r["fid"] for r in reports.validity_report(rows).where("message = 'self-intersection'").collect()] == [1]
     assert [r["fid"] for r in reports.simplicity_report(rows).collect()] == [1]
+
+
+def test_texts_of_one_search(spark):
+    """Texts in several projections come from one search and equal those of single reports."""
+    bow = [[(200, 0), (300, 100), (300, 0), (200, 100), (200, 0)]]
+    rows = frame(spark, [(1, g.MULTIPOLYGON, [[box(0, 0, 9, 9)], bow])]).withColumns({c: F.lit(0) for c in "zxy"})
+    both = reports.validity_texts(rows, {"degrees": 4326, "metres": 3857}, split_multi=True)
+    for name, options in (("degrees", {"lat_lon": True}), ("metres", {"web_merc": True})):
+        alone = reports.validity_report(rows, split_multi=True, **options)
+        assert sorted(r[name] for r in both.collect()) == sorted(r["geojson"] for r in alone.collect()) != []
