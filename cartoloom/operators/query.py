@@ -14,6 +14,7 @@ from ..functions import geom as g
 from ..functions import mercator as m
 from ..functions import skew
 from . import features as ft
+from . import reach
 
 MAX_LEVEL = 24
 
@@ -176,14 +177,15 @@ def _segment_level(s, tolerance):
     return _level(F.greatest(reach / STEPS, F.lit(4.0 * tolerance)))
 
 
-def _line_cells(lines, columns, tolerance):
-    """Segments at every cell that holds points within the tolerance of them.
+def _line_cells(lines, columns, tolerance, level=None):
+    """Segments at every cell that holds points within the tolerance of them, on the level that fits each or on a given one.
 
     A segment is walked column by column; the part of it beside a column tells the rows of cells. ``_lo`` and ``_hi``
     bound the points' y inside the column.
     """
+    own = _segment_level(F.col("s"), tolerance) if level is None else F.lit(level)
     rows = lines.select(*columns, F.explode(_segments()).alias("s")).select(
-        *columns, _segment_level(F.col("s"), tolerance).alias("_level"), *[F.col(f"s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"])
+        *columns, own.alias("_level"), *[F.col(f"s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"])
     dx, dy = F.col("_bx") - F.col("_ax"), F.col("_by") - F.col("_ay")
     pad = tolerance + HAIR
     n = F.pow(F.lit(2.0), F.col("_level"))
@@ -350,6 +352,44 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     return reduce(DataFrame.unionByName, rows) if rows else keep.limit(0).select(F.lit(0).alias("pid"), "layer", "fid", F.lit(0.0).alias("distance"), *fields, "shape")
 
 
+#: Segments and places meet in cells of the world of 2 to the power of this a side to be counted ...
+COUNT_LEVEL = 4
+#: ... where no more than about so many segments, and so many places, come together in one group.
+COUNT_ROWS = 1_000_000
+
+
+def count_lines(points, lines, tolerance=0.0, layer=None):
+    """For each point with a line within the tolerance, the number of ``lines`` there and the ``nearest`` distance.
+
+    This is the count and the least distance of ``query_many`` without its hits, which grow with points times lines and
+    never leave a task here. Places and segments are dealt by cells, and inside a cell by hash, so that a group stays
+    small wherever they lie; only counts come back. ``pid`` tells points apart. Lines are told apart by a 64-bit hash of
+    layer, id, vertices and fields; those equal in all of them are one.
+    """
+    if layer is not None:
+        lines = lines.where(F.col("layer") == layer)
+        if lines.limit(1).isEmpty():
+            raise ValueError("Could not find layer in vector tile")
+    fields = ft.attribute_names(lines)
+    keep = near_points(lines.select("layer", "fid", *fields, "geom", *g.BOX), points, tolerance)
+    keep = keep.where(F.col("geom.type").isin(g.LINE, g.MULTILINE)).withColumn("_line", F.xxhash64("layer", "fid", shape_of("geom"), *fields))
+    pts = points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py")).distinct()
+    places = pts.select("_px", "_py").where(~F.isnan("_px") & ~F.isnan("_py")).distinct()
+    deal = lambda rows: max(1, math.ceil((rows or 0) / COUNT_ROWS))
+    of_lines = deal(keep.agg(F.sum(F.size(g.vertices("geom")))).first()[0])
+    of_places = deal(places.count())
+    level = max(0, min(COUNT_LEVEL, int(math.log2(2 * m.HALF_WORLD / max(4.0 * tolerance, 1.0)))))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    group = ["_cell", "_l", "_p"]
+    segments = _line_cells(keep, ["_line"], tolerance, level).select(
+        "_cell", F.pmod(F.hash("_line"), F.lit(of_lines)).alias("_l"), "_line", "_ax", "_ay", "_bx", "_by").withColumn("_p", every(of_places))
+    there = _points_in_cells(places, [level]).withColumns({"_l": every(of_lines), "_p": F.pmod(F.hash("_px", "_py"), F.lit(of_places))})
+
+    met = there.groupBy(*group).cogroup(segments.groupBy(*group)).applyInPandas(reach.in_groups(float(tolerance)), "_px double, _py double, lines long, nearest double")
+    sums = met.groupBy("_px", "_py").agg(F.sum("lines").alias("lines"), F.min("nearest").alias("nearest"))
+    return pts.join(sums, ["_px", "_py"]).select("pid", "lines", "nearest")
+
+
 def shape_of(geom):
     """A hash of a geometry: features of one id and one hash are hit by the same points."""
     return F.xxhash64(geom)
