@@ -155,44 +155,73 @@ def resize_near(df, width, height, offset_x=0, offset_y=0, offset_width=None, of
     return rows.select("img_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *channels(df))
 
 
-def _resample_axis(rows, axis, target, size_col, radius, weight, names):
+def _resample_axis(rows, axis, target, size_col, weight, names):
     """Weighted mean along one axis; every source cell is sent to the targets within reach.
 
     When the axis gets shorter the kernel gets wider by the ratio, so that every source cell counts; a cell still reaches
     no more than about twice the radius of targets.
     """
-    ratio = F.col(size_col) / float(target)
+    target = F.col("_to")[target]
+    ratio = F.col(size_col) / target.cast("double")
     scale = F.greatest(ratio, F.lit(1.0))
-    reach = scale * float(radius)
+    reach = scale * F.col("_to.radius")
     lo = F.greatest(F.floor((F.col(axis) - reach + 0.5) / ratio - 0.5), F.lit(0))
-    hi = F.least(F.ceil((F.col(axis) + reach + 0.5) / ratio - 0.5), F.lit(target - 1))
+    hi = F.least(F.ceil((F.col(axis) + reach + 0.5) / ratio - 0.5), target - 1)
     taps = rows.where(lo <= hi).withColumn("_t", F.explode(F.sequence(lo, hi)))
     d = F.abs((F.col("_t") + 0.5) * ratio - 0.5 - F.col(axis)) / scale
     taps = taps.withColumn("_k", weight(d)).where(F.col("_k") != 0)
     other = "y" if axis == "x" else "x"
-    agg = taps.groupBy("img_id", other, "_t").agg(
-        F.first("_w").alias("_w"), F.first("_h").alias("_h"),
+    agg = taps.groupBy(F.col("_to.at").alias("_at"), "img_id", other, "_t").agg(
+        F.first("_to").alias("_to"), F.first("_w").alias("_w"), F.first("_h").alias("_h"),
         *[(F.sum(F.col("_k") * F.col(c)) / F.sum("_k")).alias(c) for c in names],
     )
     return agg.withColumnRenamed("_t", axis)
 
 
-def _resample(df, width, height, radius, weight):
-    _check_size(width, height)
+#: A task resamples about so many cells; its hash tables hold no more.
+TASK_CELLS = 250_000
+
+
+def _resample(df, sizes, weight):
+    """To several sizes ``(width, height, radius)`` in one pass, along x and then along y; ``_at`` is the place of a cell's size.
+
+    Cells are dealt by image and row, then by image and column, which is how they are grouped, over as many tasks as cells
+    come and go: no task has more of them in larger tables, and a large image lies on many.
+    """
+    for width, height, _ in sizes:
+        _check_size(width, height)
     names = channels(df)
-    rows = _with_size(premultiply(df) if "a" in names else df)
-    rows = _resample_axis(rows, "x", width, "_w", radius, weight, names)
-    rows = _resample_axis(rows, "y", height, "_h", radius, weight, names)
-    out = rows.select("img_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *names)
+    of_image = df.groupBy("img_id").agg(F.count(F.lit(1)).alias("n"), (F.max("y") + 1).alias("h"))
+    cells, lines, images = (n or 0 for n in of_image.agg(F.sum("n"), F.sum("h"), F.count(F.lit(1))).first())
+    wide = lines * sum(w for w, _, _ in sizes)
+    tasks = lambda *n: max(1, math.ceil(max(n) / TASK_CELLS))
+    to = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(w).alias("width"), F.lit(h).alias("height"), F.lit(float(r)).alias("radius")) for i, (w, h, r) in enumerate(sizes)])
+    rows = (premultiply(df) if "a" in names else df).repartition(tasks(cells), "img_id")
+    rows = _with_size(rows).repartition(tasks(cells, wide), "img_id", "y").withColumn("_to", F.explode(to))
+    rows = _resample_axis(rows, "x", "width", "_w", weight, names).drop("_at")
+    rows = rows.repartition(tasks(wide, images * sum(w * h for w, h, _ in sizes)), F.col("_to.at"), "img_id", "x")
+    rows = _resample_axis(rows, "y", "height", "_h", weight, names)
+    out = rows.select("_at", "img_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *names)
     if "a" in names:
         # means of whole numbers hit exact halves; the rounding keeps them from depending on summation order
         return demultiply(out.withColumns({c: byte(F.round(c, 6)) for c in names}))
     return out
 
 
+def _named(cells, names):
+    """The texts of a cell's size."""
+    return cells.withColumns({n: F.get(F.array(*[F.lit(t) for t in texts]), F.col("_at")) for n, texts in names.items()}).drop("_at")
+
+
 def resize_bilinear(df, width, height):
     """Weighted mean of the 2 x 2 nearest cells, or of all within the ratio when reducing; colours are premultiplied on the way."""
-    return _resample(df, width, height, 1, lambda d: F.greatest(F.lit(1.0) - d, F.lit(0.0)))
+    return resize_bilinear_sizes(df, [(width, height)]).drop("size")
+
+
+def resize_bilinear_sizes(df, sizes):
+    """The same to several sizes in one pass, each named in ``size``."""
+    out = _resample(df, [(w, h, 1) for w, h in sizes], lambda d: F.greatest(F.lit(1.0) - d, F.lit(0.0)))
+    return _named(out, {"size": [f"{w}x{h}" for w, h in sizes]})
 
 
 def _sinc(t):
@@ -278,9 +307,16 @@ def kernel_table(method):
 
 def resize_kernel(df, width, height, method):
     """Resize with a named kernel; the weight table is a constant of at most 1024 numbers."""
-    table = kernel_table(method)
-    lookup = F.expr("array(" + ",".join(f"{w!r}D" for w in table) + ")")
-    return _resample(df, width, height, KERNELS[method][0], lambda d: F.coalesce(F.get(lookup, F.floor(d * STEPS).cast("int")), F.lit(0.0)))
+    return resize_kernels(df, [(method, width, height)]).drop("method", "size")
+
+
+def resize_kernels(df, ways):
+    """Resize in several ways ``(method, width, height)`` in one pass, each named by ``method`` and ``size``."""
+    tables = [kernel_table(method) for method, _, _ in ways]
+    lookup = F.expr("array(" + ",".join("array(" + ",".join(f"{w!r}D" for w in table) + ")" for table in tables) + ")")
+    weight = lambda d: F.coalesce(F.get(F.get(lookup, F.col("_to.at")), F.floor(d * STEPS).cast("int")), F.lit(0.0))
+    out = _resample(df, [(w, h, KERNELS[method][0]) for method, w, h in ways], weight)
+    return _named(out, {"method": [k for k, _, _ in ways], "size": [f"{w}x{h}" for _, w, h in ways]})
 
 
 def resize(df, width, height, method="near", **window):

@@ -242,8 +242,7 @@ SIZES = ((13, 6), (11, 17), (3, 2))
 
 @query("r13_resize_bilinear", " union all ".join(bilinear_sql(w, h) for w, h in SIZES))
 def _(v):
-    out = [rgba(raster.resize_bilinear(v.px, w, h)).withColumn("size", F.lit(f"{w}x{h}")) for w, h in SIZES]
-    return reduce(DataFrame.unionByName, out)
+    return rgba(raster.resize_bilinear_sizes(v.px, SIZES), "size")
 
 
 # Published definitions of the kernels, by the distance t from the middle.
@@ -295,11 +294,8 @@ KERNEL_SIZES = ((12, 5), (3, 9))
 
 @query("r14_resize_kernel", " union all ".join(kernel_sql(k, w, h) for k in WEIGHTS for w, h in KERNEL_SIZES))
 def _(v):
-    out = [
-        raster.resize_kernel(v.gray, w, h, k).select(F.lit(k).alias("method"), F.lit(f"{w}x{h}").alias("size"), "img_id", "x", "y", F.round("v", 5).alias("v"))
-        for k in WEIGHTS for w, h in KERNEL_SIZES
-    ]
-    return reduce(DataFrame.unionByName, out)
+    out = raster.resize_kernels(v.gray, [(k, w, h) for k in WEIGHTS for w, h in KERNEL_SIZES])
+    return out.select("method", "size", "img_id", "x", "y", F.round("v", 5).alias("v"))
 
 
 NEAR = """
