@@ -129,7 +129,7 @@ def parse_geometry(kind, coords):
     tag = F.lit(None).cast("int")
     for t, name in g.TYPE_NAMES.items():
         tag = F.when(kind == name, t).otherwise(tag)
-    return F.when(F.isnotnull(parts), g.geometry(tag, parts))
+    return g.let(parts, lambda found: F.when(F.isnotnull(found), g.geometry(tag, found)))
 
 
 def parse_members(texts):
@@ -139,8 +139,11 @@ def parse_members(texts):
     """
     parsed = lambda t: F.from_json(t, GEOMETRY_SCHEMA)
     inner = lambda p, t: F.when((p["type"] == "GeometryCollection") & p["geometries"].isNotNull(), p["geometries"]).otherwise(F.array(t))
+    # only what names the kind, or could in escapes, is read again on each level
+    named = lambda t: F.contains(t, F.lit("GeometryCollection")) | F.contains(t, F.lit("\\u"))
     for _ in range(MAX_NESTING):
-        texts = F.flatten(F.transform(texts, lambda t: g.let(parsed(t), lambda p: inner(p, t))))
+        deeper = lambda t: F.when(named(t), g.let(parsed(t), lambda p: inner(p, t))).otherwise(F.array(t))
+        texts = g.let(texts, lambda ts: F.when(F.exists(ts, named), F.flatten(F.transform(ts, deeper))).otherwise(ts))
     return F.transform(texts, lambda t: g.let(parsed(t), lambda p: parse_geometry(p["type"], p["coordinates"])))
 
 

@@ -67,3 +67,17 @@ def test_collections_in_files(spark, tmp_path):
     assert {r["fid"]: None if r["members"] is None else len(r["members"]) for r in rows.collect()} == {1: 2, 2: None, 3: 1}
     assert "members" not in features.attribute_names(rows)
     assert rows.where(F.col("geom.type") == g.COLLECTION).count() == 2
+
+
+def test_texts_are_read_again_only_where_they_name_a_collection(spark):
+    """Levels of nesting cost nothing where there are none; a name in escapes is still one."""
+    point = '{"type":"Point","coordinates":[1,2]}'
+    escaped = '{"type":"Geometry\\u0043ollection","geometries":[' + point + ']}'
+    deep = point
+    for _ in range(7):
+        deep = '{"type":"GeometryCollection","geometries":[' + deep + "," + point + "]}"
+    rows = spark.createDataFrame([([point, escaped, deep],), ([],), (["1", None],)], "t array<string>")
+    got = [r[0] for r in rows.select(export.parse_members(F.col("t"))).collect()]
+    assert [m["parts"][0][0][0]["x"] for m in got[0]] == [1.0] * 10 and got[1] == [] and got[2] == [None, None]
+    plan = rows.select(export.parse_members(F.col("t")))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("contains(") >= export.MAX_NESTING
