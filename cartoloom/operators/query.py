@@ -7,7 +7,7 @@ Features carry mercator geometry, envelope columns ``minx..maxy``, ``layer`` and
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
@@ -400,6 +400,33 @@ def hits_by_point(hits, per_part=10_000):
     return skew.sorted_arrays(hits, ["pid"], ["distance", "fid"], F.struct("distance", "fid"), "hits", per_part)
 
 
+#: A task ranks about so many pairs of points and features.
+RANK_PAIRS = 1_000_000
+
+
+def ranked_hits(points, features, tolerance=0.0):
+    """Hits of point features, each with its 0-based ``rank`` by distance and ``fid`` among those of its point.
+
+    All of them lie on one level, so a point meets its features in its own cell and its hits are ranked where they are
+    made: what is shuffled grows with points and features, not with hits. A cell of many pairs is cut by points. ``pid``
+    tells points apart.
+    """
+    keep = near_points(features.select("fid", "geom", *g.BOX), points, tolerance).where(F.col("geom.type") == g.POINT).drop("geom")
+    level = int(keep.sparkSession.range(1).select(_level(F.lit(2.0 * tolerance))).first()[0])
+    there = _points_in_cells(points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py")), [level]).where("_cell IS NOT NULL")
+    shapes = _box_cells(keep, tolerance).select("_cell", "fid", "minx", "miny")
+    met = there.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).join(shapes.groupBy("_cell").agg(F.count(F.lit(1)).alias("_m")), "_cell")
+    met = skew.checkpoint(met.select("_cell", (F.col("_n") * F.col("_m")).alias("_pairs"), F.ceil(F.col("_n") * F.col("_m") / RANK_PAIRS).cast("int").alias("_cuts")))
+    tasks = max(1, math.ceil((met.agg(F.sum("_pairs")).first()[0] or 0) / RANK_PAIRS))
+    cuts = met.select("_cell", "_cuts")
+    there = there.join(cuts, "_cell").withColumn("_cut", F.pmod(F.hash("pid"), F.col("_cuts"))).drop("_cuts").repartition(tasks, "_cell", "_cut")
+    shapes = shapes.join(cuts, "_cell").withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).drop("_cuts").repartition(tasks, "_cell", "_cut")
+    pairs = there.join(shapes.hint("merge"), ["_cell", "_cut"])
+    hits = pairs.withColumn("distance", g.distance(F.col("minx"), F.col("miny"), F.col("_px"), F.col("_py"))).where(F.col("distance").between(0, tolerance))
+    rank = F.row_number().over(Window.partitionBy("_cell", "_cut", "pid").orderBy("distance", "fid")) - 1
+    return hits.select("pid", rank.alias("rank"), "fid", "distance")
+
+
 def hit_features(features, hits):
     """Features hit at least once, with a dense 0-based ``feature_id`` in scan order.
 
