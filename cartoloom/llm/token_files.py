@@ -28,7 +28,9 @@ from . import common
 END_ID = 2
 #: Entries of each of the two generations of a Python worker's word cache, and of its cache of pieces.
 CACHE_WORDS = 200_000
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
+#: Bytes of an Arrow batch: the buffers of a batch, its texts and their ids are in memory beside the caches.
+BATCH = 4 << 20
 
 # The pre-tokenizer's pattern that ``PieceEncoder`` knows, and the same for ASCII and Latin letters.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -158,6 +160,7 @@ def _encoder(tokenizer_json: str, dtype: str):
     held = _CACHE.get("encoder")
     if held is None or held[0] != (tokenizer_json, dtype):
         kind = PieceEncoder if by_pieces(tokenizer_json) else WordEncoder if fits(tokenizer_json) else TextEncoder
+        common.forget()  # Spark goes on with the Python workers of earlier stages
         held = _CACHE["encoder"] = ((tokenizer_json, dtype), kind(tokenizer_json, dtype))
     return held[1]
 
@@ -173,7 +176,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     import json
 
     spark = docs.sparkSession
-    common.prepare(spark)
+    common.prepare(spark, BATCH)
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     data = json.loads(spec)
