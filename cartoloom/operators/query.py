@@ -312,12 +312,29 @@ def _levels_in_use(features, kind, tolerance):
     return levels
 
 
+#: A task makes about so many pairs of points and features.
+RANK_PAIRS = 1_000_000
+
+
+def _meet(there, shapes):
+    """Points and shapes of each ``_cell``. What they make grows with both, so a cell of many pairs is cut by points (``_cut``),
+    a point in one cut, and the cuts are dealt to as many tasks as all pairs need."""
+    met = there.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).join(shapes.groupBy("_cell").agg(F.count(F.lit(1)).alias("_m")), "_cell")
+    met = skew.checkpoint(met.select("_cell", (F.col("_n") * F.col("_m")).alias("_pairs"), F.ceil(F.col("_n") * F.col("_m") / RANK_PAIRS).cast("int").alias("_cuts")))
+    tasks = max(1, math.ceil((met.agg(F.sum("_pairs")).first()[0] or 0) / RANK_PAIRS))
+    cuts = met.select("_cell", "_cuts")
+    there = there.join(cuts, "_cell").withColumn("_cut", F.pmod(F.hash("pid"), F.col("_cuts"))).drop("_cuts").repartition(tasks, "_cell", "_cut")
+    shapes = shapes.join(cuts, "_cell").withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).drop("_cuts").repartition(tasks, "_cell", "_cut")
+    return there.join(shapes.hint("merge"), ["_cell", "_cut"])
+
+
 def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     """For each point all features within the tolerance (a point in a polygon is at distance 0).
 
     Equi-joins on grid cells, in which a pair meets once. Points of features sit on the grid level that fits the tolerance;
     polygons are covered by inside cells and edge cells, lines are walked cell by cell and keep the least distance of their
-    segments. Points take part on the levels in use (25 at most). Adaptive execution splits hot cells.
+    segments. Points take part on the levels in use (25 at most). Cells of points and polygons are cut by their pairs, so no
+    task makes much more than ``RANK_PAIRS`` of them; adaptive execution splits hot cells of lines.
 
     ``shape`` is a hash of the geometry: with layer and id it tells the features that were hit. Lines equal in id, vertices
     and fields are one feature.
@@ -336,7 +353,7 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     columns = ["layer", "fid", "shape", *fields]
     out = []
     if 0 in levels or not levels:
-        near = _points_in_cells(pts, levels.get(0, [0])).join(_box_cells(keep.where(kind == 0), tolerance), "_cell")
+        near = _meet(_points_in_cells(pts, levels.get(0, [0])), _box_cells(keep.where(kind == 0), tolerance))
         near = near.where(px.between(F.col("minx") - tolerance, F.col("maxx") + tolerance) & py.between(F.col("miny") - tolerance, F.col("maxy") + tolerance))
         away = F.when(F.col("geom.type") == g.POINT, g.distance(F.col("minx"), F.col("miny"), px, py)).otherwise(g.geometry_hit("geom", px, py)["distance"])
         out.append(near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)))
@@ -346,7 +363,7 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
         hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance)
         out.append(hits.groupBy("pid", *columns).agg(F.min("distance").alias("distance")))
     if 2 in levels and tolerance >= 0:
-        near = _points_in_cells(pts, levels[2]).join(_polygon_cells(keep.where(kind == 2), columns), "_cell")
+        near = _meet(_points_in_cells(pts, levels[2]), _polygon_cells(keep.where(kind == 2), columns))
         out.append(near.where(F.col("_inside") | F.exists("_open", lambda p: _holds(p, px, py))).withColumn("distance", F.lit(0.0)))
     rows = [o.select("pid", "layer", "fid", "distance", *fields, "shape") for o in out]
     return reduce(DataFrame.unionByName, rows) if rows else keep.limit(0).select(F.lit(0).alias("pid"), "layer", "fid", F.lit(0.0).alias("distance"), *fields, "shape")
@@ -400,10 +417,6 @@ def hits_by_point(hits, per_part=10_000):
     return skew.sorted_arrays(hits, ["pid"], ["distance", "fid"], F.struct("distance", "fid"), "hits", per_part)
 
 
-#: A task ranks about so many pairs of points and features.
-RANK_PAIRS = 1_000_000
-
-
 def ranked_hits(points, features, tolerance=0.0):
     """Hits of point features, each with its 0-based ``rank`` by distance and ``fid`` among those of its point.
 
@@ -415,13 +428,7 @@ def ranked_hits(points, features, tolerance=0.0):
     level = int(keep.sparkSession.range(1).select(_level(F.lit(2.0 * tolerance))).first()[0])
     there = _points_in_cells(points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py")), [level]).where("_cell IS NOT NULL")
     shapes = _box_cells(keep, tolerance).select("_cell", "fid", "minx", "miny")
-    met = there.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).join(shapes.groupBy("_cell").agg(F.count(F.lit(1)).alias("_m")), "_cell")
-    met = skew.checkpoint(met.select("_cell", (F.col("_n") * F.col("_m")).alias("_pairs"), F.ceil(F.col("_n") * F.col("_m") / RANK_PAIRS).cast("int").alias("_cuts")))
-    tasks = max(1, math.ceil((met.agg(F.sum("_pairs")).first()[0] or 0) / RANK_PAIRS))
-    cuts = met.select("_cell", "_cuts")
-    there = there.join(cuts, "_cell").withColumn("_cut", F.pmod(F.hash("pid"), F.col("_cuts"))).drop("_cuts").repartition(tasks, "_cell", "_cut")
-    shapes = shapes.join(cuts, "_cell").withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).drop("_cuts").repartition(tasks, "_cell", "_cut")
-    pairs = there.join(shapes.hint("merge"), ["_cell", "_cut"])
+    pairs = _meet(there, shapes)
     hits = pairs.withColumn("distance", g.distance(F.col("minx"), F.col("miny"), F.col("_px"), F.col("_py"))).where(F.col("distance").between(0, tolerance))
     rank = F.row_number().over(Window.partitionBy("_cell", "_cut", "pid").orderBy("distance", "fid")) - 1
     return hits.select("pid", rank.alias("rank"), "fid", "distance")
