@@ -4,10 +4,11 @@ Work per feature grows with its edges and the rows they cross, plus the cells
 that come out; no cell is ever compared with an edge.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions import geom as g
+from . import chains, fills
 
 FILL_RULES = ("evenOdd", "nonZero", "positive", "negative")
 
@@ -73,39 +74,23 @@ def polygon_cells(df, width, height, keep, rule="evenOdd", by_part=False, geom="
     """Cells whose centre lies inside under a fill rule.
 
     Each edge gives one crossing per cell row it spans; sorted along the row, a
-    running sum of directions is the winding number of every span. The window
-    holds the crossings of one feature in one row. Shells count +1 and holes
-    -1 whichever way they are drawn. ``keep`` must identify a feature. A list of
-    rules is tested on the same winding numbers, and each cell names its ``rule``.
+    running sum of directions is the winding number of every span. The crossings
+    of a batch of features are sorted in Python, a bounded number at once, so no
+    task sorts all of its crossings. Shells count +1 and holes -1 whichever way
+    they are drawn. Each row is a feature. A list of rules is tested on the same
+    winding numbers, and each cell names its ``rule``.
     """
     rules = [rule] if isinstance(rule, str) else list(rule)
     inside = F.array_compact(F.array(*[F.when(_inside(r), F.lit(r)) for r in rules]))
     keep = list(keep)
-    polys = df.where(F.col(geom)["type"].isin(g.POLYGON, g.MULTIPOLYGON))
-    rings = polys.select(*keep, F.posexplode(F.col(geom)["parts"]).alias("part", "_rings")).select(
-        *keep, "part", F.posexplode("_rings").alias("_ring", "_vs"))
-    turn = F.signum(g.ring_area("_vs")) * F.when(F.col("_ring") == 0, 1).otherwise(-1)
-    edges = rings.select(*keep, "part", turn.cast("int").alias("_turn"), F.explode(g.segments("_vs")).alias("s"))
-    a, b = F.col("s.a"), F.col("s.b")
-    r0 = F.greatest(F.ceil(F.least(a["y"], b["y"]) - 0.5), F.lit(0))
-    r1 = F.least(F.ceil(F.greatest(a["y"], b["y"]) - 0.5) - 1, F.lit(height - 1))
-    rows = edges.where(r0 <= r1).withColumn("y", F.explode(F.sequence(r0, r1)))
-    yc = F.col("y") + 0.5
-    cross = (b["x"] - a["x"]) * (yc - a["y"]) / F.when(b["y"] == a["y"], F.lit(1.0)).otherwise(b["y"] - a["y"]) + a["x"]
-    # in a frame with y down, a positive ring runs upwards on its left side
-    step = F.when(b["y"] < a["y"], F.col("_turn")).otherwise(-F.col("_turn"))
-    rows = rows.select(*keep, *(["part"] if by_part else []), "y", cross.alias("_x"), step.alias("_d"))
-    w = Window.partitionBy(*keep, *(["part"] if by_part else []), "y").orderBy("_x")
-    spans = rows.withColumns({
-        "_w": F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("_x").over(w),
-    }).where(F.col("_next").isNotNull()).withColumn("_rules", inside).where(F.size("_rules") > 0)
+    polys = df.where(F.col(geom)["type"].isin(g.POLYGON, g.MULTIPOLYGON)).select(*keep, F.col(geom).alias("_shape"))
+    chains.bound_batches(df.sparkSession)
+    schema = StructType([*polys.select(*keep).schema.fields, *[StructField(c, IntegerType() if c == "part" else LongType()) for c in ("part", "y", "_c0", "_c1", "_w")]])
+    spans = polys.mapInArrow(fills.in_batches(polys.columns[:-1], width, height, by_part), schema).withColumn("_rules", inside).where(F.size("_rules") > 0)
     if not isinstance(rule, str):
         spans = spans.withColumn("rule", F.explode("_rules"))
         keep.append("rule")
-    c0 = F.greatest(F.ceil(F.col("_x") - 0.5), F.lit(0))
-    c1 = F.least(F.ceil(F.col("_next") - 0.5) - 1, F.lit(width - 1))
-    return spans.where(c0 <= c1).withColumn("x", F.explode(F.sequence(c0, c1))).select(
-        *keep, *(["part"] if by_part else []), "x", "y")
+    return spans.withColumn("x", F.explode(F.sequence("_c0", "_c1"))).select(*keep, *(["part"] if by_part else []), "x", "y")
 
 
 def all_cells(df, width, height, keep, rule="evenOdd", geom="_cells"):
