@@ -328,13 +328,14 @@ def _meet(there, shapes):
     return there.join(shapes.hint("merge"), ["_cell", "_cut"])
 
 
-def query_many(points, features, tolerance=0.0, layer=None, fields=None):
+def query_many(points, features, tolerance=0.0, layer=None, fields=None, deal=True):
     """For each point all features within the tolerance (a point in a polygon is at distance 0).
 
     Equi-joins on grid cells, in which a pair meets once. Points of features sit on the grid level that fits the tolerance;
     polygons are covered by inside cells and edge cells, lines are walked cell by cell and keep the least distance of their
     segments. Points take part on the levels in use (25 at most). Cells of points and polygons are cut by their pairs, so no
-    task makes much more than ``RANK_PAIRS`` of them; adaptive execution splits hot cells of lines.
+    task makes much more than ``RANK_PAIRS`` of them; adaptive execution splits hot cells of lines. Without ``deal`` the count
+    of pairs is spared, for searches that make few.
 
     ``shape`` is a hash of the geometry: with layer and id it tells the features that were hit. Lines equal in id, vertices
     and fields are one feature.
@@ -351,9 +352,10 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
     keep = keep.withColumn("shape", shape_of("geom"))
     px, py = F.col("_px"), F.col("_py")
     columns = ["layer", "fid", "shape", *fields]
+    meet = _meet if deal else lambda there, shapes: there.join(shapes, "_cell")
     out = []
     if 0 in levels or not levels:
-        near = _meet(_points_in_cells(pts, levels.get(0, [0])), _box_cells(keep.where(kind == 0), tolerance))
+        near = meet(_points_in_cells(pts, levels.get(0, [0])), _box_cells(keep.where(kind == 0), tolerance))
         near = near.where(px.between(F.col("minx") - tolerance, F.col("maxx") + tolerance) & py.between(F.col("miny") - tolerance, F.col("maxy") + tolerance))
         away = F.when(F.col("geom.type") == g.POINT, g.distance(F.col("minx"), F.col("miny"), px, py)).otherwise(g.geometry_hit("geom", px, py)["distance"])
         out.append(near.withColumn("distance", away).where(F.col("distance").between(0, tolerance)))
@@ -363,7 +365,7 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None):
         hits = near.withColumn("distance", away).where(F.col("distance") <= tolerance)
         out.append(hits.groupBy("pid", *columns).agg(F.min("distance").alias("distance")))
     if 2 in levels and tolerance >= 0:
-        near = _meet(_points_in_cells(pts, levels[2]), _polygon_cells(keep.where(kind == 2), columns))
+        near = meet(_points_in_cells(pts, levels[2]), _polygon_cells(keep.where(kind == 2), columns))
         out.append(near.where(F.col("_inside") | F.exists("_open", lambda p: _holds(p, px, py))).withColumn("distance", F.lit(0.0)))
     rows = [o.select("pid", "layer", "fid", "distance", *fields, "shape") for o in out]
     return reduce(DataFrame.unionByName, rows) if rows else keep.limit(0).select(F.lit(0).alias("pid"), "layer", "fid", F.lit(0.0).alias("distance"), *fields, "shape")
@@ -479,7 +481,7 @@ def _search(points, features, tolerance, find):
     """
     found = []
     for near in growing(tolerance):
-        found.append(skew.checkpoint(find(query_many(points, features, near, fields=[]))))
+        found.append(skew.checkpoint(find(query_many(points, features, near, fields=[], deal=False))))
         gone = found[-1].select(F.col("pid").alias("_pid"))
         points = points.join(gone, F.col("pid").eqNullSafe(F.col("_pid")), "left_anti")
     return reduce(DataFrame.unionByName, found), points
@@ -499,7 +501,7 @@ def touched_features(points, features, tolerance=0.0):
     """``hit_features`` of all hits, without making all of them: a feature that was hit takes no part in the later rounds."""
     keys, found, left = ["layer", "fid", "shape"], [], features
     for near in growing(tolerance):
-        found.append(skew.checkpoint(query_many(points, left, near, fields=[]).select(*keys).distinct()))
+        found.append(skew.checkpoint(query_many(points, left, near, fields=[], deal=False).select(*keys).distinct()))
         hit = found[-1].withColumnRenamed("shape", "_shape")
         left = left.withColumn("_shape", shape_of("geom")).join(hit, ["layer", "fid", "_shape"], "left_anti").select(*features.columns)
     return hit_features(features, reduce(DataFrame.unionByName, found))
