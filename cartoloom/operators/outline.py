@@ -1,8 +1,10 @@
 """Rings around covered cells, and polygons rebuilt from them under a fill rule, united or not.
 
-A covered cell gives four directed sides with itself on their right; sides that two cells share cancel. Each side left
-knows the next one by its end, and sides are numbered along their ring by pointer jumping, so rings of any length take
-as many rounds as the logarithm of the longest.
+Cells are shuffled once, as runs along their rows, and the rings of a group are traced where its runs meet (``traces``), many
+groups together. Only groups of more than ``MOST`` runs are spread over tasks: there a covered cell gives four directed
+sides with itself on their right; sides that two cells share cancel. Each side left knows the next one by its end, and
+sides are numbered along their ring by pointer jumping, so rings of any length take as many rounds as the logarithm of
+the longest.
 
 Joins are merges by hint: sides come from arrays, whose lengths no estimate of a size knows, and a broadcast of them went
 through the driver.
@@ -10,10 +12,14 @@ through the driver.
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from ..functions import geom as g
 from ..functions import skew
-from . import burn
+from . import burn, chains, traces
+
+#: Groups of more runs of cells are not traced in one task.
+MOST = 65_536
 
 # Directions in a frame with y down, in the order in which they go round a cell.
 RIGHT, DOWN, LEFT, UP = range(4)
@@ -109,13 +115,8 @@ def _and(conditions):
     return out
 
 
-def cover_rings(cells, keep=("fid",), name="_cells"):
-    """One multipolygon per ``keep`` around its covered cells ``(x, y)``, both at least 0 and below ``2**28``.
-
-    Shells are positive and holes negative in a frame with y down; a vertex is a corner and a ring begins with its upper
-    left one. A cell may occur repeatedly; no cells give no rows.
-    """
-    keep = list(keep)
+def _spread_rings(cells, keep, name):
+    """``cover_rings`` of groups of any size, by joins of their sides."""
     linked = skew.checkpoint(_linked(_sides(cells.select(*keep, "x", "y").distinct(), keep), keep))
     ranks = _ranked(linked, keep)
     placed = linked.alias("a").join(ranks.alias("b").hint("merge"), _same("a", "b", [*((k, k) for k in keep), ("id", "id")])).select(
@@ -139,6 +140,31 @@ def cover_rings(cells, keep=("fid",), name="_cells"):
     return whole.select(*keep, g.geometry(g.MULTIPOLYGON, F.col("parts")).alias(name))
 
 
+def cover_rings(cells, keep=("fid",), name="_cells"):
+    """One multipolygon per ``keep`` around its covered cells ``(x, y)``, both at least 0 and below ``2**28``.
+
+    Shells are positive and holes negative in a frame with y down; a vertex is a corner and a ring begins with its upper
+    left one. A cell may occur repeatedly; no cells give no rows.
+    """
+    keep = list(keep)
+    cells = cells.select(*keep, F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    chains.bound_batches(cells.sparkSession)
+    own = [StructField(f.name, f.dataType) for f in cells.select(*keep).schema]
+    runs = StructType([*own, StructField("_runs", ArrayType(IntegerType())), StructField("_n", IntegerType())])
+    # as one struct, keys with nulls are equal and a join and an aggregate share their shuffle
+    held = skew.stored(cells.mapInArrow(traces.in_runs(keep), runs), "runs").select(F.struct(*keep).alias("_key"), "_runs", "_n")
+    large = skew.checkpoint(held.groupBy("_key").agg(F.sum("_n").alias("_n")).where(F.col("_n") > MOST).select("_key"))
+    small = held.join(large.hint("merge"), "_key", "left_anti").groupBy("_key").agg(F.flatten(F.collect_list("_runs")).alias("_runs"))
+    shape = StructType([*own, StructField(name, StructType.fromDDL(f"c {g.GEOM_TYPE}")[0].dataType)])
+    drawn = small.select(*[F.col("_key")[k].alias(k) for k in keep], "_runs").mapInArrow(traces.in_rings(keep, name), shape)
+    if large.isEmpty():
+        return drawn
+    spread = held.join(large.hint("merge"), "_key", "left_semi")
+    each = F.explode(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.struct(*[F.get("_runs", 3 * i + k).cast("bigint").alias(c) for k, c in enumerate(("y", "a", "b"))])))
+    spread = spread.select("_key", each.alias("_r")).select(*[F.col("_key")[k].alias(k) for k in keep], F.explode(F.sequence("_r.a", F.col("_r.b") - 1)).alias("x"), F.col("_r.y").alias("y"))
+    return drawn.unionByName(_spread_rings(spread, keep, name))
+
+
 def refill_polygons(df, size, buffer, rule="evenOdd", union=False, cells=256, geom="tgeom"):
     """Polygons in tile coordinates redrawn around the cells that they cover under a fill rule.
 

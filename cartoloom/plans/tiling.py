@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geom as g
+from ..functions import skew
 from ..operators import burn, compose, outline, pack, reports, tiles as tl
 from .registry import query
 from .views import LAYERS
@@ -192,7 +193,7 @@ where case rule when 'evenOdd' then w % 2 <> 0 when 'nonZero' then w <> 0 when '
 def _(v):
     """Rings drawn around the cover of each rule, filled again: the cells and the area of the cover."""
     cover = burn.fill_rule_cover(burn.to_cells(v.pg_polys, COVER_VIEW), 24, 12, burn.FILL_RULES)
-    rings = outline.cover_rings(cover, ["rule", "fid"])
+    rings = skew.stored(outline.cover_rings(cover, ["rule", "fid"]), "rings")
     area = rings.select("rule", "fid", (F.aggregate(F.flatten("_cells.parts"), F.lit(0.0), lambda t, r: t + g.ring_area(r))).alias("area"))
     filled = burn.polygon_cells(rings, 24, 12, ["rule", "fid"], "positive", True).groupBy("rule", "fid").agg(
         F.count(F.lit(1)).alias("cells"), F.sum(F.col("y") * 24 + F.col("x")).alias("checksum"))
