@@ -371,18 +371,18 @@ def query_many(points, features, tolerance=0.0, layer=None, fields=None, deal=Tr
     return reduce(DataFrame.unionByName, rows) if rows else keep.limit(0).select(F.lit(0).alias("pid"), "layer", "fid", F.lit(0.0).alias("distance"), *fields, "shape")
 
 
-#: Segments and places meet in cells of the world of 2 to the power of this a side to be counted ...
-COUNT_LEVEL = 4
-#: ... where no more than about so many segments, and so many places, come together in one group.
-COUNT_ROWS = 1_000_000
+#: No more than about so many vertices of lines, and so many places, come together in one group.
+COUNT_ROWS = 500_000
+#: Groups may be smaller by this, where there are fewer of them than cores.
+COUNT_TASKS = 32
 
 
 def count_lines(points, lines, tolerance=0.0, layer=None):
     """For each point with a line within the tolerance, the number of ``lines`` there and the ``nearest`` distance.
 
     This is the count and the least distance of ``query_many`` without its hits, which grow with points times lines and
-    never leave a task here. Places and segments are dealt by cells, and inside a cell by hash, so that a group stays
-    small wherever they lie; only counts come back. ``pid`` tells points apart. Lines are told apart by a 64-bit hash of
+    never leave a task here. Lines and places are dealt by hash into groups of bounded size, wherever they lie, each of some
+    lines and some places; only counts come back. ``pid`` tells points apart. Lines are told apart by a 64-bit hash of
     layer, id, vertices and fields; those equal in all of them are one.
     """
     if layer is not None:
@@ -393,17 +393,18 @@ def count_lines(points, lines, tolerance=0.0, layer=None):
     keep = near_points(lines.select("layer", "fid", *fields, "geom", *g.BOX), points, tolerance)
     keep = keep.where(F.col("geom.type").isin(g.LINE, g.MULTILINE)).withColumn("_line", F.xxhash64("layer", "fid", shape_of("geom"), *fields))
     pts = points.select("pid", m.merc_x("lon").alias("_px"), m.merc_y("lat").alias("_py")).distinct()
-    places = pts.select("_px", "_py").where(~F.isnan("_px") & ~F.isnan("_py")).distinct()
+    places = pts.select("_px", "_py").where("_px IS NOT NULL AND _py IS NOT NULL AND NOT isnan(_px) AND NOT isnan(_py)").distinct()
     deal = lambda rows: max(1, math.ceil((rows or 0) / COUNT_ROWS))
-    of_lines = deal(keep.agg(F.sum(F.size(g.vertices("geom")))).first()[0])
+    vertices = keep.agg(F.sum(F.size(g.vertices("geom")))).first()[0] or 0
     of_places = deal(places.count())
-    level = max(0, min(COUNT_LEVEL, int(math.log2(2 * m.HALF_WORLD / max(4.0 * tolerance, 1.0)))))
+    of_lines = max(deal(vertices), min(keep.sparkSession.sparkContext.defaultParallelism, deal(COUNT_TASKS * vertices)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    group = ["_cell", "_l", "_p"]
-    segments = _line_cells(keep, ["_line"], tolerance, level).select(
-        "_cell", F.pmod(F.hash("_line"), F.lit(of_lines)).alias("_l"), "_line", "_ax", "_ay", "_bx", "_by").withColumn("_p", every(of_places))
-    there = _points_in_cells(places, [level]).withColumns({"_l": every(of_lines), "_p": F.pmod(F.hash("_px", "_py"), F.lit(of_places))})
-
+    group = ["_l", "_p"]
+    ends = [F.col(f"s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"]
+    segments = keep.select("_line", F.pmod(F.hash("_line"), F.lit(of_lines)).alias("_l"), F.explode(_segments()).alias("s")).select("_l", "_line", *ends).withColumn("_p", every(of_places))
+    there = places.withColumns({"_l": every(of_lines), "_p": F.pmod(F.hash("_px", "_py"), F.lit(of_places))})
+    tasks = 4 * of_lines * of_places  # so that few groups share one
+    there, segments = (rows.repartition(tasks, *group) for rows in (there, segments))
     met = there.groupBy(*group).cogroup(segments.groupBy(*group)).applyInPandas(reach.in_groups(float(tolerance)), "_px double, _py double, lines long, nearest double")
     sums = met.groupBy("_px", "_py").agg(F.sum("lines").alias("lines"), F.min("nearest").alias("nearest"))
     return pts.join(sums, ["_px", "_py"]).select("pid", "lines", "nearest")
