@@ -1,10 +1,11 @@
 """Tile geometry commands and dictionary-encoded tile layers."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..functions import geom as g
 from ..functions import skew
+from . import chains, packs
 from .tiles import TILE
 
 # Command numbers of the tile geometry encoding.
@@ -146,43 +147,21 @@ def pack_tiles(tiles, per_row=10_000, prop_types=None, extent=4096, version=2):
     A layer above ``per_row`` features takes several rows (``part``), each with
     its own dictionaries, so no array grows with the data. ``prop_types`` gives
     the value kind of a key (string, double, bigint, boolean), string otherwise.
-    All windows and groupings after the numbering share one partitioning, and
-    a geometry travels with one of its feature's attributes only.
+    Features are numbered, shuffled once by part and sorted there; a part is
+    packed as it passes, so a task holds one part and not all of its own.
     """
     keys = [*TILE, "layer", "part"]
-    kinds = F.lit("string")
-    for k, t in (prop_types or {}).items():
-        kinds = F.when(F.col("_k") == k, t).otherwise(kinds)
     # a feature id may repeat inside a layer, so features are told apart by position
     order = ["fid", F.col("props").cast("string"), F.xxhash64("tgeom")]
     rows = skew.group_position(tiles, [*TILE, "layer"], order, "_n").withColumn("part", F.floor(F.col("_n") / per_row))
-    pairs = rows.select(*keys, "layer_ord", "_n", "fid", "gtype", "tgeom", F.posexplode_outer("props").alias("_at", "_k", "_v"))
-    first = F.coalesce("_at", F.lit(0)) == 0
-    pairs = pairs.select(*keys, "layer_ord", "_n", "fid", "gtype", F.when(first, commands("tgeom")).alias("geometry"), "_k", "_v")
-    value = F.when(F.col("_k").isNotNull(), F.struct(kinds.alias("kind"), F.col("_v").alias("text")))
-    pairs = pairs.withColumn("_val", value)
-    by_key = Window.partitionBy(*keys).orderBy(F.col("_k").asc_nulls_last())
-    by_val = Window.partitionBy(*keys).orderBy(F.col("_val").asc_nulls_last())
-    pairs = pairs.withColumns({"_ki": F.dense_rank().over(by_key) - 1, "_vi": F.dense_rank().over(by_val) - 1})
-    feats = pairs.groupBy(*keys, "_n").agg(
-        F.first("layer_ord").alias("layer_ord"), F.first("fid").alias("id"), F.first("gtype").alias("type"), F.first("geometry", ignorenulls=True).alias("geometry"),
-        F.array_compact(F.array_sort(F.collect_list(F.when(F.col("_k").isNotNull(), F.struct("_ki", "_vi"))))).alias("_t"),
-        F.collect_set(F.when(F.col("_k").isNotNull(), F.struct("_ki", "_k"))).alias("_ks"),
-        F.collect_set(F.when(F.col("_k").isNotNull(), F.struct("_vi", "_val"))).alias("_vs"),
-    )
-    layers = feats.groupBy(*keys).agg(
-        F.first("layer_ord").alias("layer_ord"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_ks")))).alias("_ks"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_vs")))).alias("_vs"),
-        F.array_sort(F.collect_list(F.struct(
-            "_n", "id", "type", F.flatten(F.transform("_t", lambda t: F.array(t["_ki"], t["_vi"]))).alias("tags"), "geometry",
-        ))).alias("_f"),
-    )
-    return layers.select(
-        *keys, "layer_ord", F.lit(extent).alias("extent"), F.lit(version).alias("version"),
-        F.transform("_ks", lambda k: k["_k"]).alias("keys"), F.transform("_vs", lambda v: v["_val"]).alias("values"),
-        F.transform("_f", lambda f: F.struct(f["id"].alias("id"), f["type"].alias("type"), f["tags"].alias("tags"), f["geometry"].alias("geometry"))).alias("features"),
-    )
+    held = rows.select(*keys, "_n", "layer_ord", "fid", "gtype", commands("tgeom").alias("geometry"), F.map_keys("props").alias("_k"), F.map_values("props").alias("_t"))
+    chains.bound_batches(tiles.sparkSession)
+    types = {f.name: f.dataType for f in held.schema}
+    feature = StructType([StructField("id", types["fid"]), StructField("type", types["gtype"]), StructField("tags", ArrayType(IntegerType())), StructField("geometry", types["geometry"])])
+    value = StructType([StructField("kind", StringType()), StructField("text", StringType())])
+    out = StructType([*[StructField(k, types[k]) for k in (*keys, "layer_ord")], StructField("keys", ArrayType(StringType())), StructField("values", ArrayType(value)), StructField("features", ArrayType(feature))])
+    layers = held.repartition(*keys).sortWithinPartitions(*keys, "_n").mapInArrow(packs.in_parts(out.names, len(keys), per_row, prop_types or {}), out)
+    return layers.select(*keys, "layer_ord", F.lit(extent).alias("extent"), F.lit(version).alias("version"), "keys", "values", "features")
 
 
 def unpack_tiles(packed, decode_geometry=True):
